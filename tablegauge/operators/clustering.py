@@ -120,6 +120,7 @@ def choose_k(
 
 def mark_best(scores: DataFrame, metric: str, order: str) -> DataFrame:
     """Flag the row with the highest metric, the lowest ``order`` among equals."""
+    scores = checkpoint(scores)
     best = scores.agg(F.max_by(order, F.struct(F.col(metric), -F.col(order)))).scalar()
     return scores.withColumn("is_best", F.col(order) == best)
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tablegauge.functions.arrays import squared_distance
 from tablegauge.operators.clustering import cluster_scores, dimensions
 from tablegauge.operators.ranks import running_totals
-from tablegauge.session import checkpoint, if_small
+from tablegauge.session import checkpoint, checkpoint_counting, if_small
 
 NOISE = -1
 # Points of one cell that are read together.
@@ -198,8 +198,8 @@ def _core_clusters(
     left = roots.select("setting", "node", F.col("root").alias("ru"))
     right = roots.select("setting", F.col("node").alias("peer"), F.col("root").alias("rv"))
     apart = pairs.where("not touch").join(left, ["setting", "node"]).join(right, ["setting", "peer"]).where("ru <> rv")
-    apart = checkpoint(apart)
-    if apart.isEmpty():
+    apart, n_apart = checkpoint_counting(apart, F.lit(True))
+    if n_apart == 0:
         return roots
     eps = _pick(radii)
     core = each.where("core").select("setting", "e", "cell", "id", "x", "part", "n")
@@ -215,7 +215,7 @@ def _core_clusters(
         from_u.join(to_v, ["setting", "e", "cell", "part"]).where(_within(radii, d)).select("setting", "ru", "rv")
     )
     links = joined.groupBy("setting", "ru", "rv").agg(F.lit(1).alias("one"))
-    links = links.select("setting", F.col("ru").alias("u"), F.col("rv").alias("v"))
+    links = checkpoint(links.select("setting", F.col("ru").alias("u"), F.col("rv").alias("v")))
     tops = roots.select("setting", F.col("root").alias("node")).distinct()
     merged = connected(tops, links).select("setting", F.col("node").alias("root"), F.col("root").alias("top"))
     return checkpoint(
@@ -228,37 +228,38 @@ def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     Every round hangs each node below its smallest neighbour, follows the pointers to the
     top, and keeps the edges between different tops, which at least halves the number of
-    parts that still have edges. Rounds are cut by checkpoints.
+    parts that still have edges. ``edges`` is read repeatedly and should be a written table.
     """
-    roots = checkpoint(nodes.select("setting", "node", F.col("node").alias("root")))
-    edges = checkpoint(edges.where("u <> v").distinct())
-    while not edges.isEmpty():
+    roots = nodes.select("setting", "node", F.col("node").alias("root"))
+    edges = edges.where("u <> v")
+    rest = 0 if edges.isEmpty() else 1
+    while rest:
         both = edges.unionByName(edges.select("setting", F.col("v").alias("u"), F.col("u").alias("v")))
         parent = both.groupBy("setting", "u").agg(F.min("v").alias("p"))
         parent = checkpoint(parent.select("setting", "u", F.least("u", "p").alias("p")))
-        while True:
-            above = parent.where("u <> p").select("setting", F.col("u").alias("p"), F.col("p").alias("q"))
-            jumped = parent.join(above, ["setting", "p"], "left")
-            jumped = checkpoint(
-                jumped.select("setting", "u", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved"))
-            )
-            parent = jumped.select("setting", "u", "p")
-            if jumped.where("moved").isEmpty():
-                break
-        moved = parent.where("u <> p")
-        up = moved.select("setting", F.col("u").alias("root"), "p")
-        roots = checkpoint(
-            roots.join(up, ["setting", "root"], "left").select("setting", "node", F.coalesce("p", "root").alias("root"))
-        )
-        pu = moved.select("setting", "u", F.col("p").alias("pu"))
-        pv = moved.select("setting", F.col("u").alias("v"), F.col("p").alias("pv"))
+        moved = 1
+        while moved:
+            parent, moved = checkpoint_counting(_jump(_jump(parent)), F.col("moved"))
+        lower = parent.where("u <> p")
+        up = lower.select("setting", F.col("u").alias("root"), "p")
+        roots = roots.join(up, ["setting", "root"], "left")
+        roots = roots.select("setting", "node", F.coalesce("p", "root").alias("root"))
+        pu = lower.select("setting", "u", F.col("p").alias("pu"))
+        pv = lower.select("setting", F.col("u").alias("v"), F.col("p").alias("pv"))
         edges = (
             edges.join(pu, ["setting", "u"], "left")
             .join(pv, ["setting", "v"], "left")
             .select("setting", F.coalesce("pu", "u").alias("u"), F.coalesce("pv", "v").alias("v"))
         )
-        edges = checkpoint(edges.where("u <> v").distinct())
-    return roots
+        edges, rest = checkpoint_counting(edges.where("u <> v").distinct(), F.lit(True))
+    return checkpoint(roots)
+
+
+def _jump(parent: DataFrame) -> DataFrame:
+    """Every pointer moved on to where its target points; ``moved`` tells which did."""
+    above = parent.where("u <> p").select("setting", F.col("u").alias("p"), F.col("p").alias("q"))
+    jumped = parent.select("setting", "u", "p").join(above, ["setting", "p"], "left")
+    return jumped.select("setting", "u", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved"))
 
 
 def _numbered(roots: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ def evaluate(
     models = clustering.kmeans_models(scaled, ks, [seed], n_init, parallelism=parallelism)
     runs = checkpoint(clustering.labelings(scaled, {k: m for (k, _), m in models.items()}))
     scores = clustering.cluster_scores(runs).withColumnRenamed("variant", "k")
-    k_scores = checkpoint(clustering.mark_best(scores, "silhouette", "k"))
+    k_scores = clustering.mark_best(scores, "silhouette", "k")
     chosen = k_scores.where("is_best").first()
     k_labels = runs.where(F.col("variant") == chosen["k"]).select("id", "label")
 

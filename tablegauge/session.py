@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows a side may hold to be sent to every executor.
@@ -29,12 +29,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(_shared_root(spark))
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a fresh table in the shared folder and go on from there.
+
+    Unlike a cut lineage alone, the table brings its true size to the planner.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def checkpoint_counting(df: DataFrame, condition: Column) -> tuple[DataFrame, int]:
+    """``checkpoint`` that also tells how many of the written rows meet ``condition``."""
+    seen = Observation()
+    written = checkpoint(df.observe(seen, F.count_if(condition).alias("n")))
+    return written, seen.get["n"]
 
 
 def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

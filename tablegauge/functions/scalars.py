@@ -41,7 +41,8 @@ def round_half_even(col: Column, scale: int = 2) -> Column:
 
 
 def clip(col: Column, low: float = 0.0, high: float = 1.0) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), col))
+    # greatest and least pass over nulls, so a null is kept apart.
+    return F.when(col.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), col)))
 
 
 def share(part: Column, whole: Column) -> Column:

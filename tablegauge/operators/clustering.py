@@ -266,7 +266,9 @@ def _block_pairs(entries: DataFrame, kernel, schema: str, symmetric: bool, block
     start = F.col("_own") if symmetric else F.lit(0)
     left = placed.select("*", F.explode(F.sequence(start, last)).alias("_j")).withColumnRenamed("_own", "_i")
     stop = F.col("_own") if symmetric else last
-    right = placed.select("*", F.explode(F.sequence(F.lit(0), stop)).alias("_i")).withColumnRenamed("_own", "_j")
+    # Fresh columns, so that the two sides of one frame stay apart.
+    again = placed.select(*[F.col(c).alias(c) for c in placed.columns])
+    right = again.select("*", F.explode(F.sequence(F.lit(0), stop)).alias("_i")).withColumnRenamed("_own", "_j")
     keys = ["variant", "_i", "_j"]
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:

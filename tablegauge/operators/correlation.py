@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.functions.scalars import number_columns, present
+from tablegauge.functions.scalars import clip, number_columns, present
 from tablegauge.operators.profile import project, table_stats
 
 # Up to this many columns the pair sums are plain aggregate expressions.
@@ -37,7 +37,7 @@ def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFr
     # Rounding can leave a constant column with a variance just above zero.
     noise_x, noise_y = F.lit(1e-14) * F.col("sxx"), F.lit(1e-14) * F.col("syy")
     corr = F.when((var_x > noise_x) & (var_y > noise_y), cov / (F.sqrt(var_x) * F.sqrt(var_y)))
-    corr = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), corr))
+    corr = clip(corr, -1.0, 1.0)
     listed = F.array(*[F.lit(x) for x in names])
     return sums.select(
         "i",

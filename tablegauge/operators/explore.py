@@ -161,7 +161,7 @@ def histograms(
         start = F.lit(low) + place * F.lit(width)
         stop = F.lit(low) + (place + 1) * F.lit(width)
         exact = F.when(x < start, place - 1).when((x >= stop) & (place < bins - 1), place + 1).otherwise(place)
-        entries.append(F.struct(F.lit(i).alias("ordinal"), exact.alias("bin")))
+        entries.append(F.struct(F.lit(i).alias("ordinal"), F.when(x.isNotNull(), exact).alias("bin")))
     counted = (
         df.select(F.inline(F.array(*entries)))
         .where(F.col("bin").isNotNull())

@@ -266,11 +266,10 @@ def shuffled_positions(df: DataFrame, row_id: str, seed: int, n_rows: int, name:
     own plus its rank inside, so no task sees more than one slice of the table.
     """
     slices = max(1, min(65_536, -(-n_rows // 200_000)))
-    width = 2**64 // slices + 1
     hashed = df.withColumn("_h", seeded_hash(F.col(row_id), seed))
-    # The hash as a place on 0 .. 2**64 in decimal arithmetic, cut into equal slices.
-    axis = F.col("_h").cast("decimal(20,0)") + F.lit(2**63).cast("decimal(20,0)")
-    hashed = hashed.withColumn("_slice", F.floor(axis / F.lit(width).cast("decimal(20,0)")).cast("int"))
+    # The top 30 bits of the hash, spread over the slices.
+    top = F.shiftrightunsigned("_h", 34)
+    hashed = hashed.withColumn("_slice", F.shiftright(top * F.lit(slices).cast("bigint"), 30).cast("int"))
     sizes = hashed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select(
         "_slice",

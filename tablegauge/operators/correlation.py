@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from tablegauge.functions.scalars import clip, number_columns, present
 from tablegauge.operators.profile import project, table_stats
 
-# Up to this many columns the pair sums are plain aggregate expressions.
-EXPRESSION_COLUMNS = 9
+# Up to this many columns the pair sums are plain aggregate expressions. Beyond it, six sums
+# per pair cost more in one aggregate than a matrix product over Arrow batches.
+EXPRESSION_COLUMNS = 3
 
 _MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 _EMPTY = "i int, j int, column_a string, column_b string, n bigint, corr double"

@@ -51,11 +51,11 @@ def dbscan_many(points: DataFrame, settings: Sequence[tuple[float, int]]) -> Dat
     radii = sorted({e for e, _ in settings})
     caps = {e: max(m for f, m in settings if f == e) for e in radii}
 
-    grid = checkpoint(_cells(points, radii, d))
+    grid = _cells(points, radii, d)
     cells = grid.groupBy("e", "cell").agg(F.count(F.lit(1)).alias("n"))
     near = checkpoint(_near_cells(cells, radii, d))
     sized = checkpoint(_with_cell_size(grid, cells))
-    counted = checkpoint(_neighbour_counts(sized, near, radii, caps, d))
+    counted = _neighbour_counts(sized, near, radii, caps, d)
 
     chosen = spark.createDataFrame(
         [(i, radii.index(e), m) for i, (e, m) in enumerate(settings)], "setting int, e int, min_samples int"

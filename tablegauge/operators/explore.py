@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablegauge.functions.scalars import number_columns, percent, present, round_half_even
 from tablegauge.operators.profile import table_stats
 from tablegauge.operators.ranks import TASK_ROWS, Target, exact_quantiles, order_statistics
+from tablegauge.operators.values import runs, stack
 
 
 def above(df: DataFrame, name: str, bound: float) -> DataFrame:
@@ -163,7 +164,7 @@ def histograms(
         exact = F.when(x < start, place - 1).when((x >= stop) & (place < bins - 1), place + 1).otherwise(place)
         entries.append(F.struct(F.lit(i).alias("ordinal"), F.when(x.isNotNull(), exact).alias("bin")))
     counted = (
-        df.select(F.inline(F.array(*entries)))
+        stack([df.select(F.inline(F.array(*run))) for run in runs(entries)])
         .where(F.col("bin").isNotNull())
         .groupBy("ordinal", "bin")
         .agg(F.count(F.lit(1)).alias("count"))

@@ -158,7 +158,7 @@ def summarize(
         return _finish(frame.withColumns({"unique": F.lit(0).cast("bigint"), "example_values": F.array().cast("array<string>")}))
 
     counts = V.value_counts(df, names, order_by)
-    unique = counts.groupBy("c").agg(F.count(F.lit(1)).alias("unique"))
+    unique = V.distinct_counts(counts)
     first = V.first_per_column(counts, examples, F.col("o"))
     if any(c.longest > V.LONG_TEXT for c in stats.columns):
         first = V.restore_text(first, df, names, order_by)
@@ -310,13 +310,8 @@ def describe(df: DataFrame, columns: list[str] | None = None, limit: int | None
         F.col("ordinal").alias("c"), F.col("name").alias("column"), F.col("non_null").alias("count"),
         "mean", "std", "min", "max",
     )
-    numbers = df.select(
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(i).alias("c"), present(df, n).cast("double").alias("v")) for i, n in enumerate(names)]
-            )
-        )
-    )
+    entries = [F.struct(F.lit(i).alias("c"), present(df, n).cast("double").alias("v")) for i, n in enumerate(names)]
+    numbers = V.stack([df.select(F.inline(F.array(*run))) for run in V.runs(entries)])
     largest = max((c.non_null for c in stats.columns), default=0)
     extra = {} if limit is None else {"limit": limit}
     quartiles = exact_quantiles(

@@ -120,12 +120,12 @@ def quality_flags(df: DataFrame, stats: TableStats | None = None) -> DataFrame:
         else:
             crowded.add(c.ordinal)
     if unclear:
-        counts = V.value_counts(df, [c.name for c in unclear]).groupBy("c").agg(F.count(F.lit(1)).alias("u"))
+        counts = V.distinct_counts(V.value_counts(df, [c.name for c in unclear]))
         for r in counts.collect():
             c = unclear[r["c"]]
-            if r["u"] <= 1:
+            if r["unique"] <= 1:
                 constant.add(c.ordinal)
-            if r["u"] > HIGH_CARDINALITY:
+            if r["unique"] > HIGH_CARDINALITY:
                 crowded.add(c.ordinal)
     worst = max(((n - c.non_null) / n for c in stats.columns), default=0.0) if n else 0.0
     names = [c.name for c in stats.columns]

@@ -1,11 +1,11 @@
 """Typed value counts over many columns at once.
 
-All asked columns are turned into rows ``(c, l, d, s)``: the column's ordinal and one
-filled slot (bigint, double or text). Grouping these rows counts every distinct value of
-every column in one shuffle with map-side combining, where one distinct count per column
-would expand each row by the full width. Text above ``LONG_TEXT`` bytes is grouped by its
-SHA-256, so documents are not shuffled to be counted; ``restore_text`` brings the few
-reported ones back.
+Columns of one storage class (whole numbers, reals, text) are turned into rows ``(c, v)``
+of column ordinal and value. Grouping these counts every distinct value of all of them in
+one shuffle with map-side combining, where one distinct count per column would expand each
+row by the full width; each class reads only its own columns. Text above ``LONG_TEXT``
+bytes is grouped by its SHA-256, so documents are not shuffled to be counted;
+``restore_text`` brings the few reported ones back.
 """
 
 from __future__ import annotations
@@ -58,46 +58,90 @@ def _key_text(col: Column) -> Column:
     return F.when(F.octet_length(col) > LONG_TEXT, _digest(col)).otherwise(col)
 
 
-def long_values(
-    df: DataFrame, names: list[str], order_by: Column | None = None, whole_text: bool = False
-) -> DataFrame:
-    """Rows ``(c, l, d, s, o)`` of the non-missing values of ``names``."""
-    order = F.lit(0).cast("bigint") if order_by is None else order_by
-    entries = []
-    for i, name in enumerate(names):
-        kind = kind_of(df.schema[name].dataType)
-        number, real, text = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
-        if kind in (INT, BOOL):
-            number = F.col(f"`{name}`").cast("bigint")
-        elif kind == TIME:
-            number = micros(df, name)
-        elif kind in (FLOAT, SINGLE):
-            real = present(df, name).cast("double")
-        else:
-            text = text_slot(df, name)
-            text = text if whole_text else _key_text(text)
-        entries.append(F.struct(F.lit(i).alias("c"), number.alias("l"), real.alias("d"), text.alias("s")))
-    rows = df.select(order.alias("o"), F.inline(F.array(*entries)))
-    return rows.where(F.col("l").isNotNull() | F.col("d").isNotNull() | F.col("s").isNotNull())
-
-
-def value_counts(df: DataFrame, names: list[str], order_by: Column | None = None) -> DataFrame:
-    """``(c, l, d, s, n, o)``: count and first position of each distinct value."""
-    return (
-        long_values(df, names, order_by)
-        .groupBy("c", "l", "d", "s")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("o"))
-    )
+# Storage classes: the slot a kind of column is counted in, and its type.
+_SLOTS = {INT: "l", BOOL: "l", TIME: "l", FLOAT: "d", SINGLE: "d", TEXT: "s"}
+_LAST = 2**63 - 1
+_SLOT_TYPES = {"l": "bigint", "d": "double", "s": "string"}
+# Columns that share one pass, and the most passes over one table.
+_PASS_COLUMNS = 3
+_MOST_PASSES = 16
+
+
+def runs(items: list) -> list[list]:
+    """Items cut into passes. A pass reads its own columns only, and passes run side by side."""
+    width = max(_PASS_COLUMNS, -(-len(items) // _MOST_PASSES))
+    return [items[at : at + width] for at in range(0, len(items), width)]
+
+
+def stack(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _slot_value(df: DataFrame, name: str, whole_text: bool) -> Column:
+    kind = kind_of(df.schema[name].dataType)
+    if kind in (INT, BOOL):
+        return F.col(f"`{name}`").cast("bigint")
+    if kind == TIME:
+        return micros(df, name)
+    if kind in (FLOAT, SINGLE):
+        return present(df, name).cast("double")
+    text = text_slot(df, name)
+    return text if whole_text else _key_text(text)
+
+
+def _passes(df: DataFrame, names: list[str], order_by: Column | None, whole_text: bool = False):
+    """Per storage class and run of columns: its slot and rows ``(o, c, v)`` without gaps."""
+    order = F.lit(0) if order_by is None else order_by
+    order = F.coalesce(order.cast("bigint"), F.lit(_LAST))
+    for slot in _SLOT_TYPES:
+        mine = [(i, n) for i, n in enumerate(names) if _SLOTS[kind_of(df.schema[n].dataType)] == slot]
+        for run in runs(mine):
+            entries = [F.struct(F.lit(i).alias("c"), _slot_value(df, n, whole_text).alias("v")) for i, n in run]
+            yield slot, df.select(order.alias("o"), F.inline(F.array(*entries))).where(F.col("v").isNotNull())
 
 
-def first_per_column(counts: DataFrame, k: int, *order: Column) -> DataFrame:
-    """The first ``k`` values of each column under ``order``; ties go by value.
+def _as_slots(rows: DataFrame, slot: str, *others: str) -> DataFrame:
+    values = [
+        (F.col("v") if s == slot else F.lit(None).cast(t)).alias(s) for s, t in _SLOT_TYPES.items()
+    ]
+    return rows.select("c", *values, *others)
+
+
+def value_counts(df: DataFrame, names: list[str], order_by: Column | None = None) -> list[tuple[str, DataFrame]]:
+    """Per pass ``(slot, frame)`` with ``(c, v, n, o)``: count and first position of each value."""
+    return [
+        (slot, rows.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("o")))
+        for slot, rows in _passes(df, names, order_by)
+    ]
+
+
+def distinct_counts(counts: list[tuple[str, DataFrame]]) -> DataFrame:
+    """``(c, unique)`` from value counts.
+
+    Counting the positions, which are never null, keeps this plan on the same shuffle as
+    ``first_per_column``.
+    """
+    return stack([frame.groupBy("c").agg(F.count("o").alias("unique")) for _, frame in counts])
+
+
+def first_per_column(counts: list[tuple[str, DataFrame]], k: int, *order: Column) -> DataFrame:
+    """``(c, l, d, s, n, o, rank)``: the first ``k`` values per column; ties go by value.
 
     The engine keeps k rows per column in every task before it shuffles, so a wide or
     skewed column does not travel.
     """
-    window = Window.partitionBy("c").orderBy(*order, F.col("l"), F.col("d"), F.col("s"))
-    return counts.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
+    window = Window.partitionBy("c").orderBy(*order, F.col("v"))
+    return stack(
+        [
+            _as_slots(
+                frame.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k), slot, "n", "o", "rank"
+            )
+            for slot, frame in counts
+        ]
+    )
 
 
 def restore_text(picked: DataFrame, df: DataFrame, names: list[str], order_by: Column | None) -> DataFrame:
@@ -105,8 +149,11 @@ def restore_text(picked: DataFrame, df: DataFrame, names: list[str], order_by: C
 
     ``picked`` holds at most k rows per column, which bounds the broadcast side.
     """
-    full = long_values(df, names, order_by, whole_text=True).where(F.octet_length("s") > LONG_TEXT)
-    full = full.select("c", _digest(F.col("s")).alias("s"), F.col("s").alias("body"), "o")
+    texts = [rows for slot, rows in _passes(df, names, order_by, whole_text=True) if slot == "s"]
+    if not texts:
+        return picked
+    full = stack(texts).where(F.octet_length("v") > LONG_TEXT)
+    full = full.select("c", _digest(F.col("v")).alias("s"), F.col("v").alias("body"), "o")
     marked = picked.where(F.startswith("s", F.lit(_DIGEST_MARK))).select("c", "s", "o")
     bodies = full.join(F.broadcast(marked), ["c", "s", "o"]).groupBy("c", "s").agg(F.first("body").alias("body"))
     return (

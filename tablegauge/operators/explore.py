@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.functions.scalars import number_columns, percent, present, round_half_even
+from tablegauge.functions.scalars import nan_to_null, number_columns, percent, present, round_half_even
 from tablegauge.operators.profile import table_stats
 from tablegauge.operators.ranks import TASK_ROWS, Target, exact_quantiles, order_statistics
 from tablegauge.operators.values import runs, stack
@@ -22,7 +22,8 @@ def below(df: DataFrame, name: str, bound: float) -> DataFrame:
 
 
 def contradiction(df: DataFrame, *conditions: Column) -> DataFrame:
-    """Rows that meet all conditions at once."""
+    """Rows that meet all conditions at once; a missing number meets none."""
+    df = nan_to_null(df)
     for c in conditions:
         df = df.where(c)
     return df
@@ -42,7 +43,11 @@ def without_noise(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def rule_check(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Rows that break a rule, once per rule, in a single pass: ``(rule, *columns)``."""
+    """Rows that break a rule, once per rule, in a single pass: ``(rule, *columns)``.
+
+    A missing number breaks no rule.
+    """
+    df = nan_to_null(df)
     hits = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]), lambda r: r.isNotNull())
     return df.select(F.explode(hits).alias("rule"), *df.columns)
 

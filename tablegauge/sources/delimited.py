@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ NA_TOKENS = (
 TRUE_TOKENS = ("True", "TRUE", "true")
 FALSE_TOKENS = ("False", "FALSE", "false")
 
+# Encodings the engine reads itself, by their codec names.
+NATIVE_ENCODINGS = ("utf-8", "ascii", "iso8859-1", "utf-16", "utf-16-be", "utf-16-le", "utf-32")
+
 _INTEGER = r"^\s*[+-]?\d+\s*$"
 _DECIMAL = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
 
@@ -37,11 +42,12 @@ def read_delimited(
     ``row_id`` names an extra bigint column that follows the order of the file; it is
     taken right after the scan, where the engine numbers rows split by split.
     """
+    native = codecs.lookup(encoding).name in NATIVE_ENCODINGS
     try:
         raw = (
             spark.read.option("header", True)
             .option("sep", sep)
-            .option("encoding", encoding)
+            .option("encoding", encoding if native else "ISO-8859-1")
             .option("quote", '"')
             .option("escape", '"')
             .option("multiLine", False)
@@ -50,12 +56,29 @@ def read_delimited(
         )
     except AnalysisException as exc:
         raise SourceError(f"cannot read '{path}': {exc.getCondition()}") from exc
+    if not native:
+        raw = _from_single_byte(raw, encoding)
     names = raw.columns
     if row_id:
         raw = raw.withColumn(row_id, F.monotonically_increasing_id())
     return type_columns(raw, names) if typed else raw
 
 
+def _from_single_byte(df: DataFrame, encoding: str) -> DataFrame:
+    """Text read byte by byte as Latin-1, turned into the characters of ``encoding``."""
+    pairs = []
+    for byte in range(128, 256):
+        try:
+            pairs.append((chr(byte), bytes([byte]).decode(encoding)))
+        except UnicodeDecodeError:
+            continue
+    if not pairs or any(len(c) != 1 for _, c in pairs):
+        raise SourceError(f"encoding '{encoding}' is not supported")
+    read, meant = ("".join(side) for side in zip(*pairs))
+    names = [c.encode("latin-1").decode(encoding) for c in df.columns]
+    return df.toDF(*names).withColumns({n: F.translate(F.col(f"`{n}`"), read, meant) for n in names})
+
+
 def type_columns(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Blank out the missing-value spellings and give each text column its type.
 
@@ -71,7 +94,7 @@ def type_columns(df: DataFrame, names: list[str] | None = None) -> DataFrame:
         v = values[n]
         checks += [
             F.count(v).alias(f"n{i}"),
-            F.count_if(~v.rlike(_INTEGER) | F.trim(v).try_cast("bigint").isNull()).alias(f"i{i}"),
+            F.count_if(v.isNotNull() & (~v.rlike(_INTEGER) | F.trim(v).try_cast("bigint").isNull())).alias(f"i{i}"),
             F.count_if(~v.rlike(_DECIMAL)).alias(f"d{i}"),
             F.count_if(~v.isin(*TRUE_TOKENS, *FALSE_TOKENS)).alias(f"b{i}"),
         ]

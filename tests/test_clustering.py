@@ -100,9 +100,11 @@ def test_dbscan_opens_cells_whose_first_points_do_not_touch(spark, monkeypatch):
     monkeypatch.setattr(density, "PART_ROWS", 4)
     rng = np.random.default_rng(1)
     x = rng.uniform(0, 3, (300, 2))
-    for eps in (0.12, 0.2, 0.3):
-        got = density.dbscan(make_points(spark, x), eps, 3).toPandas().sort_values("id").label.tolist()
-        assert got == brute_dbscan(x, eps, 3).tolist()
+    radii = (0.12, 0.2, 0.3)
+    got = density.dbscan_many(make_points(spark, x), [(eps, 3) for eps in radii]).toPandas()
+    for s, eps in enumerate(radii):
+        labels = got[got.setting == s].sort_values("id").label.tolist()
+        assert labels == brute_dbscan(x, eps, 3).tolist()
 
 
 def test_connected_parts(spark):

@@ -26,14 +26,10 @@ def flat_points(spark: SparkSession, folder: str, dims: int = 2) -> DataFrame:
 
 
 def labelled_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    """``(variant, id, x, label)`` with the given labels."""
+    """The vectors with the given labels."""
     rows = load_table(spark, folder, "embeddings")
-    return rows.select(
-        F.lit(0).alias("variant"),
-        F.col("vec_id").alias("id"),
-        F.col("embedding").cast("array<double>").alias("x"),
-        "label",
-    )
+    x = F.col("embedding").cast("array<double>").alias("x")
+    return clustering.one_labeling(rows.select(F.col("vec_id").alias("id"), x, "label"))
 
 
 _V = "(SELECT vec_id AS id, label, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings)"

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, Bucketizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tablegauge.functions.arrays import squared_distance
 from tablegauge.functions.scalars import number_columns, present
 from tablegauge.operators.metrics import adjusted_rand
-from tablegauge.session import checkpoint, if_small
+from tablegauge.session import BROADCAST_ROWS, checkpoint, if_small
 
 # Points per side of a block whose distances one task works out at a time.
 BLOCK_ROWS = 8_192
@@ -61,10 +61,6 @@ def _vectors(points: DataFrame) -> DataFrame:
     return points.withColumn("features", array_to_vector("x"))
 
 
-def _assign(model: KMeansModel, points: DataFrame) -> DataFrame:
-    return model.transform(_vectors(points)).select(*points.columns, F.col("prediction").alias("label"))
-
-
 def kmeans_models(
     points: DataFrame,
     ks: Iterable[int],
@@ -97,16 +93,16 @@ def kmeans_models(
 
 def kmeans(points: DataFrame, k: int, seed: int = 42, n_init: int = 10, parallelism: int = 4) -> DataFrame:
     """``(id, x, label)`` of the cheapest of ``n_init`` k-means fits."""
-    return _assign(kmeans_models(points, [k], [seed], n_init, parallelism=parallelism)[k, seed], points)
+    model = kmeans_models(points, [k], [seed], n_init, parallelism=parallelism)[k, seed]
+    return with_labels(points, [model]).select(*points.columns, F.col("labels")[0].alias("label"))
 
 
-def labelings(points: DataFrame, models: dict[int, KMeansModel]) -> DataFrame:
-    """``(variant, id, x, label)`` with one copy of the points per model."""
-    parts = [_assign(m, points).withColumn("variant", F.lit(v)) for v, m in models.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("variant", "id", "x", "label")
+def with_labels(points: DataFrame, models: list[KMeansModel]) -> DataFrame:
+    """``points`` with ``labels``: the cluster under every model, found in one pass."""
+    out = _vectors(points)
+    for i, model in enumerate(models):
+        out = model.copy().setFeaturesCol("features").setPredictionCol(f"_label_{i}").transform(out)
+    return out.select(*points.columns, F.array(*[f"_label_{i}" for i in range(len(models))]).alias("labels"))
 
 
 def choose_k(
@@ -114,8 +110,13 @@ def choose_k(
 ) -> DataFrame:
     """``(k, silhouette, davies_bouldin, calinski_harabasz, is_best)`` for every k."""
     models = kmeans_models(points, ks, [seed], n_init, parallelism=parallelism)
-    scores = cluster_scores(labelings(points, {k: m for (k, _), m in models.items()}))
-    return mark_best(scores.withColumnRenamed("variant", "k"), "silhouette", "k")
+    return score_ks(with_labels(points, list(models.values())), [k for k, _ in models])
+
+
+def score_ks(labelled: DataFrame, ks: list[int]) -> DataFrame:
+    """The scores of one labeling per k, with the best silhouette marked."""
+    k = F.element_at(F.array(*[F.lit(k) for k in ks]), F.col("variant") + 1)
+    return mark_best(cluster_scores(labelled).select(k.alias("k"), *SCORES), "silhouette", "k")
 
 
 def mark_best(scores: DataFrame, metric: str, order: str) -> DataFrame:
@@ -146,7 +147,21 @@ def noise_share(labels: DataFrame, label: str = "label") -> DataFrame:
     return labels.agg(F.avg((F.col(label) == -1).cast("int")).alias("noise_ratio"))
 
 
-# Scores over (variant, id, x, label). A variant is one labeling of the points.
+# Scores take ``(id, x, labels)``: labels holds a cluster per labeling, or null where the
+# labeling leaves the point out. Results have one row per labeling, numbered by ``variant``.
+SCORES = ("silhouette", "davies_bouldin", "calinski_harabasz")
+
+
+def members(labelled: DataFrame) -> DataFrame:
+    """``(variant, id, x, label)``: one row per point and labeling it is part of."""
+    return labelled.select("id", "x", F.posexplode("labels").alias("variant", "label")).where(
+        F.col("label").isNotNull()
+    )
+
+
+def one_labeling(clustered: DataFrame) -> DataFrame:
+    """``(id, x, label)`` in the form the scores take."""
+    return clustered.select("id", "x", F.array("label").alias("labels"))
 
 
 def _centroids(clustered: DataFrame) -> DataFrame:
@@ -175,9 +190,9 @@ def _spreads(clustered: DataFrame, d: int) -> DataFrame:
     )
 
 
-def davies_bouldin(clustered: DataFrame) -> DataFrame:
+def davies_bouldin(labelled: DataFrame) -> DataFrame:
     """``(variant, davies_bouldin)``: mean over clusters of the worst ratio of spread to gap."""
-    return _davies_bouldin(_spreads(clustered, dimensions(clustered)))
+    return _davies_bouldin(_spreads(members(labelled), dimensions(labelled)))
 
 
 def _davies_bouldin(spreads: DataFrame) -> DataFrame:
@@ -197,7 +212,10 @@ def _davies_bouldin(spreads: DataFrame) -> DataFrame:
         return pd.DataFrame({"variant": left["variant"].to_numpy(), "id": left["id"].to_numpy(), "ratio": out})
 
     entries = rows.select("variant", "id", F.col("center").alias("x"), F.col("spread").alias("weight"))
-    ratios = _block_pairs(entries, worst, "variant int, id bigint, ratio double", symmetric=False)
+    largest = entries.groupBy("variant").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    blocks = _block_count(largest, BLOCK_ROWS, 1)
+    placed = entries.withColumn("_own", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    ratios = _block_pairs(placed, blocks, ["variant"], worst, "variant int, id bigint, ratio double", symmetric=False)
     return (
         ratios.groupBy("variant", "id")
         .agg(F.max("ratio").alias("ratio"))
@@ -206,9 +224,10 @@ def _davies_bouldin(spreads: DataFrame) -> DataFrame:
     )
 
 
-def calinski_harabasz(clustered: DataFrame) -> DataFrame:
+def calinski_harabasz(labelled: DataFrame) -> DataFrame:
     """``(variant, calinski_harabasz)``: between over within spread per degree of freedom."""
-    return _calinski_harabasz(_spreads(clustered, dimensions(clustered)), dimensions(clustered))
+    d = dimensions(labelled)
+    return _calinski_harabasz(_spreads(members(labelled), d), d)
 
 
 def _calinski_harabasz(spreads: DataFrame, d: int) -> DataFrame:
@@ -249,19 +268,42 @@ def _block_count(rows: int, block_rows: int, parallelism: int) -> int:
     return max(1, -(-rows // block_rows), min(-(-rows // 256), int(parallelism**0.5) + 1))
 
 
-def _block_pairs(entries: DataFrame, kernel, schema: str, symmetric: bool, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Run ``kernel`` over every pair of row blocks that share a ``variant``.
+def _placed_by_locality(points: DataFrame, block_rows: int) -> tuple[DataFrame, int]:
+    """``points`` with a block number ``_own``, and the number of blocks.
+
+    Blocks are slices of the first axis, so that a small cluster mostly lies in one block.
+    A slice that ties make too large is split further by id.
+    """
+    n = points.count()
+    wanted = _block_count(n, block_rows, points.sparkSession.sparkContext.defaultParallelism)
+    axis = points.withColumn("_axis", F.col("x")[0])
+    probabilities = [i / wanted for i in range(1, wanted)]
+    cuts = sorted(set(axis.approxQuantile("_axis", probabilities, 0.1 / wanted))) if wanted > 1 else []
+    if cuts:
+        slicer = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="_axis", outputCol="_slice")
+        sliced = slicer.transform(axis).withColumn("_slice", F.col("_slice").cast("int"))
+    else:
+        sliced = axis.withColumn("_slice", F.lit(0))
+    found = dict(sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")).collect())
+    parts = [max(1, -(-found.get(s, 0) // block_rows)) for s in range(len(cuts) + 1)]
+    starts = [sum(parts[:s]) for s in range(len(parts))]
+
+    def of_slice(numbers: list[int]) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in numbers]), F.col("_slice") + 1)
+
+    own = of_slice(starts) + F.pmod(F.xxhash64("id"), of_slice(parts)).cast("int")
+    return sliced.withColumn("_own", own).drop("_axis", "_slice"), sum(parts)
 
-    Rows go to blocks by hash of ``id``, so blocks are even whatever the data. The kernel
-    sees two blocks and returns one line per point, never per pair of points. With
+
+def _block_pairs(
+    placed: DataFrame, blocks: int, groups: list[str], kernel, schema: str, symmetric: bool
+) -> DataFrame:
+    """Run ``kernel`` over every pair of row blocks of each group.
+
+    The kernel sees two blocks and returns lines per point, never per pair of points. With
     ``symmetric`` each unordered pair of blocks is visited once and the kernel reports for
     both sides.
     """
-    spark = entries.sparkSession
-    largest = entries.groupBy("variant").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    blocks = _block_count(largest, block_rows, spark.sparkContext.defaultParallelism)
-    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    placed = entries.withColumn("_own", own)
     last = F.lit(blocks - 1)
     start = F.col("_own") if symmetric else F.lit(0)
     left = placed.select("*", F.explode(F.sequence(start, last)).alias("_j")).withColumnRenamed("_own", "_i")
@@ -269,7 +311,7 @@ def _block_pairs(entries: DataFrame, kernel, schema: str, symmetric: bool, block
     # Fresh columns, so that the two sides of one frame stay apart.
     again = placed.select(*[F.col(c).alias(c) for c in placed.columns])
     right = again.select("*", F.explode(F.sequence(F.lit(0), stop)).alias("_i")).withColumnRenamed("_own", "_j")
-    keys = ["variant", "_i", "_j"]
+    keys = [*groups, "_i", "_j"]
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if len(a) == 0 or len(b) == 0:
@@ -279,43 +321,52 @@ def _block_pairs(entries: DataFrame, kernel, schema: str, symmetric: bool, block
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
 
 
-def silhouettes(clustered: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def silhouettes(labelled: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(variant, silhouette)`` with plain Euclidean distances over all pairs of points.
 
-    Every labeling of the same points shares the distances: a block pair is measured once
-    and summed per cluster for each labeling. Points alone in their cluster score 0.
+    All labelings share the distances: a block pair is measured once and summed per cluster
+    for each labeling. A cluster that lies wholly in one block is finished there, and only
+    the nearest of such clusters is reported; sums are reported for the others and for the
+    point's own. Points alone in their cluster score 0.
     """
-    sizes = clustered.groupBy("variant", "label").agg(F.count(F.lit(1)).alias("size"))
-    entries = clustered.groupBy("id").agg(
-        F.any_value("x").alias("x"), F.map_from_entries(F.collect_list(F.struct("variant", "label"))).alias("labels")
-    )
-    variants = sorted(r[0] for r in clustered.select("variant").distinct().collect())
-    # A point outside a labeling has no label there.
-    labels = F.array(*[F.try_element_at("labels", F.lit(v)) for v in variants])
-    entries = entries.select(F.lit(0).alias("variant"), "id", "x", labels.alias("labels"))
-
-    def sums(own: np.ndarray, ids: np.ndarray, other: np.ndarray, distances: np.ndarray) -> list[pd.DataFrame]:
+    sizes = checkpoint(members(labelled).groupBy("variant", "label").agg(F.count(F.lit(1)).alias("size")))
+    known: dict[tuple[int, int], int] = {}
+    if sizes.count() <= BROADCAST_ROWS:
+        known = {(r["variant"], r["label"]): r["size"] for r in sizes.collect()}
+
+    def sums(
+        own: np.ndarray, ids: np.ndarray, other: np.ndarray, present: list, distances: np.ndarray
+    ) -> list[pd.DataFrame]:
+        """Lines of the points ``ids``; ``present`` holds per labeling the other block's clusters."""
         out = []
-        for at, v in enumerate(variants):
-            mine, theirs = own[:, at], other[:, at]
-            inside, known = ~np.isnan(mine), ~np.isnan(theirs)
-            if not inside.any() or not known.any():
+        for v, (clusters, member, whole, size) in enumerate(present):
+            mine = own[:, v]
+            inside = ~np.isnan(mine)
+            if not inside.any() or len(clusters) == 0:
                 continue
-            clusters, place = np.unique(theirs[known], return_inverse=True)
-            member = np.zeros((int(known.sum()), len(clusters)))
-            member[np.arange(len(place)), place] = 1.0
-            part = distances[np.ix_(inside, known)] @ member
-            out.append(
-                pd.DataFrame(
-                    {
-                        "variant": v,
-                        "id": np.repeat(ids[inside], len(clusters)),
-                        "own": np.repeat(mine[inside], len(clusters)).astype(np.int64),
-                        "label": np.tile(clusters, int(inside.sum())).astype(np.int64),
-                        "distance": part.ravel(),
-                    }
-                )
-            )
+            mine, who = mine[inside], ids[inside]
+            part = distances[inside] @ member
+            of_own = mine[:, None] == clusters[None, :]
+            finished = whole[None, :] & ~of_own
+            rows, columns = np.nonzero(~finished)
+            out.append(_lines(v, who[rows], mine[rows], clusters[columns], part[rows, columns]))
+            if finished.any():
+                nearest = np.where(finished, part / size[None, :], np.inf).min(axis=1)
+                rows = np.flatnonzero(np.isfinite(nearest))
+                out.append(_lines(v, who[rows], mine[rows], np.full(len(rows), np.nan), nearest[rows]))
+        return out
+
+    def clusters_of(labels: np.ndarray) -> list:
+        """Per labeling: cluster numbers, membership matrix, whether each is complete, its size."""
+        out = []
+        for v in range(labels.shape[1]):
+            column = labels[:, v]
+            inside = ~np.isnan(column)
+            clusters, place, counts = np.unique(column[inside], return_inverse=True, return_counts=True)
+            member = np.zeros((len(column), len(clusters)))
+            member[np.flatnonzero(inside), place] = 1.0
+            total = np.array([known.get((v, int(c)), -1) for c in clusters], dtype=np.float64)
+            out.append((clusters, member, total == counts, total))
         return out
 
     def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -324,28 +375,34 @@ def silhouettes(clustered: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame
         lb = np.array(b["labels"].tolist(), dtype=np.float64)
         ia, ib = a["id"].to_numpy(), b["id"].to_numpy()
         same_block = a["_i"].iloc[0] == a["_j"].iloc[0]
+        in_b = clusters_of(lb)
         out = []
         for at in range(0, len(a), _CHUNK):
             piece = slice(at, at + _CHUNK)
             distances = _distances(xa[piece], xb)
             distances[ia[piece][:, None] == ib[None, :]] = 0.0
-            out += sums(la[piece], ia[piece], lb, distances)
-            if not same_block:
-                out += sums(lb, ib, la[piece], distances.T)
-        empty = pd.DataFrame({"variant": [], "id": [], "own": [], "label": [], "distance": []})
-        return pd.concat(out, ignore_index=True) if out else empty
-
-    schema = "variant int, id bigint, own bigint, label bigint, distance double"
-    parts = _block_pairs(entries, kernel, schema, symmetric=True, block_rows=block_rows)
-    totals = parts.groupBy("variant", "id", "own", "label").agg(F.sum("distance").alias("distance"))
+            out += sums(la[piece], ia[piece], lb, in_b, distances)
+        if not same_block:
+            in_a = clusters_of(la)
+            for at in range(0, len(b), _CHUNK):
+                piece = slice(at, at + _CHUNK)
+                out += sums(lb[piece], ib[piece], la, in_a, _distances(xb[piece], xa))
+        return pd.concat(out, ignore_index=True) if out else _lines(0, *[np.empty(0)] * 4)
+
+    placed, blocks = _placed_by_locality(labelled.select("id", "x", "labels"), block_rows)
+    schema = "variant int, id bigint, own int, label int, distance double"
+    parts = _block_pairs(placed, blocks, [], kernel, schema, symmetric=True)
+    totals = parts.groupBy("variant", "id", "own", "label").agg(
+        F.sum("distance").alias("distance"), F.min("distance").alias("nearest")
+    )
     same = F.col("own") == F.col("label")
     means = (
-        totals.join(sizes.withColumn("label", F.col("label").cast("bigint")), ["variant", "label"])
+        totals.join(if_small(sizes), ["variant", "label"], "left")
         .groupBy("variant", "id")
         .agg(
             F.max(F.when(same, F.col("size"))).alias("mates"),
             F.max(F.when(same, F.try_divide(F.col("distance"), F.col("size") - 1))).alias("a"),
-            F.min(F.when(~same, F.col("distance") / F.col("size"))).alias("b"),
+            F.min(F.when(F.col("label").isNull(), F.col("nearest")).when(~same, F.col("distance") / F.col("size"))).alias("b"),
         )
     )
     score = F.when(F.col("mates") == 1, F.lit(0.0)).otherwise(
@@ -359,36 +416,46 @@ def silhouettes(clustered: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame
     )
 
 
-def cluster_scores(clustered: DataFrame) -> DataFrame:
-    """``(variant, silhouette, davies_bouldin, calinski_harabasz)``; noise must be left out before."""
-    clustered = checkpoint(clustered)
-    d = dimensions(clustered)
-    spreads = checkpoint(_spreads(clustered, d))
+def _lines(variant: int, ids: np.ndarray, own: np.ndarray, label: np.ndarray, distance: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame(
+        {
+            "variant": np.full(len(ids), variant, dtype=np.int32),
+            "id": ids.astype(np.int64),
+            "own": own.astype(np.int32),
+            "label": pd.array(label, dtype="Float64").astype("Int32"),
+            "distance": distance,
+        }
+    )
+
+
+def cluster_scores(labelled: DataFrame) -> DataFrame:
+    """``(variant, silhouette, davies_bouldin, calinski_harabasz)`` of every labeling."""
+    labelled = checkpoint(labelled.select("id", "x", "labels"))
+    d = dimensions(labelled)
+    spreads = checkpoint(_spreads(members(labelled), d))
     return (
-        silhouettes(clustered)
+        silhouettes(labelled)
         .join(_davies_bouldin(spreads), "variant")
         .join(_calinski_harabasz(spreads, d), "variant")
     )
 
 
-def one_variant(clustered: DataFrame, variant: int = 0) -> DataFrame:
-    return clustered.select(F.lit(variant).alias("variant"), "id", "x", "label")
-
-
 def seed_stability(
     points: DataFrame, k: int, seeds: Iterable[int] = range(42, 47), n_init: int = 10, parallelism: int = 4
 ) -> DataFrame:
     """``(seed, adjusted_rand)`` of each further seed against the first."""
     seeds = list(seeds)
     models = kmeans_models(points, [k], seeds, n_init, parallelism=parallelism)
-    scored = points
-    for s in seeds:
-        model = models[k, s].copy().setFeaturesCol("features").setPredictionCol(f"label_{s}")
-        scored = model.transform(scored if "features" in scored.columns else _vectors(scored))
+    labelled = with_labels(points, [models[k, s] for s in seeds])
+    first = F.col("labels")[0]
     pairs = F.array(
-        *[F.struct(F.lit(s).alias("seed"), F.col(f"label_{seeds[0]}").alias("a"), F.col(f"label_{s}").alias("b")) for s in seeds[1:]]
+        *[
+            F.struct(F.lit(s).alias("seed"), first.alias("a"), F.col("labels")[i].alias("b"))
+            for i, s in enumerate(seeds)
+            if i > 0
+        ]
     )
-    return adjusted_rand(scored.select(F.inline(pairs)), "a", "b", ["seed"])
+    return adjusted_rand(labelled.select(F.inline(pairs)), "a", "b", ["seed"])
 
 
 # Names of the stability levels and their bounds.

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.functions.arrays import squared_distance
-from tablegauge.operators.clustering import cluster_scores, dimensions
+from tablegauge.operators.clustering import SCORES, cluster_scores, dimensions
 from tablegauge.operators.ranks import running_totals
 from tablegauge.session import checkpoint, checkpoint_counting, if_small
 
@@ -324,9 +324,18 @@ def dbscan_sweep(
     fits = F.col("n_labels") > 2
     if max_noise is not None:
         fits = fits & (F.col("noise_ratio") <= max_noise)
-    kept = labels.where(F.col("label") != NOISE).join(F.broadcast(shape.where(fits).select("setting")), "setting")
-    clustered = kept.join(points, "id").select(F.col("setting").alias("variant"), "id", "x", "label")
-    scores = cluster_scores(clustered).withColumnRenamed("variant", "setting")
+    scored = [r["setting"] for r in shape.where(fits).select("setting").orderBy("setting").collect()]
+    kept = labels.where(F.col("setting").isin(scored) & (F.col("label") != NOISE))
+    # One entry per setting at most, so the lists stay short.
+    by_setting = F.map_from_entries(F.collect_list(F.struct("setting", "label")))
+    per_point = kept.groupBy("id").agg(by_setting.alias("_by_setting"))
+    chosen = F.array(*[F.try_element_at("_by_setting", F.lit(s)) for s in scored]).cast("array<int>")
+    labelled = per_point.join(points, "id").select("id", "x", chosen.alias("labels"))
+    setting = F.element_at(F.array(*[F.lit(s) for s in scored]).cast("array<int>"), F.col("variant") + 1)
+    scores = cluster_scores(labelled).select(setting.alias("setting"), *SCORES) if scored else None
+    if scores is None:
+        empty = ", ".join(f"{c} double" for c in SCORES)
+        scores = spark.createDataFrame([], f"setting int, {empty}")
     table = checkpoint(shape.join(F.broadcast(scores), "setting", "left"))
     # A later setting must be strictly better, and better than -1.
     best = (

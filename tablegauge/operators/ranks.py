@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from tablegauge.session import checkpoint
+
 # Rows one task may sort. Larger groups are narrowed first.
 TASK_ROWS = 2_000_000
 BINS = 1024
@@ -223,6 +225,8 @@ def running_totals(
     """
     groups = groups or []
     direction = F.desc if descending else F.asc
+    # Written once, because the size, the cuts and the totals all read it.
+    counts = checkpoint(counts)
     size = counts.count()
     if size <= limit:
         window = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(direction(order))

@@ -46,11 +46,11 @@ def evaluate(
     scaled = checkpoint(clustering.scale_points(points))
 
     models = clustering.kmeans_models(scaled, ks, [seed], n_init, parallelism=parallelism)
-    runs = checkpoint(clustering.labelings(scaled, {k: m for (k, _), m in models.items()}))
-    scores = clustering.cluster_scores(runs).withColumnRenamed("variant", "k")
-    k_scores = clustering.mark_best(scores, "silhouette", "k")
+    tried = [k for k, _ in models]
+    runs = checkpoint(clustering.with_labels(scaled, list(models.values())))
+    k_scores = checkpoint(clustering.score_ks(runs, tried))
     chosen = k_scores.where("is_best").first()
-    k_labels = runs.where(F.col("variant") == chosen["k"]).select("id", "label")
+    k_labels = runs.select("id", F.col("labels")[tried.index(chosen["k"])].alias("label"))
 
     table, labelings = density.dbscan_sweep(scaled, eps_range, min_samples_range, max_noise)
     table = checkpoint(table)

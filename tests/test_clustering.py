@@ -127,10 +127,8 @@ def test_scores_match_brute_force(spark, blobs, block_rows):
     lone = np.zeros(len(blobs), dtype=int)
     lone[:150], lone[150] = 1, 2
     labelings.append(lone)
-    rows = [
-        (v, i, [float(c) for c in blobs[i]], int(lab[i])) for v, lab in enumerate(labelings) for i in range(len(blobs))
-    ]
-    frame = spark.createDataFrame(rows, "variant int, id bigint, x array<double>, label int")
+    rows = [(i, [float(c) for c in blobs[i]], [int(lab[i]) for lab in labelings]) for i in range(len(blobs))]
+    frame = spark.createDataFrame(rows, "id bigint, x array<double>, labels array<int>")
     sil = {r.variant: r.silhouette for r in clustering.silhouettes(frame, block_rows).collect()}
     rest = {r.variant: r for r in clustering.cluster_scores(frame).collect()}
     for v, lab in enumerate(labelings):
@@ -142,9 +140,10 @@ def test_scores_match_brute_force(spark, blobs, block_rows):
 def test_silhouette_of_partial_labelings(spark, blobs):
     lab = (blobs[:, 0] > 2).astype(int)
     keep = blobs[:, 1] > 1
-    rows = [(0, i, [float(c) for c in blobs[i]], int(lab[i])) for i in range(len(blobs))]
-    rows += [(1, i, [float(c) for c in blobs[i]], int(lab[i])) for i in range(len(blobs)) if keep[i]]
-    frame = spark.createDataFrame(rows, "variant int, id bigint, x array<double>, label int")
+    rows = [
+        (i, [float(c) for c in blobs[i]], [int(lab[i]), int(lab[i]) if keep[i] else None]) for i in range(len(blobs))
+    ]
+    frame = spark.createDataFrame(rows, "id bigint, x array<double>, labels array<int>")
     sil = {r.variant: r.silhouette for r in clustering.silhouettes(frame, 50).collect()}
     assert sil[0] == pytest.approx(brute_silhouette(blobs, lab), abs=1e-9)
     assert sil[1] == pytest.approx(brute_silhouette(blobs[keep], lab[keep]), abs=1e-9)
@@ -227,3 +226,16 @@ def test_dbscan_sweep_picks_best_silhouette(spark, blobs):
         if score > best:
             best, expected = score, i
     assert rows.index[rows.is_best].tolist() == [expected]
+
+
+def test_silhouette_with_ties_and_many_small_clusters(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([np.tile([[1.0, 2.0]], (90, 1)), rng.uniform(-5, 5, (150, 2))])
+    small = np.concatenate([np.zeros(90, dtype=int), 1 + (x[90:, 0] * 3).astype(int) + 20 * (x[90:, 1] * 3).astype(int)])
+    rows = [(i, [float(c) for c in x[i]], [int(small[i]), i % 2]) for i in range(len(x))]
+    frame = spark.createDataFrame(rows, "id bigint, x array<double>, labels array<int>")
+    want = [brute_silhouette(x, small), brute_silhouette(x, np.arange(len(x)) % 2)]
+    for known in (200_000, 0):
+        monkeypatch.setattr(clustering, "BROADCAST_ROWS", known)
+        got = {r.variant: r.silhouette for r in clustering.silhouettes(frame, 32).collect()}
+        assert [got[0], got[1]] == pytest.approx(want, abs=1e-9)

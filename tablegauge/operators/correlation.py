@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.functions.scalars import clip, number_columns, present
-from tablegauge.operators.profile import project, table_stats
+from tablegauge.operators.profile import project
 
 # Up to this many columns the pair sums are plain aggregate expressions. Beyond it, six sums
 # per pair cost more in one aggregate than a matrix product over Arrow batches.
@@ -27,7 +27,8 @@ def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFr
     if not names:
         return df.sparkSession.createDataFrame([], _EMPTY)
     numbers = project(df, names)
-    centers = [c.mean or 0.0 for c in table_stats(numbers).columns]
+    means = numbers.agg(*[F.avg(present(numbers, n).cast("double")).alias(f"m{i}") for i, n in enumerate(names)])
+    centers = [m or 0.0 for m in means.first()]
     moments = _by_expression if len(names) <= EXPRESSION_COLUMNS else _by_matrix
     sums = moments(numbers, names, centers)
 

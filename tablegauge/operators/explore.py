@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablegauge.functions.scalars import nan_to_null, number_columns, percent, present, round_half_even
-from tablegauge.operators.profile import table_stats
 from tablegauge.operators.ranks import TASK_ROWS, Target, exact_quantiles, order_statistics
-from tablegauge.operators.values import runs, stack
+from tablegauge.operators.values import key_text, runs, stack
+from tablegauge.session import checkpoint, if_small
 
 
 def above(df: DataFrame, name: str, bound: float) -> DataFrame:
@@ -60,7 +61,11 @@ def flag_duplicates(df: DataFrame, row_id: str, columns: list[str] | None = None
     copies of one row together, however many there are.
     """
     columns = columns or [c for c in df.columns if c != row_id]
-    keys = [present(df, c).alias(f"_k{i}") for i, c in enumerate(columns)]
+    # Long text is compared by its SHA-256, so that documents do not travel.
+    keys = [
+        (key_text(F.col(f"`{c}`")) if isinstance(df.schema[c].dataType, T.StringType) else present(df, c)).alias(f"_k{i}")
+        for i, c in enumerate(columns)
+    ]
     firsts = df.groupBy(*keys).agg(F.min(F.col(row_id)).alias("_first")).select("_first")
     return (
         df.join(firsts, df[row_id] == firsts["_first"], "left")
@@ -148,8 +153,10 @@ def histograms(
     names = (number_columns(df) if columns is None else columns)[:max_columns]
     spark = df.sparkSession
     schema = "ordinal int, column string, bin int, low double, high double"
-    stats = table_stats(df.select(*[F.col(f"`{n}`") for n in names])).columns if names else []
-    filled = [(i, c.name, c.low, c.high) for i, c in enumerate(stats) if c.low is not None]
+    ends = [f(present(df, n).cast("double")) for n in names for f in (F.min, F.max)]
+    found = list(df.agg(*ends).first()) if names else []
+    ranges = zip(range(len(names)), names, found[::2], found[1::2])
+    filled = [r for r in ranges if r[2] is not None]
     if not filled:
         return spark.createDataFrame([], schema + ", count bigint")
     grid, entries = [], []
@@ -211,12 +218,12 @@ def box_stats(df: DataFrame, group: str, name: str, limit: int = TASK_ROWS) -> D
     """Box-plot numbers per group: quartiles, whisker ends within 1.5 IQR, outlier count."""
     rows = df.select(F.col(f"`{group}`").alias(group), present(df, name).cast("double").alias("_x"))
     rows = rows.where(F.col("_x").isNotNull() & F.col(group).isNotNull())
-    quartiles = exact_quantiles(rows, [group], "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, limit)
+    quartiles = checkpoint(exact_quantiles(rows, [group], "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, limit))
     low = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     high = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("_x").between(low, high)
     ends = (
-        rows.join(quartiles, group)
+        rows.join(if_small(quartiles), group)
         .groupBy(group, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("_x"))).alias("lo"),
@@ -240,10 +247,10 @@ def box_outliers(df: DataFrame, group: str, name: str, limit: int = TASK_ROWS) -
     """The points beyond the whiskers: ``(group, value)``."""
     rows = df.select(F.col(f"`{group}`").alias(group), present(df, name).cast("double").alias("value"))
     rows = rows.where(F.col("value").isNotNull() & F.col(group).isNotNull())
-    quartiles = exact_quantiles(rows, [group], "value", {"q1": 0.25, "q3": 0.75}, limit)
+    quartiles = checkpoint(exact_quantiles(rows, [group], "value", {"q1": 0.25, "q3": 0.75}, limit))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     beyond = (F.col("value") < F.col("q1") - reach) | (F.col("value") > F.col("q3") + reach)
-    return rows.join(quartiles, group).where(beyond).select(group, "value")
+    return rows.join(if_small(quartiles), group).where(beyond).select(group, "value")
 
 
 def scatter_series(df: DataFrame, x: str, y: str, group: str) -> DataFrame:

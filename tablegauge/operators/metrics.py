@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.operators.ranks import TASK_ROWS, running_totals
+from tablegauge.session import checkpoint, if_small
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -59,15 +60,16 @@ def roc_curve(
     """``(threshold, fpr, tpr)`` at every distinct score, plus the (0, 0) start at infinity."""
     groups = groups or []
     counts = score_counts(df, label, score, groups)
-    whole = counts.groupBy(*groups).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     ranked = running_totals(counts, "score", ["pos", "neg"], groups, descending=True, limit=limit)
+    # The last running total is the whole.
+    whole = checkpoint(ranked.groupBy(*groups).agg(F.max("cum_pos").alias("_p"), F.max("cum_neg").alias("_n")))
     points = ranked.select(*groups, F.col("score").alias("threshold"), "cum_pos", "cum_neg")
     zero = F.lit(0).cast("bigint")
     start = whole.select(
         *groups, F.lit(float("inf")).alias("threshold"), zero.alias("cum_pos"), zero.alias("cum_neg")
     )
     if groups:
-        joined = points.unionByName(start).join(whole, groups)
+        joined = points.unionByName(start).join(if_small(whole), groups)
         all_pos, all_neg = F.col("_p"), F.col("_n")
     else:
         joined = points.unionByName(start)

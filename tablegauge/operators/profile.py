@@ -215,23 +215,24 @@ def dataset_record(df: DataFrame, order_by: Column | None = None) -> DataFrame:
 
 def missing_table(df: DataFrame, stats: TableStats | None = None) -> DataFrame:
     """``(column, missing_count, missing_share)``, largest share first; empty for no rows."""
-    stats = stats or table_stats(df)
-    n = stats.n_rows
-    rows = [(c.ordinal, c.name, n - c.non_null, (n - c.non_null) / n) for c in stats.columns] if n else []
-    frame = df.sparkSession.createDataFrame(
-        rows, "ordinal int, column string, missing_count bigint, missing_share double"
-    )
-    return frame.orderBy(F.desc("missing_share"), "ordinal").drop("ordinal")
+    if stats is None:
+        rows = _per_column(df, "missing_count", lambda c: F.count_if(c.isNull()))
+    else:
+        counts = [(c.ordinal, c.name, stats.n_rows - c.non_null, stats.n_rows) for c in stats.columns]
+        schema = "ordinal int, column string, missing_count bigint, _n bigint"
+        rows = df.sparkSession.createDataFrame(counts, schema)
+    rows = rows.where("_n > 0").withColumn("missing_share", F.col("missing_count") / F.col("_n"))
+    return rows.orderBy(F.desc("missing_share"), "ordinal").select("column", "missing_count", "missing_share")
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """``(column, missing)`` in column order, as part of the plan."""
-    return _per_column(df, "missing", lambda c: F.count_if(c.isNull()))
+    return _per_column(df, "missing", lambda c: F.count_if(c.isNull())).drop("_n")
 
 
 def missing_shares(df: DataFrame) -> DataFrame:
     """``(column, missing_share)`` in column order."""
-    return _per_column(df, "missing_share", lambda c: F.avg(c.isNull().cast("int")))
+    return _per_column(df, "missing_share", lambda c: F.avg(c.isNull().cast("int"))).drop("_n")
 
 
 def schema_info(df: DataFrame) -> DataFrame:
@@ -249,11 +250,12 @@ def schema_info(df: DataFrame) -> DataFrame:
 
 
 def _per_column(df: DataFrame, label: str, measure) -> DataFrame:
+    """One row per column with its measure, next to the row count ``_n``."""
     entries = [
         F.struct(F.lit(i).alias("ordinal"), F.lit(n).alias("column"), measure(present(df, n)).alias(label))
         for i, n in enumerate(df.columns)
     ]
-    return df.agg(F.array(*entries).alias("e")).select(F.inline("e"))
+    return df.agg(F.array(*entries).alias("e"), F.count(F.lit(1)).alias("_n")).select(F.inline("e"), "_n")
 
 
 def column_types(df: DataFrame) -> DataFrame:

@@ -54,7 +54,8 @@ def _digest(col: Column) -> Column:
     return F.concat(F.lit(_DIGEST_MARK), F.sha2(col, 256))
 
 
-def _key_text(col: Column) -> Column:
+def key_text(col: Column) -> Column:
+    """Short text as it is, long text as its digest."""
     return F.when(F.octet_length(col) > LONG_TEXT, _digest(col)).otherwise(col)
 
 
@@ -62,14 +63,16 @@ def _key_text(col: Column) -> Column:
 _SLOTS = {INT: "l", BOOL: "l", TIME: "l", FLOAT: "d", SINGLE: "d", TEXT: "s"}
 _LAST = 2**63 - 1
 _SLOT_TYPES = {"l": "bigint", "d": "double", "s": "string"}
-# Columns that share one pass, and the most passes over one table.
+# Columns that share one pass, and the most passes over one table. With an order key, which
+# every pass reads again, passes are wider.
 _PASS_COLUMNS = 3
+_ORDERED_PASS_COLUMNS = 16
 _MOST_PASSES = 16
 
 
-def runs(items: list) -> list[list]:
+def runs(items: list, width: int = _PASS_COLUMNS) -> list[list]:
     """Items cut into passes. A pass reads its own columns only, and passes run side by side."""
-    width = max(_PASS_COLUMNS, -(-len(items) // _MOST_PASSES))
+    width = max(width, -(-len(items) // _MOST_PASSES))
     return [items[at : at + width] for at in range(0, len(items), width)]
 
 
@@ -89,16 +92,17 @@ def _slot_value(df: DataFrame, name: str, whole_text: bool) -> Column:
     if kind in (FLOAT, SINGLE):
         return present(df, name).cast("double")
     text = text_slot(df, name)
-    return text if whole_text else _key_text(text)
+    return text if whole_text else key_text(text)
 
 
 def _passes(df: DataFrame, names: list[str], order_by: Column | None, whole_text: bool = False):
     """Per storage class and run of columns: its slot and rows ``(o, c, v)`` without gaps."""
+    width = _PASS_COLUMNS if order_by is None else _ORDERED_PASS_COLUMNS
     order = F.lit(0) if order_by is None else order_by
     order = F.coalesce(order.cast("bigint"), F.lit(_LAST))
     for slot in _SLOT_TYPES:
         mine = [(i, n) for i, n in enumerate(names) if _SLOTS[kind_of(df.schema[n].dataType)] == slot]
-        for run in runs(mine):
+        for run in runs(mine, width):
             entries = [F.struct(F.lit(i).alias("c"), _slot_value(df, n, whole_text).alias("v")) for i, n in run]
             yield slot, df.select(order.alias("o"), F.inline(F.array(*entries))).where(F.col("v").isNotNull())
 

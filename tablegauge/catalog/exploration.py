@@ -28,7 +28,8 @@ def below(spark: SparkSession, folder: str) -> DataFrame:
 )
 def contradiction(spark: SparkSession, folder: str) -> DataFrame:
     items = load_table(spark, folder, "lineitem")
-    return explore.contradiction(items, F.col("l_quantity") > 40, F.col("l_discount") == 0).select(
+    conditions = explore.compare(items, "l_quantity", ">", 40), explore.compare(items, "l_discount", "==", 0)
+    return explore.contradiction(items, *conditions).select(
         "l_orderkey", "l_quantity", "l_discount"
     )
 
@@ -70,12 +71,13 @@ def without_noise(spark: SparkSession, folder: str) -> DataFrame:
     ),
 )
 def rule_check(spark: SparkSession, folder: str) -> DataFrame:
+    items = load_table(spark, folder, "lineitem")
     rules = {
-        "huge_quantity": F.col("l_quantity") > 45,
-        "no_tax": F.col("l_tax") == 0,
+        "huge_quantity": explore.compare(items, "l_quantity", ">", 45),
+        "no_tax": explore.compare(items, "l_tax", "==", 0),
         "early_return": (F.col("l_returnflag") == "R") & (F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz")),
     }
-    return explore.rule_check(load_table(spark, folder, "lineitem"), rules).select(
+    return explore.rule_check(items, rules).select(
         "rule", "l_orderkey", "l_quantity", "l_discount"
     )
 

@@ -3,39 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegauge.functions.scalars import nan_to_null, number_columns, percent, present, round_half_even
+from tablegauge.functions.scalars import FLOATING, number_columns, percent, present, round_half_even
 from tablegauge.operators.ranks import TASK_ROWS, Target, exact_quantiles, order_statistics
 from tablegauge.operators.values import key_text, runs, stack
 from tablegauge.session import checkpoint, if_small
 
 
+COMPARISONS = {
+    "<": lambda c, v: c < v,
+    "<=": lambda c, v: c <= v,
+    "==": lambda c, v: c == v,
+    ">": lambda c, v: c > v,
+    ">=": lambda c, v: c >= v,
+}
+
+
+def compare(df: DataFrame, name: str, op: str, value) -> Column:
+    """A condition on one column that missing numbers never meet.
+
+    The engine ranks NaN above all numbers, so the upward comparisons rule it out; the plain
+    comparison stays in front, where the scan can use it.
+    """
+    col = F.col(f"`{name}`")
+    condition = COMPARISONS[op](col, value)
+    if op.startswith(">") and isinstance(df.schema[name].dataType, FLOATING):
+        condition = condition & ~F.isnan(col)
+    return condition
+
+
 def above(df: DataFrame, name: str, bound: float) -> DataFrame:
-    return df.where(present(df, name) > bound)
+    return df.where(compare(df, name, ">", bound))
 
 
 def below(df: DataFrame, name: str, bound: float) -> DataFrame:
-    return df.where(present(df, name) < bound)
+    return df.where(compare(df, name, "<", bound))
 
 
 def contradiction(df: DataFrame, *conditions: Column) -> DataFrame:
-    """Rows that meet all conditions at once; a missing number meets none."""
-    df = nan_to_null(df)
+    """Rows that meet all conditions at once; see ``compare`` for conditions on numbers."""
     for c in conditions:
         df = df.where(c)
     return df
 
 
 def equal_to(df: DataFrame, name: str, value) -> DataFrame:
-    return df.where(F.col(f"`{name}`") == value)
+    return df.where(compare(df, name, "==", value))
 
 
 def without_missing(df: DataFrame, name: str) -> DataFrame:
-    return df.where(present(df, name).isNotNull())
+    col = F.col(f"`{name}`")
+    kept = df.where(col.isNotNull())
+    return kept.where(~F.isnan(col)) if isinstance(df.schema[name].dataType, FLOATING) else kept
 
 
 def without_noise(df: DataFrame, label: str = "label") -> DataFrame:
@@ -46,11 +70,11 @@ def without_noise(df: DataFrame, label: str = "label") -> DataFrame:
 def rule_check(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Rows that break a rule, once per rule, in a single pass: ``(rule, *columns)``.
 
-    A missing number breaks no rule.
+    See ``compare`` for rules on numbers.
     """
-    df = nan_to_null(df)
+    broken = reduce(lambda a, b: a | b, rules.values())
     hits = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]), lambda r: r.isNotNull())
-    return df.select(F.explode(hits).alias("rule"), *df.columns)
+    return df.where(broken).select(F.explode(hits).alias("rule"), *df.columns)
 
 
 def flag_duplicates(df: DataFrame, row_id: str, columns: list[str] | None = None) -> DataFrame:
@@ -120,7 +144,10 @@ def group_table(
 
 
 def cut(col: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
-    """Label of the left-closed bin [edge, next edge) a value falls into, null outside."""
+    """Label of the left-closed bin [edge, next edge) a value falls into, null outside.
+
+    NaN lies beyond every upper edge.
+    """
     out = None
     for low, high, label in zip(edges[:-1], edges[1:], labels, strict=True):
         inside = (col >= low) & (col < high)
@@ -137,7 +164,9 @@ def binned_table(
     bin_name: str = "bin",
 ) -> DataFrame:
     """``group_table`` over the bins of a column, in bin order, empty bins left out."""
-    binned = df.withColumn(bin_name, cut(present(df, name), edges, labels))
+    col = F.col(f"`{name}`")
+    # The outer edges first, in a form the scan can use.
+    binned = df.where((col >= edges[0]) & (col < edges[-1])).withColumn(bin_name, cut(col, edges, labels))
     place = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(bin_name))
     return group_table(binned, bin_name, measures).orderBy(place)
 

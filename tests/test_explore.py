@@ -43,14 +43,19 @@ def ids(df):
 def test_filters(people, people_df):
     assert ids(explore.above(people_df, "age", 100)) == people[people.age > 100].id.tolist()
     assert ids(explore.below(people_df, "purchases", 0)) == people[people.purchases < 0].id.tolist()
-    both = explore.contradiction(people_df, F.col("purchases") > 0, F.col("revenue") == 0)
+    both = explore.contradiction(
+        people_df, explore.compare(people_df, "purchases", ">", 0), explore.compare(people_df, "revenue", "==", 0)
+    )
     assert ids(both) == people[(people.purchases > 0) & (people.revenue == 0)].id.tolist()
     assert ids(explore.equal_to(people_df, "country", "DE")) == people[people.country == "DE"].id.tolist()
     assert ids(explore.without_missing(people_df, "age")) == people[people.age.notna()].id.tolist()
 
 
 def test_rule_check_gives_one_row_per_broken_rule(people, people_df):
-    rules = {"old": F.col("age") > 100, "negative": F.col("purchases") < 0}
+    rules = {
+        "old": explore.compare(people_df, "age", ">", 100),
+        "negative": explore.compare(people_df, "purchases", "<", 0),
+    }
     got = explore.rule_check(people_df, rules).groupBy("rule").count().collect()
     want = {"old": (people.age > 100).sum(), "negative": (people.purchases < 0).sum()}
     assert {r["rule"]: r["count"] for r in got} == want

@@ -23,6 +23,7 @@ from tablegauge.session import BROADCAST_ROWS, checkpoint, if_small
 # Points per side of a block whose distances one task works out at a time.
 BLOCK_ROWS = 8_192
 _CHUNK = 512
+MOST_PAIR_TASKS = 10_000
 
 
 def points_from_columns(df: DataFrame, row_id: str, columns: list[str] | None = None) -> DataFrame:
@@ -271,28 +272,40 @@ def _block_count(rows: int, block_rows: int, parallelism: int) -> int:
 def _placed_by_locality(points: DataFrame, block_rows: int) -> tuple[DataFrame, int]:
     """``points`` with a block number ``_own``, and the number of blocks.
 
-    Blocks are slices of the first axis, so that a small cluster mostly lies in one block.
-    A slice that ties make too large is split further by id.
+    Blocks are runs of slices of the first axis, so that a small cluster mostly lies in one
+    block. Every cut value gets a slice of its own; one that ties make too large for a block
+    is split by id.
     """
     n = points.count()
     wanted = _block_count(n, block_rows, points.sparkSession.sparkContext.defaultParallelism)
+    if wanted == 1:
+        return points.withColumn("_own", F.lit(0)), 1
     axis = points.withColumn("_axis", F.col("x")[0])
-    probabilities = [i / wanted for i in range(1, wanted)]
-    cuts = sorted(set(axis.approxQuantile("_axis", probabilities, 0.1 / wanted))) if wanted > 1 else []
-    if cuts:
-        slicer = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="_axis", outputCol="_slice")
-        sliced = slicer.transform(axis).withColumn("_slice", F.col("_slice").cast("int"))
-    else:
-        sliced = axis.withColumn("_slice", F.lit(0))
+    probabilities = [i / (4 * wanted) for i in range(1, 4 * wanted)]
+    values = axis.approxQuantile("_axis", probabilities, 0.02 / wanted)
+    cuts = sorted({c for v in values for c in (v, float(np.nextafter(v, np.inf)))})
+    slicer = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="_axis", outputCol="_slice")
+    sliced = slicer.transform(axis).withColumn("_slice", F.col("_slice").cast("int"))
     found = dict(sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")).collect())
-    parts = [max(1, -(-found.get(s, 0) // block_rows)) for s in range(len(cuts) + 1)]
-    starts = [sum(parts[:s]) for s in range(len(parts))]
+
+    target = -(-n // wanted)
+    starts, parts, blocks, filled = [], [], 0, 0
+    for s in range(len(cuts) + 1):
+        rows = found.get(s, 0)
+        if filled and filled + rows > target:
+            blocks, filled = blocks + 1, 0
+        starts.append(blocks)
+        parts.append(max(1, -(-rows // target)))
+        if parts[-1] > 1:
+            blocks, filled = blocks + parts[-1], 0
+        else:
+            filled += rows
 
     def of_slice(numbers: list[int]) -> Column:
         return F.element_at(F.array(*[F.lit(v) for v in numbers]), F.col("_slice") + 1)
 
     own = of_slice(starts) + F.pmod(F.xxhash64("id"), of_slice(parts)).cast("int")
-    return sliced.withColumn("_own", own).drop("_axis", "_slice"), sum(parts)
+    return sliced.withColumn("_own", own).drop("_axis", "_slice"), blocks + (1 if filled else 0)
 
 
 def _block_pairs(
@@ -312,6 +325,9 @@ def _block_pairs(
     again = placed.select(*[F.col(c).alias(c) for c in placed.columns])
     right = again.select("*", F.explode(F.sequence(F.lit(0), stop)).alias("_i")).withColumnRenamed("_own", "_j")
     keys = [*groups, "_i", "_j"]
+    # The work grows with the square of the rows, so few bytes must not mean few tasks.
+    tasks = min(MOST_PAIR_TASKS, blocks * (blocks + 1) // 2 if symmetric else blocks * blocks)
+    left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if len(a) == 0 or len(b) == 0:
@@ -339,13 +355,13 @@ def silhouettes(labelled: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     ) -> list[pd.DataFrame]:
         """Lines of the points ``ids``; ``present`` holds per labeling the other block's clusters."""
         out = []
-        for v, (clusters, member, whole, size) in enumerate(present):
+        for v, (clusters, order, starts, whole, size) in enumerate(present):
             mine = own[:, v]
             inside = ~np.isnan(mine)
             if not inside.any() or len(clusters) == 0:
                 continue
             mine, who = mine[inside], ids[inside]
-            part = distances[inside] @ member
+            part = np.add.reduceat(distances[inside][:, order], starts, axis=1)
             of_own = mine[:, None] == clusters[None, :]
             finished = whole[None, :] & ~of_own
             rows, columns = np.nonzero(~finished)
@@ -357,16 +373,17 @@ def silhouettes(labelled: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         return out
 
     def clusters_of(labels: np.ndarray) -> list:
-        """Per labeling: cluster numbers, membership matrix, whether each is complete, its size."""
+        """Per labeling: cluster numbers, columns in cluster order, where each starts, whether it
+        is complete, and its size."""
         out = []
         for v in range(labels.shape[1]):
             column = labels[:, v]
             inside = ~np.isnan(column)
-            clusters, place, counts = np.unique(column[inside], return_inverse=True, return_counts=True)
-            member = np.zeros((len(column), len(clusters)))
-            member[np.flatnonzero(inside), place] = 1.0
+            clusters, counts = np.unique(column[inside], return_counts=True)
+            order = np.argsort(column, kind="stable")[: int(inside.sum())]
+            starts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
             total = np.array([known.get((v, int(c)), -1) for c in clusters], dtype=np.float64)
-            out.append((clusters, member, total == counts, total))
+            out.append((clusters, order, starts, total == counts, total))
         return out
 
     def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:

@@ -65,33 +65,45 @@ def order_statistics(
     return targets
 
 
-def _target_frame(rows: DataFrame, groups: list[str], targets: list[Target]) -> DataFrame:
+def _bracketed(rows: DataFrame, groups: list[str], targets: list[Target]) -> tuple[DataFrame, DataFrame]:
+    """Rows inside a bracket with its number ``_b``, and ``(_t, _b, _pos)`` of every target.
+
+    Ranks that still share a bracket read its rows once. Both small frames hold a few
+    numbers per target.
+    """
     dtype = rows.schema["_v"].dataType
+    numbers: dict[tuple, int] = {}
+    places = []
+    for i, t in enumerate(targets):
+        b = numbers.setdefault((t.key, t.low, t.high), len(numbers))
+        places.append((i, b, t.rank - t.below))
     schema = T.StructType(
-        [T.StructField("_t", T.IntegerType())]
-        + [rows.schema[g] for g in groups]
-        + [
-            T.StructField("_lo", dtype),
-            T.StructField("_hi", dtype),
-            T.StructField("_pos", T.LongType()),
-        ]
+        [T.StructField("_b", T.IntegerType())]
+        + [T.StructField(f"_g_{g}", rows.schema[g].dataType) for g in groups]
+        + [T.StructField("_lo", dtype), T.StructField("_hi", dtype)]
     )
-    data = [(i, *t.key, t.low, t.high, t.rank - t.below) for i, t in enumerate(targets)]
-    return rows.sparkSession.createDataFrame(data, schema)
-
-
-def _bracketed(rows: DataFrame, groups: list[str], targets: list[Target]) -> DataFrame:
-    """Rows inside the bracket of each target; a target's side is a few numbers."""
-    wanted = _target_frame(rows, groups, targets).withColumnsRenamed({g: f"_g_{g}" for g in groups})
+    spark = rows.sparkSession
+    brackets = spark.createDataFrame([(b, *key, lo, hi) for (key, lo, hi), b in numbers.items()], schema)
     match = F.col("_lo").isNull() | F.col("_v").between(F.col("_lo"), F.col("_hi"))
     for g in groups:
-        match = match & rows[g].eqNullSafe(wanted[f"_g_{g}"])
-    return rows.join(F.broadcast(wanted), match)
+        match = match & rows[g].eqNullSafe(brackets[f"_g_{g}"])
+    inside = rows.join(F.broadcast(brackets), match)
+    return inside, spark.createDataFrame(places, "_t int, _b int, _pos bigint")
+
+
+def _holding(counts: DataFrame, order: str, wanted: DataFrame) -> DataFrame:
+    """The line of ``counts`` that holds the wanted position of each target, with ``before``."""
+    upto = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    lines = counts.withColumn("before", F.sum("n").over(upto) - F.col("n"))
+    return lines.join(F.broadcast(wanted), "_b").where(
+        (F.col("before") <= F.col("_pos")) & (F.col("_pos") < F.col("before") + F.col("n"))
+    )
 
 
 def _bound(rows: DataFrame, groups: list[str], targets: list[Target]) -> None:
-    found = _bracketed(rows, groups, targets).groupBy("_t").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-    for r in found.collect():
+    inside, wanted = _bracketed(rows, groups, targets)
+    found = inside.groupBy("_b").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    for r in found.join(F.broadcast(wanted), "_b").collect():
         t = targets[r["_t"]]
         t.low, t.high, t._inside = r["lo"], r["hi"], t.size
         _close(t)
@@ -108,30 +120,20 @@ def _narrow(rows: DataFrame, groups: list[str], targets: list[Target]) -> None:
     inner = F.floor(F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2) * (BINS - 2))
     inner = F.greatest(F.lit(0), F.least(F.coalesce(inner, F.lit(0)), F.lit(BINS - 2))) + 1
     cut = F.when(F.col("_v") == F.col("_lo"), 0).when(F.col("_v") == F.col("_hi"), BINS).otherwise(inner)
-    bins = (
-        _bracketed(rows, groups, targets)
-        .groupBy("_t", "_pos", cut.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    inside, wanted = _bracketed(rows, groups, targets)
+    bins = inside.groupBy("_b", cut.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
     )
-    upto = Window.partitionBy("_t").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    hit = (
-        bins.withColumn("cum", F.sum("n").over(upto))
-        .where((F.col("cum") > F.col("_pos")) & (F.col("cum") - F.col("n") <= F.col("_pos")))
-        .select("_t", "n", "lo", "hi", (F.col("cum") - F.col("n")).alias("before"))
-    )
-    for r in hit.collect():
+    for r in _holding(bins, "bin", wanted).collect():
         t = targets[r["_t"]]
         t.low, t.high, t._inside, t.below = r["lo"], r["hi"], r["n"], t.below + r["before"]
         _close(t)
 
 
 def _settle(rows: DataFrame, groups: list[str], targets: list[Target]) -> None:
-    counts = _bracketed(rows, groups, targets).groupBy("_t", "_pos", "_v").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("_t").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    hit = counts.withColumn("cum", F.sum("n").over(upto)).where(
-        (F.col("cum") > F.col("_pos")) & (F.col("cum") - F.col("n") <= F.col("_pos"))
-    )
-    for r in hit.select("_t", "_v").collect():
+    inside, wanted = _bracketed(rows, groups, targets)
+    counts = inside.groupBy("_b", "_v").agg(F.count(F.lit(1)).alias("n"))
+    for r in _holding(counts, "_v", wanted).select("_t", "_v").collect():
         targets[r["_t"]].value = r["_v"]
         targets[r["_t"]].done = True
 

@@ -144,10 +144,63 @@ def dbscan(spark: SparkSession, folder: str) -> DataFrame:
     return density.dbscan(flat_points(spark, folder), 0.15, 5)
 
 
-@query("j4_dbscan_sweep")
+def _sweep_sql() -> str:
+    """All settings of the sweep: labels by spreading the smallest core id, then the scores."""
+    eps = ", ".join(f"({i}, {e}::DOUBLE)" for i, e in enumerate(density.EPS_RANGE))
+    least = ", ".join(f"({j}, {m})" for j, m in enumerate(density.MIN_SAMPLES_RANGE))
+    return f"""WITH RECURSIVE pt AS MATERIALIZED (SELECT * FROM {_XY}),
+      st AS MATERIALIZED (SELECT CAST(i * {len(density.MIN_SAMPLES_RANGE)} + j AS INTEGER) AS setting, eps, min_samples
+        FROM (VALUES {eps}) a(i, eps), (VALUES {least}) b(j, min_samples)),
+      pair AS MATERIALIZED (SELECT a.id AS a, b.id AS b, (a.x - b.x) ** 2 + (a.y - b.y) ** 2 AS d2 FROM pt a, pt b),
+      near AS MATERIALIZED (SELECT setting, a, b FROM pair, st WHERE d2 <= eps * eps),
+      core AS MATERIALIZED (SELECT setting, a AS id FROM near JOIN st USING (setting)
+        GROUP BY setting, a, min_samples HAVING count(*) >= min_samples),
+      edge AS MATERIALIZED (SELECT n.setting, n.a, n.b FROM near n JOIN core p ON n.setting = p.setting AND n.a = p.id
+        JOIN core q ON n.setting = q.setting AND n.b = q.id),
+      root(setting, id, root) USING KEY (setting, id) AS (SELECT setting, id, id FROM core UNION
+        SELECT e.setting, e.b, min(r.root) FROM root r JOIN edge e ON r.setting = e.setting AND r.id = e.a
+          JOIN recurring.root c ON c.setting = e.setting AND c.id = e.b WHERE r.root < c.root GROUP BY e.setting, e.b),
+      own AS MATERIALIZED (SELECT setting, id, dense_rank() OVER (PARTITION BY setting ORDER BY root) - 1 AS label FROM root),
+      rim AS (SELECT n.setting, n.a AS id, min(o.label) AS label FROM near n JOIN own o ON n.setting = o.setting AND n.b = o.id
+        GROUP BY 1, 2),
+      lab AS MATERIALIZED (SELECT st.setting, pt.id, coalesce(own.label, rim.label, -1) AS label FROM st CROSS JOIN pt
+        LEFT JOIN own ON own.setting = st.setting AND own.id = pt.id
+        LEFT JOIN rim ON rim.setting = st.setting AND rim.id = pt.id),
+      shape AS MATERIALIZED (SELECT setting, count(DISTINCT label) AS n_labels,
+        avg(CASE WHEN label = -1 THEN 1.0 ELSE 0.0 END)::DOUBLE AS noise_ratio FROM lab GROUP BY 1),
+      kept AS MATERIALIZED (SELECT lab.* FROM lab JOIN shape USING (setting) WHERE label <> -1 AND n_labels > 2),
+      gap AS (SELECT p.setting, p.id, p.label AS own, q.label AS other, sum(sqrt(d2)) AS total, count(*) AS n
+        FROM kept p JOIN kept q ON p.setting = q.setting JOIN pair ON a = p.id AND b = q.id GROUP BY 1, 2, 3, 4),
+      one AS (SELECT setting, id, max(CASE WHEN own = other THEN n END) AS mates,
+        max(CASE WHEN own = other AND n > 1 THEN total / (n - 1) END) AS a,
+        min(CASE WHEN own <> other THEN total / n END) AS b FROM gap GROUP BY 1, 2),
+      sil AS (SELECT setting, avg(CASE WHEN mates = 1 OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS s
+        FROM one GROUP BY 1),
+      cen AS MATERIALIZED (SELECT setting, label, count(*) AS n, avg(x) AS cx, avg(y) AS cy
+        FROM kept JOIN pt USING (id) GROUP BY 1, 2),
+      mid AS (SELECT setting, avg(x) AS mx, avg(y) AS my FROM kept JOIN pt USING (id) GROUP BY 1),
+      spr AS MATERIALIZED (SELECT k.setting, k.label, avg(sqrt((x - cx) ** 2 + (y - cy) ** 2)) AS spread,
+        sum((x - cx) ** 2 + (y - cy) ** 2) AS within
+        FROM kept k JOIN pt USING (id) JOIN cen c ON c.setting = k.setting AND c.label = k.label GROUP BY 1, 2),
+      worst AS (SELECT p.setting, p.label, max((sp.spread + sq.spread) / sqrt((p.cx - q.cx) ** 2 + (p.cy - q.cy) ** 2)) AS r
+        FROM cen p JOIN cen q ON p.setting = q.setting AND p.label <> q.label
+        JOIN spr sp ON sp.setting = p.setting AND sp.label = p.label
+        JOIN spr sq ON sq.setting = q.setting AND sq.label = q.label GROUP BY 1, 2),
+      db AS (SELECT setting, avg(r) AS v FROM worst GROUP BY 1),
+      ch AS (SELECT c.setting, sum(c.n * ((cx - mx) ** 2 + (cy - my) ** 2)) * (sum(c.n) - count(*))
+          / (sum(within) * (count(*) - 1)) AS v
+        FROM cen c JOIN mid USING (setting) JOIN spr s ON s.setting = c.setting AND s.label = c.label GROUP BY 1)
+    SELECT st.setting, eps, min_samples, n_labels, round(noise_ratio, 6) AS noise_ratio, round(s, 6) AS silhouette,
+      round(db.v, 6) AS davies_bouldin, round(ch.v, 4) AS calinski_harabasz,
+      coalesce(st.setting = (SELECT setting FROM sil WHERE s > -1 ORDER BY s DESC, setting LIMIT 1), false) AS is_best
+    FROM st JOIN shape USING (setting) LEFT JOIN sil USING (setting) LEFT JOIN db ON db.setting = st.setting
+      LEFT JOIN ch ON ch.setting = st.setting"""
+
+
+@query("j4_j9_dbscan_sweep", _sweep_sql())
 def dbscan_sweep(spark: SparkSession, folder: str) -> DataFrame:
     table, _ = density.dbscan_sweep(flat_points(spark, folder))
-    return rounded(table)
+    return rounded(table, calinski_harabasz=4)
 
 
 @query("j8_d9_pca_points")

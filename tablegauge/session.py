@@ -12,20 +12,27 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+_local_roots: dict[str, str] = {}
+
+
 def _shared_root(spark: SparkSession) -> str:
+    """The folder the session names for checkpoints; a local session may do without one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tablegauge-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="tablegauge-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, for tables written between two steps."""
-    return f"{_shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a table written between two steps.
+
+    All paths of an application share one folder, which can be dropped when it has ended.
+    """
+    root = _shared_root(spark).rstrip("/")
+    return f"{root}/tablegauge-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

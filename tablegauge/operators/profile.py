@@ -163,14 +163,19 @@ def summarize(
     if any(c.longest > V.LONG_TEXT for c in stats.columns):
         first = V.restore_text(first, df, names, order_by)
     about = frame.select(F.col("ordinal").alias("c"), "kind", "dtype", "midnight")
-    shown = (
-        first.join(F.broadcast(about), "c")
-        .withColumn("text", V.printed(F.col("kind"), F.col("dtype"), F.col("midnight")))
+    shown = first.join(F.broadcast(about), "c").select(
+        "c",
+        F.lit(None).cast("bigint").alias("unique"),
+        F.struct("rank", V.printed(F.col("kind"), F.col("dtype"), F.col("midnight")).alias("text")).alias("example"),
+    )
+    counted = unique.select("c", "unique", F.lit(None).cast(shown.schema["example"].dataType).alias("example"))
+    # A few rows per column.
+    small = (
+        counted.unionByName(shown)
         .groupBy("c")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "text"))).alias("ranked"))
-        .select("c", F.transform("ranked", lambda e: e["text"]).alias("example_values"))
+        .agg(F.max("unique").alias("unique"), F.array_sort(F.collect_list("example")).alias("ranked"))
+        .select("c", "unique", F.transform("ranked", lambda e: e["text"]).alias("example_values"))
     )
-    small = unique.join(shown, "c", "left")
     out = (
         frame.join(F.broadcast(small), frame["ordinal"] == small["c"], "left")
         .withColumn("unique", F.coalesce("unique", F.lit(0).cast("bigint")))

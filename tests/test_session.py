@@ -1,6 +1,7 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablegauge import session
 
@@ -32,7 +33,7 @@ def test_checkpoint_keeps_rows_and_types(spark):
     again = session.checkpoint(df)
     assert again.dtypes == df.dtypes
     assert sorted(again.collect()) == sorted(df.collect(), key=lambda r: r.a)
-    assert session.checkpoint_counting(df, df.a > 1)[1] == 1
+    assert session.checkpoint_counting(df, F.col("a") > 1)[1] == 1
 
 
 def test_only_small_frames_are_marked_for_broadcast(spark):

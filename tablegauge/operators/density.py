@@ -32,7 +32,7 @@ NOISE = -1
 # Points of one cell that are read together.
 PART_ROWS = 4_096
 # Axes on which nearby cells are looked up; the rest are checked afterwards.
-LOOKUP_AXES = 3
+LOOKUP_AXES = 4
 
 # The searched radii and core sizes.
 EPS_RANGE = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)

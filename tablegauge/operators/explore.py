@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tablegauge.functions.scalars import FLOATING, number_columns, percent, present, round_half_even
 from tablegauge.operators.ranks import TASK_ROWS, Target, exact_quantiles, order_statistics
 from tablegauge.operators.values import key_text, runs, stack
-from tablegauge.session import checkpoint, if_small
+from tablegauge.session import BROADCAST_ROWS, checkpoint, if_small
 
 
 COMPARISONS = {
@@ -77,12 +77,15 @@ def rule_check(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return df.where(broken).select(F.explode(hits).alias("rule"), *df.columns)
 
 
-def flag_duplicates(df: DataFrame, row_id: str, columns: list[str] | None = None) -> DataFrame:
+def flag_duplicates(
+    df: DataFrame, row_id: str, columns: list[str] | None = None, few: int = BROADCAST_ROWS
+) -> DataFrame:
     """``df`` with ``duplicated``: true for every copy after the first by ``row_id``.
 
-    Grouping finds the first row of each distinct combination, with copies combined before
-    the shuffle; rows then look themselves up by their unique id. Neither step brings the
-    copies of one row together, however many there are.
+    Grouping finds the combinations that occur more than once and their first row, with
+    copies combined before the shuffle. If these are few, each row is checked against them
+    where it is. If they are many, rows look themselves up among the first ids; that key is
+    unique, so the copies of one row never meet in one task.
     """
     columns = columns or [c for c in df.columns if c != row_id]
     # Long text is compared by its SHA-256, so that documents do not travel.
@@ -90,7 +93,15 @@ def flag_duplicates(df: DataFrame, row_id: str, columns: list[str] | None = None
         (key_text(F.col(f"`{c}`")) if isinstance(df.schema[c].dataType, T.StringType) else present(df, c)).alias(f"_k{i}")
         for i, c in enumerate(columns)
     ]
-    firsts = df.groupBy(*keys).agg(F.min(F.col(row_id)).alias("_first")).select("_first")
+    groups = df.groupBy(*keys).agg(F.min(F.col(row_id)).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    repeated = checkpoint(groups.where("_n > 1").drop("_n"))
+    if repeated.limit(few + 1).count() <= few:
+        names = [f"_k{i}" for i in range(len(columns))]
+        known = F.broadcast(repeated.withColumnsRenamed({n: f"_r{n}" for n in names}))
+        same = reduce(lambda x, y: x & y, [F.col(n).eqNullSafe(F.col(f"_r{n}")) for n in names])
+        later = F.coalesce(F.col(row_id) != F.col("_first"), F.lit(False))
+        return df.select("*", *keys).join(known, same, "left").select(*df.columns, later.alias("duplicated"))
+    firsts = groups.select("_first")
     return (
         df.join(firsts, df[row_id] == firsts["_first"], "left")
         .withColumn("duplicated", F.col("_first").isNull())

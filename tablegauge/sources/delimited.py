@@ -7,6 +7,7 @@ import codecs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The spellings of a missing value.
 NA_TOKENS = (
@@ -25,6 +26,9 @@ _INTEGER = r"^\s*[+-]?\d+\s*$"
 _DECIMAL = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
+_BEYOND = "_beyond_header"
+
+
 class SourceError(ValueError):
     """The input cannot be read."""
 
@@ -36,32 +40,39 @@ def read_delimited(
     encoding: str = "utf-8",
     typed: bool = True,
     row_id: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read a header-led text table.
 
-    ``row_id`` names an extra bigint column that follows the order of the file; it is
-    taken right after the scan, where the engine numbers rows split by split.
+    Short rows are filled up with gaps; a row with more fields than the header is an error.
+    ``row_id`` names an extra bigint column that follows the order of the file; it is taken
+    right after the scan, where the engine numbers rows split by split. ``multi_line``
+    allows line breaks inside quotes, at the price of one task per file.
     """
     native = codecs.lookup(encoding).name in NATIVE_ENCODINGS
+    reader = (
+        spark.read.option("header", True)
+        .option("sep", sep)
+        .option("encoding", encoding if native else "ISO-8859-1")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+    )
     try:
-        raw = (
-            spark.read.option("header", True)
-            .option("sep", sep)
-            .option("encoding", encoding if native else "ISO-8859-1")
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("multiLine", False)
-            .option("mode", "FAILFAST")
-            .csv(path)
-        )
+        names = reader.csv(path).columns
     except AnalysisException as exc:
         raise SourceError(f"cannot read '{path}': {exc.getCondition()}") from exc
+    if not names:
+        raise SourceError("the input has no columns")
+    # Fields beyond the header fall into one more column.
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BEYOND]])
+    raw = reader.schema(schema).csv(path)
     if not native:
         raw = _from_single_byte(raw, encoding)
-    names = raw.columns
+        names = raw.columns[:-1]
     if row_id:
         raw = raw.withColumn(row_id, F.monotonically_increasing_id())
-    return type_columns(raw, names) if typed else raw
+    return type_columns(raw, names) if typed else raw.drop(_BEYOND)
 
 
 def _from_single_byte(df: DataFrame, encoding: str) -> DataFrame:
@@ -87,7 +98,7 @@ def type_columns(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     values is double. Booleans with gaps stay text, because a plain data frame has no
     nullable truth value.
     """
-    names = names or df.columns
+    names = names or [c for c in df.columns if c != _BEYOND]
     values = {n: F.when(~F.col(f"`{n}`").isin(*NA_TOKENS), F.col(f"`{n}`")) for n in names}
     checks = []
     for i, n in enumerate(names):
@@ -98,9 +109,10 @@ def type_columns(df: DataFrame, names: list[str] | None = None) -> DataFrame:
             F.count_if(~v.rlike(_DECIMAL)).alias(f"d{i}"),
             F.count_if(~v.isin(*TRUE_TOKENS, *FALSE_TOKENS)).alias(f"b{i}"),
         ]
-    if not checks:
-        raise SourceError("the input has no columns")
-    seen = df.agg(F.count(F.lit(1)).alias("rows"), *checks).first()
+    beyond = F.count(_BEYOND) if _BEYOND in df.columns else F.lit(0)
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), beyond.alias("beyond"), *checks).first()
+    if seen["beyond"]:
+        raise SourceError(f"{seen['beyond']} rows have more fields than the header")
 
     typed = {}
     for i, n in enumerate(names):
@@ -114,4 +126,4 @@ def type_columns(df: DataFrame, names: list[str] | None = None) -> DataFrame:
             typed[n] = v.isin(*TRUE_TOKENS)
         else:
             typed[n] = v
-    return df.withColumns(typed)
+    return df.withColumns(typed).drop(_BEYOND)

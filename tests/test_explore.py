@@ -61,18 +61,20 @@ def test_rule_check_gives_one_row_per_broken_rule(people, people_df):
     assert {r["rule"]: r["count"] for r in got} == want
 
 
-def test_duplicates_with_a_hot_group(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_duplicates_with_a_hot_group(spark, few):
     rows = [(i, "same" if i % 3 else f"v{i % 30}", None if i % 2 else 1.0) for i in range(400)]
     frame = pd.DataFrame(rows, columns=["id", "a", "b"])
     df = spark.createDataFrame(rows, "id bigint, a string, b double").repartition(5)
-    got = {r.id: r.duplicated for r in explore.flag_duplicates(df, "id").collect()}
+    got = {r.id: r.duplicated for r in explore.flag_duplicates(df, "id", few=few).collect()}
     want = frame.drop(columns="id").duplicated()
     assert [got[i] for i in range(400)] == want.tolist()
 
 
-def test_duplicates_treat_nan_and_null_alike(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_duplicates_treat_nan_and_null_alike(spark, few):
     df = spark.createDataFrame([(0, float("nan")), (1, None), (2, 0.0), (3, -0.0)], "id bigint, b double")
-    got = {r.id: r.duplicated for r in explore.flag_duplicates(df, "id").collect()}
+    got = {r.id: r.duplicated for r in explore.flag_duplicates(df, "id", few=few).collect()}
     assert got == {0: False, 1: True, 2: False, 3: True}
 
 

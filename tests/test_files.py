@@ -42,6 +42,18 @@ def test_byte_order_mark_separator_and_encoding(spark, tmp_path):
     assert read_delimited(spark, path, sep=";", encoding="windows-1251").first()["Имя"] == "Казань"
 
 
+def test_short_and_long_rows(spark, tmp_path):
+    df = read_delimited(spark, write(tmp_path, "a,b,c\n1,2\n3,4,5\n\n6\n"))
+    assert [tuple(r) for r in df.orderBy("a").collect()] == [(1, 2, None), (3, 4, 5), (6, None, None)]
+    with pytest.raises(SourceError):
+        read_delimited(spark, write(tmp_path, "a,b\n1,2,3\n", name="long.csv"))
+
+
+def test_line_break_inside_quotes(spark, tmp_path):
+    path = write(tmp_path, 'a,b\n1,"x\ny"\n2,z\n')
+    assert [r.b for r in read_delimited(spark, path, multi_line=True).orderBy("a").collect()] == ["x\ny", "z"]
+
+
 def test_missing_file_is_a_user_error(spark, tmp_path):
     with pytest.raises(SourceError):
         read_delimited(spark, str(tmp_path / "absent.csv"))

@@ -8,6 +8,8 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablegauge.functions.scalars import column
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -37,7 +39,7 @@ def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     """Double columns rounded for comparison; ``special`` sets digits per column."""
     return df.select(
         *[
-            F.round(f"`{n}`", special.get(n, digits)).alias(n) if t == "double" else F.col(f"`{n}`")
+            F.round(column(n), special.get(n, digits)).alias(n) if t == "double" else column(n)
             for n, t in df.dtypes
         ]
     )

@@ -72,6 +72,16 @@ def profile_gaps(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(profile.summarize(df, F.col("l_orderkey")))
 
 
+@query(
+    "a5_quick_summary_lineitem",
+    f"""SELECT * EXCLUDE ("unique", examples) FROM ({profile_sql("lineitem", LINEITEM, None)})""",
+)
+def quick(spark: SparkSession, folder: str) -> DataFrame:
+    """The single-scan profile; its distinct counts are estimates and not compared."""
+    summary = profile.quick_summary(load_table(spark, folder, "lineitem"))
+    return rounded(summary.drop("unique", "example_values"), 4)
+
+
 @query(
     "a5_dataset_record_orders",
     "SELECT count(*) AS n_rows, 6 AS n_cols, 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,"

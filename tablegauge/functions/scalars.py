@@ -10,9 +10,14 @@ FLOATING = (T.FloatType, T.DoubleType)
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def present(df: DataFrame, name: str) -> Column:
     """The column with NaN turned into null, so that one notion of missing holds."""
-    col = F.col(f"`{name}`")
+    col = column(name)
     if isinstance(df.schema[name].dataType, FLOATING):
         return F.when(~F.isnan(col), col)
     return col

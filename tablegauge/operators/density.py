@@ -239,7 +239,7 @@ def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         parent = checkpoint(parent.select("setting", "u", F.least("u", "p").alias("p")))
         moved = 1
         while moved:
-            parent, moved = checkpoint_counting(_jump(_jump(parent)), F.col("moved"))
+            parent, moved = checkpoint_counting(_jump(_jump(_jump(parent))), F.col("moved"))
         lower = parent.where("u <> p")
         up = lower.select("setting", F.col("u").alias("root"), "p")
         roots = roots.join(up, ["setting", "root"], "left")

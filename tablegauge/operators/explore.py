@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegauge.functions.scalars import FLOATING, number_columns, percent, present, round_half_even
+from tablegauge.functions.scalars import FLOATING, column, number_columns, percent, present, round_half_even
 from tablegauge.operators.ranks import TASK_ROWS, Target, exact_quantiles, order_statistics
 from tablegauge.operators.values import key_text, runs, stack
 from tablegauge.session import BROADCAST_ROWS, checkpoint, if_small
@@ -30,7 +30,7 @@ def compare(df: DataFrame, name: str, op: str, value) -> Column:
     The engine ranks NaN above all numbers, so the upward comparisons rule it out; the plain
     comparison stays in front, where the scan can use it.
     """
-    col = F.col(f"`{name}`")
+    col = column(name)
     condition = COMPARISONS[op](col, value)
     if op.startswith(">") and isinstance(df.schema[name].dataType, FLOATING):
         condition = condition & ~F.isnan(col)
@@ -57,7 +57,7 @@ def equal_to(df: DataFrame, name: str, value) -> DataFrame:
 
 
 def without_missing(df: DataFrame, name: str) -> DataFrame:
-    col = F.col(f"`{name}`")
+    col = column(name)
     kept = df.where(col.isNotNull())
     return kept.where(~F.isnan(col)) if isinstance(df.schema[name].dataType, FLOATING) else kept
 
@@ -74,7 +74,7 @@ def rule_check(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """
     broken = reduce(lambda a, b: a | b, rules.values())
     hits = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]), lambda r: r.isNotNull())
-    return df.where(broken).select(F.explode(hits).alias("rule"), *df.columns)
+    return df.where(broken).select(F.explode(hits).alias("rule"), *[column(c) for c in df.columns])
 
 
 def flag_duplicates(
@@ -90,20 +90,21 @@ def flag_duplicates(
     columns = columns or [c for c in df.columns if c != row_id]
     # Long text is compared by its SHA-256, so that documents do not travel.
     keys = [
-        (key_text(F.col(f"`{c}`")) if isinstance(df.schema[c].dataType, T.StringType) else present(df, c)).alias(f"_k{i}")
+        (key_text(column(c)) if isinstance(df.schema[c].dataType, T.StringType) else present(df, c)).alias(f"_k{i}")
         for i, c in enumerate(columns)
     ]
-    groups = df.groupBy(*keys).agg(F.min(F.col(row_id)).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    groups = df.groupBy(*keys).agg(F.min(column(row_id)).alias("_first"), F.count(F.lit(1)).alias("_n"))
     repeated = checkpoint(groups.where("_n > 1").drop("_n"))
     if repeated.limit(few + 1).count() <= few:
         names = [f"_k{i}" for i in range(len(columns))]
         known = F.broadcast(repeated.withColumnsRenamed({n: f"_r{n}" for n in names}))
         same = reduce(lambda x, y: x & y, [F.col(n).eqNullSafe(F.col(f"_r{n}")) for n in names])
-        later = F.coalesce(F.col(row_id) != F.col("_first"), F.lit(False))
-        return df.select("*", *keys).join(known, same, "left").select(*df.columns, later.alias("duplicated"))
+        later = F.coalesce(column(row_id) != F.col("_first"), F.lit(False))
+        kept = [column(c) for c in df.columns]
+        return df.select("*", *keys).join(known, same, "left").select(*kept, later.alias("duplicated"))
     firsts = groups.select("_first")
     return (
-        df.join(firsts, df[row_id] == firsts["_first"], "left")
+        df.join(firsts, column(row_id) == F.col("_first"), "left")
         .withColumn("duplicated", F.col("_first").isNull())
         .drop("_first")
     )
@@ -122,7 +123,7 @@ def value_counts(df: DataFrame, name: str) -> DataFrame:
 
 def class_shares(df: DataFrame, name: str) -> DataFrame:
     """``(value, count, percent)`` of a column, most frequent first."""
-    counts = df.where(present(df, name).isNotNull()).groupBy(F.col(f"`{name}`").alias("value"))
+    counts = df.where(present(df, name).isNotNull()).groupBy(column(name).alias("value"))
     counts = counts.agg(F.count(F.lit(1)).alias("count"))
     whole = counts.agg(F.sum("count")).scalar()
     return counts.select("value", "count", percent(F.col("count"), whole).alias("percent")).orderBy(
@@ -151,7 +152,7 @@ def group_table(
         col = AGGREGATES[how](present(df, name))
         fractional = how == "mean" or (how != "count" and df.schema[name].dataType.typeName() in ("double", "float"))
         outs.append((round_half_even(col, digits) if fractional and digits is not None else col).alias(alias))
-    return df.where(F.col(f"`{by}`").isNotNull()).groupBy(by).agg(*outs).orderBy(by)
+    return df.where(column(by).isNotNull()).groupBy(column(by).alias(by)).agg(*outs).orderBy(column(by))
 
 
 def cut(col: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
@@ -175,7 +176,7 @@ def binned_table(
     bin_name: str = "bin",
 ) -> DataFrame:
     """``group_table`` over the bins of a column, in bin order, empty bins left out."""
-    col = F.col(f"`{name}`")
+    col = column(name)
     # The outer edges first, in a form the scan can use.
     binned = df.where((col >= edges[0]) & (col < edges[-1])).withColumn(bin_name, cut(col, edges, labels))
     place = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(bin_name))
@@ -256,15 +257,15 @@ def missing_matrix(df: DataFrame, order_by: Column, bands: int = 50, limit: int
 
 def box_stats(df: DataFrame, group: str, name: str, limit: int = TASK_ROWS) -> DataFrame:
     """Box-plot numbers per group: quartiles, whisker ends within 1.5 IQR, outlier count."""
-    rows = df.select(F.col(f"`{group}`").alias(group), present(df, name).cast("double").alias("_x"))
-    rows = rows.where(F.col("_x").isNotNull() & F.col(group).isNotNull())
-    quartiles = checkpoint(exact_quantiles(rows, [group], "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, limit))
+    rows = df.select(column(group).alias("_g"), present(df, name).cast("double").alias("_x"))
+    rows = rows.where(F.col("_x").isNotNull() & F.col("_g").isNotNull())
+    quartiles = checkpoint(exact_quantiles(rows, ["_g"], "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, limit))
     low = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     high = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("_x").between(low, high)
     ends = (
-        rows.join(if_small(quartiles), group)
-        .groupBy(group, "n", "q1", "median", "q3")
+        rows.join(if_small(quartiles), "_g")
+        .groupBy("_g", "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("_x"))).alias("lo"),
             F.max(F.when(inside, F.col("_x"))).alias("hi"),
@@ -272,7 +273,7 @@ def box_stats(df: DataFrame, group: str, name: str, limit: int = TASK_ROWS) -> D
         )
     )
     return ends.select(
-        group,
+        F.col("_g").alias(group),
         "n",
         "q1",
         "median",
@@ -285,14 +286,14 @@ def box_stats(df: DataFrame, group: str, name: str, limit: int = TASK_ROWS) -> D
 
 def box_outliers(df: DataFrame, group: str, name: str, limit: int = TASK_ROWS) -> DataFrame:
     """The points beyond the whiskers: ``(group, value)``."""
-    rows = df.select(F.col(f"`{group}`").alias(group), present(df, name).cast("double").alias("value"))
-    rows = rows.where(F.col("value").isNotNull() & F.col(group).isNotNull())
-    quartiles = checkpoint(exact_quantiles(rows, [group], "value", {"q1": 0.25, "q3": 0.75}, limit))
+    rows = df.select(column(group).alias("_g"), present(df, name).cast("double").alias("value"))
+    rows = rows.where(F.col("value").isNotNull() & F.col("_g").isNotNull())
+    quartiles = checkpoint(exact_quantiles(rows, ["_g"], "value", {"q1": 0.25, "q3": 0.75}, limit))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     beyond = (F.col("value") < F.col("q1") - reach) | (F.col("value") > F.col("q3") + reach)
-    return rows.join(if_small(quartiles), group).where(beyond).select(group, "value")
+    return rows.join(if_small(quartiles), "_g").where(beyond).select(F.col("_g").alias(group), "value")
 
 
 def scatter_series(df: DataFrame, x: str, y: str, group: str) -> DataFrame:
     """The points of a scatter plot with the group that colours them."""
-    return df.select(F.col(f"`{group}`").alias("series"), present(df, x).alias("x"), present(df, y).alias("y"))
+    return df.select(column(group).alias("series"), present(df, x).alias("x"), present(df, y).alias("y"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegauge.functions.scalars import number_columns, present
+from tablegauge.functions.scalars import column, number_columns, present
 from tablegauge.operators import values as V
 from tablegauge.operators.ranks import exact_quantiles
 
@@ -46,11 +46,11 @@ class TableStats:
         return len(self.columns)
 
 
-def table_stats(df: DataFrame, estimate_distinct: bool = False) -> TableStats:
+def table_stats(df: DataFrame, estimate_distinct: bool = False, estimate_numbers: bool = False) -> TableStats:
     """Everything a single scan can tell, brought back as one row.
 
     The aggregate needs no shuffle beyond one row per task. ``estimate_distinct`` adds
-    approximate distinct counts of the non-numeric columns.
+    approximate distinct counts of the non-numeric columns, ``estimate_numbers`` of the rest.
     """
     aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
     for i, field in enumerate(df.schema.fields):
@@ -66,6 +66,8 @@ def table_stats(df: DataFrame, estimate_distinct: bool = False) -> TableStats:
                 F.avg(number.cast("double")).alias(f"avg{i}"),
                 F.stddev_samp(number.cast("double")).alias(f"std{i}"),
             ]
+            if estimate_numbers:
+                aggs.append(F.approx_count_distinct(col).alias(f"about{i}"))
         elif kind == V.TIME:
             day = F.lit(86_400_000_000).cast("bigint")
             aggs.append(F.max(F.pmod(V.micros(df, field.name), day) != 0).alias(f"clock{i}"))
@@ -143,6 +145,15 @@ def stats_frame(df: DataFrame, stats: TableStats) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, PROFILE_SCHEMA)
 
 
+def quick_summary(df: DataFrame) -> DataFrame:
+    """The profile from a single scan: distinct counts are estimates, examples are left out."""
+    stats = table_stats(df, estimate_distinct=True, estimate_numbers=True)
+    estimates = F.array(*[F.lit(c.distinct_estimate).cast("bigint") for c in stats.columns])
+    frame = stats_frame(df, stats)
+    no_examples = F.array().cast("array<string>")
+    return _finish(frame.withColumns({"unique": estimates[F.col("ordinal")], "example_values": no_examples}))
+
+
 def summarize(
     df: DataFrame, order_by: Column | None = None, examples: int = 3, stats: TableStats | None = None
 ) -> DataFrame:
@@ -290,7 +301,7 @@ def first_rows(df: DataFrame, n: int = 5, *order: Column | str) -> DataFrame:
 
 
 def project(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+    return df.select(*[column(c) for c in columns])
 
 
 def drop_columns(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from tablegauge.functions.scalars import FLOATING, INTEGRAL, float_text, present
+from tablegauge.functions.scalars import FLOATING, INTEGRAL, column, float_text, present
 
 LONG_TEXT = 64
 _DIGEST_MARK = "\u0000"
@@ -39,12 +39,12 @@ def kind_of(dtype: T.DataType) -> str:
 
 def micros(df: DataFrame, name: str) -> Column:
     """Timestamps as microseconds; printing reads them back in the same session zone."""
-    return F.unix_micros(F.col(f"`{name}`").cast("timestamp"))
+    return F.unix_micros(column(name).cast("timestamp"))
 
 
 def text_slot(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
-    col = F.col(f"`{name}`")
+    col = column(name)
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
         return F.to_json(F.struct(col.alias("v")))
     return col.cast("string")
@@ -86,7 +86,7 @@ def stack(parts: list[DataFrame]) -> DataFrame:
 def _slot_value(df: DataFrame, name: str, whole_text: bool) -> Column:
     kind = kind_of(df.schema[name].dataType)
     if kind in (INT, BOOL):
-        return F.col(f"`{name}`").cast("bigint")
+        return column(name).cast("bigint")
     if kind == TIME:
         return micros(df, name)
     if kind in (FLOAT, SINGLE):

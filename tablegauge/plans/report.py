@@ -91,7 +91,7 @@ def write_report(
     matrix = correlation.correlation_wide(df)
     correlated = sinks.write_unless_empty(matrix, f"{out_dir}/correlation", few_rows=True)
     top = categories.top_categories(df, top_k=top_k, order_by=order_by)
-    listed = sinks.write_top_categories(checkpoint(top), f"{out_dir}/top_categories")
+    listed = sinks.write_top_categories(top, f"{out_dir}/top_categories")
     bars = explore.histograms(df, max_columns=max_hist_columns)
     sinks.write_unless_empty(bars, f"{out_dir}/histograms", few_rows=True)
     if order_by is not None:

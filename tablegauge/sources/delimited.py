@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegauge.functions.scalars import column
+
 # The spellings of a missing value.
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -87,7 +89,7 @@ def _from_single_byte(df: DataFrame, encoding: str) -> DataFrame:
         raise SourceError(f"encoding '{encoding}' is not supported")
     read, meant = ("".join(side) for side in zip(*pairs))
     names = [c.encode("latin-1").decode(encoding) for c in df.columns]
-    return df.toDF(*names).withColumns({n: F.translate(F.col(f"`{n}`"), read, meant) for n in names})
+    return df.toDF(*names).withColumns({n: F.translate(column(n), read, meant) for n in names})
 
 
 def type_columns(df: DataFrame, names: list[str] | None = None) -> DataFrame:
@@ -99,7 +101,7 @@ def type_columns(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     nullable truth value.
     """
     names = names or [c for c in df.columns if c != _BEYOND]
-    values = {n: F.when(~F.col(f"`{n}`").isin(*NA_TOKENS), F.col(f"`{n}`")) for n in names}
+    values = {n: F.when(~column(n).isin(*NA_TOKENS), column(n)) for n in names}
     checks = []
     for i, n in enumerate(names):
         v = values[n]

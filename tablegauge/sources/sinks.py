@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 
+from tablegauge.session import checkpoint
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", few_rows: bool = False) -> None:
     """Replace ``path`` by the rows of ``df``; ``few_rows`` puts them into one file."""
@@ -15,6 +17,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", few_rows: bool = Fal
 
 
 def write_unless_empty(df: DataFrame, path: str, fmt: str = "csv", few_rows: bool = False) -> bool:
+    """Write ``df`` and tell so, or write nothing if it has no rows; it is worked out once."""
+    df = checkpoint(df)
     if df.isEmpty():
         return False
     write_table(df, path, fmt, few_rows)
@@ -23,6 +27,7 @@ def write_unless_empty(df: DataFrame, path: str, fmt: str = "csv", few_rows: boo
 
 def write_top_categories(top: DataFrame, path: str) -> bool:
     """One folder ``column=<name>`` per column, holding value, count and share in rank order."""
+    top = checkpoint(top)
     if top.isEmpty():
         return False
     (

@@ -234,3 +234,24 @@ def test_array_functions(spark):
     assert got["part"] == [9, 11] and got["tail"] == [9, 11, 13] and got["beyond"] == []
     assert got["sum"] == (n1 + n5).tolist() and got["product"] == (n1 * n5).tolist()
     assert got["mean"] == np.mean(a2)
+
+
+def test_names_with_odd_characters(spark):
+    from tablegauge.operators import categories, correlation, profile, quality
+
+    df = spark.createDataFrame(
+        [(i, "uv"[i % 2], i * 1.5, None) for i in range(6)], "`r.id` bigint, `c d` string, `x``y` double, `ä.1` double"
+    )
+    assert [r["name"] for r in profile.summarize(df).orderBy("ordinal").collect()] == df.columns
+    assert quality.quality_flags(df).first()["constant_columns_list"] == ["ä.1"]
+    assert {r.column for r in categories.top_categories(df).collect()} == {"c d"}
+    assert correlation.correlation_matrix(df).count() == 9
+    assert set(explore.histograms(df, bins=2).toPandas().column) == {"r.id", "x`y"}
+    assert explore.group_table(df, "c d", {"m": ("x`y", "mean")}).count() == 2
+    assert explore.box_stats(df, "c d", "x`y").columns[0] == "c d"
+    assert explore.flag_duplicates(df, "r.id", ["c d"]).where("duplicated").count() == 4
+    assert explore.flag_duplicates(df, "r.id", ["c d"], few=0).where("duplicated").count() == 4
+    assert explore.above(df, "x`y", 3).count() == 3
+    assert explore.rule_check(df, {"a": explore.compare(df, "r.id", ">", 2)}).count() == 3
+    assert profile.describe(df).count() == 3
+    assert profile.missing_table(df).first()["column"] == "ä.1"

@@ -57,6 +57,15 @@ def test_profile_equals_data_frame_profile(mixed, mixed_df):
             assert r["min"] is None and r["std"] is None
 
 
+def test_quick_summary_only_estimates_distinct_counts(mixed, mixed_df):
+    exact = {r["name"]: r for r in profile.summarize(mixed_df).collect()}
+    for r in profile.quick_summary(mixed_df).collect():
+        want = exact[r["name"]].asDict()
+        assert abs(r["unique"] - want["unique"]) <= 0.15 * want["unique"] and r["example_values"] == []
+        same = [c for c in want if c not in ("unique", "example_values")]
+        assert [r[c] for c in same] == pytest.approx([want[c] for c in same])
+
+
 def test_nan_counts_as_missing(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,), (None,), (math.inf,)], "x double")
     r = profile.summarize(df).first()

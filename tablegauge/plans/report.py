@@ -11,8 +11,47 @@ from tablegauge.sources import sinks
 
 # The wording of the digest.
 DEFAULT_TITLE = "EDA-отчёт"
-CONSTANT_LINE = "- Константные колонки: Да. Список: {}"
-CARDINALITY_LINE = "- Высокая кардинальность: Да. Список: {}"
+DIGEST = """\
+# {title}
+
+Исходный файл: `{source}`
+
+Строк: **{n_rows}**, столбцов: **{n_cols}**
+
+## Настройки отчёта
+
+- Top-K категорий: **{top_k}**
+
+## Качество данных (эвристики)
+
+- Оценка качества: **{quality_score:.2f}**
+- Макс. доля пропусков по колонке: **{max_missing_share:.2%}**
+- Слишком мало строк: **{too_few_rows}**
+- Слишком много колонок: **{too_many_columns}**
+- Слишком много пропусков: **{too_many_missing}**
+
+{lists}
+## Колонки
+
+См. файл `summary.csv`.
+
+## Пропуски
+
+{gaps}
+
+## Корреляция числовых признаков
+
+{correlation}
+
+## Категориальные признаки
+
+{categories}
+
+## Гистограммы числовых колонок
+
+См. файлы `hist_*.png`."""
+CONSTANT_LINE = "- Константные колонки: Да. Список: {}\n"
+CARDINALITY_LINE = "- Высокая кардинальность: Да. Список: {}\n"
 NO_GAPS = "Пропусков нет или датасет пуст."
 SEE_GAPS = "См. файлы `missing.csv` и `missing_matrix.png`."
 NO_CORRELATION = "Недостаточно числовых колонок для корреляции."
@@ -32,42 +71,25 @@ def digest(
     title: str = DEFAULT_TITLE,
     top_k: int = 5,
 ) -> list[str]:
-    """The digest as lines, from the one row of flags."""
-    lists = []
+    """The digest as lines, from the one row of flags; column lists only where flagged."""
+    lists = ""
     if flags["has_constant_columns"]:
-        lists.append(CONSTANT_LINE.format(list(flags["constant_columns_list"])))
+        lists += CONSTANT_LINE.format(list(flags["constant_columns_list"]))
     if flags["has_high_cardinality_categoricals"]:
-        lists.append(CARDINALITY_LINE.format(list(flags["high_cardinality_list"])))
-    sections = [
-        [f"# {title}"],
-        [f"Исходный файл: `{source}`"],
-        [f"Строк: **{n_rows}**, столбцов: **{n_cols}**"],
-        ["## Настройки отчёта"],
-        [f"- Top-K категорий: **{top_k}**"],
-        ["## Качество данных (эвристики)"],
-        [
-            f"- Оценка качества: **{flags['quality_score']:.2f}**",
-            f"- Макс. доля пропусков по колонке: **{flags['max_missing_share']:.2%}**",
-            f"- Слишком мало строк: **{flags['too_few_rows']}**",
-            f"- Слишком много колонок: **{flags['too_many_columns']}**",
-            f"- Слишком много пропусков: **{flags['too_many_missing']}**",
-        ],
-        lists,
-        ["## Колонки"],
-        ["См. файл `summary.csv`."],
-        ["## Пропуски"],
-        [SEE_GAPS if has_gap_table else NO_GAPS],
-        ["## Корреляция числовых признаков"],
-        [SEE_CORRELATION if has_correlation else NO_CORRELATION],
-        ["## Категориальные признаки"],
-        [SEE_CATEGORIES if has_categories else NO_CATEGORIES],
-        ["## Гистограммы числовых колонок"],
-        ["См. файлы `hist_*.png`."],
-    ]
-    lines: list[str] = []
-    for section in sections:
-        lines += [*section, ""]
-    return lines[:-1]
+        lists += CARDINALITY_LINE.format(list(flags["high_cardinality_list"]))
+    text = DIGEST.format(
+        **flags,
+        title=title,
+        source=source,
+        n_rows=n_rows,
+        n_cols=n_cols,
+        top_k=top_k,
+        lists=lists,
+        gaps=SEE_GAPS if has_gap_table else NO_GAPS,
+        correlation=SEE_CORRELATION if has_correlation else NO_CORRELATION,
+        categories=SEE_CATEGORIES if has_categories else NO_CATEGORIES,
+    )
+    return text.split("\n")
 
 
 def write_report(

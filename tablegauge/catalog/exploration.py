@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegauge.catalog import query, rounded
-from tablegauge.catalog.inspection import GAPS_COLUMNS, GAPS_SQL, with_gaps
+from tablegauge.catalog.inspection import GAPS_SQL, with_gaps
 from tablegauge.catalog.sqltext import histogram_sql, union_all
 from tablegauge.operators import explore
 from tablegauge.sources import load_table

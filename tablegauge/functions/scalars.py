@@ -23,14 +23,6 @@ def present(df: DataFrame, name: str) -> Column:
     return col
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Every floating column with NaN replaced by null."""
-    names = [f.name for f in df.schema.fields if isinstance(f.dataType, FLOATING)]
-    if not names:
-        return df
-    return df.withColumns({n: present(df, n) for n in names})
-
-
 def number_columns(df: DataFrame) -> list[str]:
     """Names of the numeric columns; booleans do not count as numbers."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

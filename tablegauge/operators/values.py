@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from tablegauge.functions.scalars import FLOATING, INTEGRAL, column, float_text, present
+from tablegauge.functions.scalars import INTEGRAL, column, float_text, present
 
 LONG_TEXT = 64
 _DIGEST_MARK = "\u0000"

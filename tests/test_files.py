@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tablegauge.operators import profile
 from tablegauge.plans import clusters, report

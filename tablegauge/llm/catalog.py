@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegauge.catalog import Query
-from tablegauge.llm import decontaminate, mixing, quality_rules, simhash, token_store
+from tablegauge.llm import context_tree, decontaminate, mixing, quality_rules, secret_scan, sharding, simhash, token_store
 from tablegauge.sources import load_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -79,3 +79,22 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs, carry=["doc_id"]).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
+
+
+@query("op3_secret_scan")
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(load_table(spark, folder, "documents"))
+    digest = F.sha2("base_spans", 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans")
+
+
+@query("op6_sampled_splitters")
+def shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.assign(load_table(spark, folder, "documents"))
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query("op10_context_tree_scores")
+def scores(spark: SparkSession, folder: str) -> DataFrame:
+    return context_tree.score(load_table(spark, folder, "documents"))

@@ -7,7 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegauge.catalog import Query
-from tablegauge.llm import context_tree, decontaminate, mixing, quality_rules, secret_scan, sharding, simhash, token_store
+from tablegauge.llm import (
+    context_tree,
+    decontaminate,
+    html_text,
+    line_dedup,
+    mixing,
+    quality_rules,
+    secret_scan,
+    sharding,
+    simhash,
+    token_store,
+)
 from tablegauge.sources import load_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -98,3 +109,13 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_context_tree_scores")
 def scores(spark: SparkSession, folder: str) -> DataFrame:
     return context_tree.score(load_table(spark, folder, "documents"))
+
+
+@query("op2_html_text")
+def html_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(load_table(spark, folder, "pages"))
+
+
+@query("op5_fuzzy_line_dedup")
+def fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(load_table(spark, folder, "documents"))

@@ -73,7 +73,8 @@ def _forest(fps: np.ndarray, max_bits: int) -> tuple[list[int], list[int]]:
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             at = queue.pop()
-            near = np.bitwise_count(left ^ at) <= max_bits
+            # Of signed numbers the function would count the bits of the absolute value.
+            near = np.bitwise_count((left ^ at).view(np.uint64)) <= max_bits
             if near.any():
                 found = left[near]
                 left = left[~near]
@@ -180,7 +181,8 @@ def _with_group(prints: DataFrame, first: Column, max_bits: int) -> DataFrame:
     linked = own.join(roots, own["fp"] == roots["node"]).select("fp", "root", "own")
     lowest = linked.groupBy("root").agg(F.min("own").alias("lowest"))
     moved = linked.join(lowest, "root").select("fp", "lowest")
-    return own.join(moved, "fp", "left").select("fp", F.coalesce("lowest", "own").alias("first"))
+    # Written, so that a join by a fingerprint many documents share can be split.
+    return checkpoint(own.join(moved, "fp", "left").select("fp", F.coalesce("lowest", "own").alias("first")))
 
 
 def near_duplicates(

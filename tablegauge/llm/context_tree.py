@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tablegauge.llm.common import checkpoint, column, slices
 
 DEPTH = 5
-MAX_GRAMS = 1 << 20
+MAX_GRAMS = 1 << 18
 MAX_WORDS = 1 << 18
 END = b"\n"
 
@@ -208,7 +208,7 @@ def _shorter(nodes: np.ndarray, depth: int) -> np.ndarray:
 
 class ContextTree:
     """For each depth the nodes in order and the chance of a one when the node is the deepest
-    known of a context; and the log10 probability of every known byte run of full depth."""
+    known of a context; and for each depth the log10 probability of every known byte run."""
 
     def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
         """``levels``: for each depth from 0 the byte runs, in order, and their counts; each
@@ -218,8 +218,9 @@ class ContextTree:
         for keys, counts in levels:
             found, zeros, ones = _bit_nodes(keys, counts)
             nodes.append(found)
-            chance.append((ones + 0.5) / (zeros + ones + 1.0))
+            chance.append(((ones + 0.5) / (zeros + ones + 1.0)).astype(np.float32))
             own_log.append(log_kt(zeros, ones))
+            del zeros, ones
         # From the deepest up: how much of a node's weight rests on its own estimate.
         weighted = own_log[self.depth]
         below.append(np.ones(len(weighted)))
@@ -229,7 +230,8 @@ class ContextTree:
             has_child = np.bincount(parent, minlength=len(nodes[d])) > 0
             both = np.logaddexp(own_log[d], children) - math.log(2)
             weighted = np.where(has_child, both, own_log[d])
-            below.append(np.where(has_child, np.exp(own_log[d] - math.log(2) - weighted), 1.0))
+            below.append(np.where(has_child, np.exp(own_log[d] - math.log(2) - weighted), 1.0).astype(np.float32))
+            del own_log[d + 1 :]
         below = below[::-1]
         # Down again: the mixture along the path when it ends at a node.
         self.nodes, self.ones = nodes, []
@@ -240,8 +242,8 @@ class ContextTree:
                 mixed = (mixed + rest * below[d - 1] * chance[d - 1])[parent]
                 rest = (rest * (1 - below[d - 1]))[parent]
             self.ones.append((mixed + rest * chance[d]).astype(np.float32))
-        self.runs = levels[self.depth][0]
-        self.run_logs = self._log_by_bits(self.runs).astype(np.float32)
+        self.runs = [keys for keys, _ in levels]
+        self.run_logs = [self._log_by_bits(keys, d).astype(np.float32) for d, keys in enumerate(self.runs)]
 
     def parts(self) -> tuple:
         """Plain arrays that can be sent to tasks."""
@@ -253,15 +255,16 @@ class ContextTree:
         tree.depth, tree.nodes, tree.ones, tree.runs, tree.run_logs = parts
         return tree
 
-    def _log_by_bits(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of the last byte of each run, bit by bit from the deepest known node."""
+    def _log_by_bits(self, keys: np.ndarray, top: int) -> np.ndarray:
+        """log10 probability of the last byte of each run, bit by bit from the deepest known node
+        of ``top`` bytes at most."""
         context, byte = keys >> 8, keys & 255
         total = np.zeros(len(keys))
         for j in range(8):
             node, bit = 1 << j | byte >> (8 - j), byte >> (7 - j) & 1
             one = np.full(len(keys), 0.5)
             open_ = np.arange(len(keys))
-            for d in range(self.depth, -1, -1):
+            for d in range(top, -1, -1):
                 if not len(open_) or not len(self.nodes[d]):
                     continue
                 wanted = (context[open_] & ((1 << 8 * d) - 1)) << 8 | node[open_]
@@ -273,15 +276,31 @@ class ContextTree:
         return total
 
     def log_probabilities(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of the last byte of each run given the bytes before it."""
-        if not len(self.runs):
-            return self._log_by_bits(keys)
-        at = np.minimum(np.searchsorted(self.runs, keys), len(self.runs) - 1)
-        found = self.run_logs[at].astype(np.float64)
-        missing = np.flatnonzero(self.runs[at] != keys)
-        if len(missing):
-            rare, back = np.unique(keys[missing], return_inverse=True)
-            found[missing] = self._log_by_bits(rare)[back]
+        """log10 probability of the last byte of each run given the bytes before it.
+
+        Known runs are looked up from the deepest down. Only a byte never seen behind a known context is
+        worked out by its bits.
+        """
+        found = np.zeros(len(keys))
+        open_ = np.arange(len(keys))
+        new_byte = []
+        for d in range(self.depth, -1, -1):
+            runs = self.runs[d]
+            if not len(open_) or not len(runs):
+                continue
+            wanted = keys[open_] & ((1 << 8 * (d + 1)) - 1)
+            at = np.minimum(np.searchsorted(runs, wanted), len(runs) - 1)
+            hit = runs[at] == wanted
+            found[open_[hit]] = self.run_logs[d][at[hit]]
+            open_, wanted, at = open_[~hit], wanted[~hit], at[~hit]
+            # The next or the previous known run has the same context if any has.
+            known = (runs[at] >> 8 == wanted >> 8) | (runs[np.maximum(at - 1, 0)] >> 8 == wanted >> 8)
+            new_byte.append(open_[known])
+            open_ = open_[~known]
+        rest = np.concatenate([*new_byte, open_])
+        if len(rest):
+            rare, back = np.unique(keys[rest], return_inverse=True)
+            found[rest] = self._log_by_bits(rare, self.depth)[back]
         return found
 
 

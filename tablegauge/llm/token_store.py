@@ -31,7 +31,7 @@ SCALE_BITS = 20
 LANES = 512
 BLOCK_TOKENS = 1 << 18
 SEGMENT_STEPS = 128
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 19
 
 LOW = 1 << 31
 HEADER = "<4sHBBIQII"

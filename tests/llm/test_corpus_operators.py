@@ -316,7 +316,14 @@ def test_mix_meets_targets_and_agrees(docs, empty):
     for r in rows:
         assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(target[r["source"]])
     for name, goal in target.items():
-        assert abs(taken[name] - goal) <= 2
+        # As near as whole documents allow: one of them is longer than the rest of its source.
+        whole = min(int(goal // sizes[name]), 2) if sizes[name] else 0
+        reach = {0}
+        for r in rows:
+            if r["source"] == name:
+                reach |= {x + r["size_"] for x in reach}
+        best = max(x for x in reach if x <= round(goal - whole * sizes[name]))
+        assert taken[name] == whole * sizes[name] + best
     again = mixing.mix(docs.repartition(7), carry=["doc_id", "source", "text", "size"]).collect()
     assert collections.Counter(rows) == collections.Counter(again)
     mixed = mixing.mixed(docs)
@@ -340,7 +347,7 @@ def test_blocks_round_trip():
             step = token_store.LANES * token_store.SEGMENT_STEPS
             assert (part == ids[step : 2 * step]).all()
             broken = bytearray(block)
-            broken[-1000] ^= 1
+            broken[len(block) // 2] ^= 255
             with pytest.raises(ValueError):
                 token_store.decode_block(bytes(broken), table)
 
@@ -399,7 +406,7 @@ def test_secrets_equal_regular_expressions(spark, empty):
     for r in secret_scan.scan(frame).collect():
         want = brute_secrets(texts[r["doc_id"]] or "")
         assert r["base_spans"] == ",".join(f"{k}:{s}:{e}" for s, _, k, e in want)
-        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(k == i for _, i, _, _ in want) for i in range(3))
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(rule == k for _, rule, _, _ in want) for k in range(3))
         assert set(filter(None, r["base_spans"].split(","))) <= set(r["spans"].split(","))
     assert secret_scan.scan(empty).count() == 0
 
@@ -535,6 +542,21 @@ def test_tree_equals_recursion():
         assert got == pytest.approx(direct(text), rel=1e-5)
 
 
+def test_truncated_tree_looks_up_what_bits_give():
+    train = [context_tree.stream(t.encode().lower().split()) for t in sample_texts()[:30] if t]
+    keys, counts = np.unique(context_tree.grams(train, 3)[0], return_counts=True)
+    levels = []
+    for d in range(4):
+        short, at = np.unique(keys & ((1 << 8 * (d + 1)) - 1), return_inverse=True)
+        n = np.bincount(at, counts).astype(np.int64)
+        often = np.bincount(np.unique(short >> 8, return_inverse=True)[1], n)[np.unique(short >> 8, return_inverse=True)[1]]
+        kept = often >= (0, 2, 5, 9)[d]
+        levels.append((short[kept], n[kept]))
+    tree = context_tree.ContextTree(levels)
+    runs = context_tree.grams([*train, b"shalo kami zu\n", b"quite new\n"], 3)[0]
+    assert np.allclose(tree.log_probabilities(runs), tree._log_by_bits(runs, 3), atol=1e-5)
+
+
 def test_chances_add_up_to_one():
     train = [b"abra cadabra\n", b"abracadab\n"]
     keys, counts = np.unique(context_tree.grams(train, 2)[0], return_counts=True)
@@ -612,7 +634,7 @@ PAGES = {
     "<table><tr><td>a<td>long cell<tr><td>bbb<td>c</table>": "a   | long cell\nbbb | c",
     "<table><tr><td colspan=2>wide head<tr><td>a<td>b</table>": "wide head\na | b",
     "a<script>no</script><style>x</style><b>b</b> c": "ab c",
-    "a<div hidden>no</div><span style='color:red; display : none'>no</span>b": "a\nb",
+    "a<div hidden>no</div><span style='color:red; display : none'>no</span>b": "ab",
     "<pre>  x\n    y</pre>": "  x\n    y",
     "one <b> two </b> three": "one two three",
     "a<br>b<br><br>c": "a\nb\n\nc",

@@ -19,10 +19,16 @@ def scaled_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.scale_points(vectors(spark, folder))
 
 
-def flat_points(spark: SparkSession, folder: str, dims: int = 2) -> DataFrame:
-    """The first coordinates of every embedding, scaled."""
-    points = vectors(spark, folder).withColumn("x", F.slice("x", 1, dims))
-    return clustering.scale_points(points)
+def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Every customer with all numeric columns but the key."""
+    rows = load_table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    return clustering.points_from_columns(rows, "c_custkey")
+
+
+def raw_suppliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Every supplier with all numeric columns but the key."""
+    rows = load_table(spark, folder, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    return clustering.points_from_columns(rows, "s_suppkey")
 
 
 def labelled_vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,15 +123,20 @@ def kmeans_sizes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("j2_d8_t5_choose_k")
 def choose_k(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(clustering.choose_k(scaled_vectors(spark, folder), range(2, 11), n_init=2, parallelism=8))
+    return rounded(clustering.choose_k(scaled_vectors(spark, folder), range(2, 11), n_init=10, parallelism=8))
+
 
+def _xy(table: str, key: str, x: str, y: str) -> str:
+    return f"""(SELECT {key} AS id, (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS x, (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS y
+  FROM (SELECT {key}, {x}::DOUBLE AS x, {y}::DOUBLE AS y FROM {table}))"""
 
-_XY = """(SELECT vec_id AS id, (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS x, (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS y
-  FROM (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings))"""
+
+_CUSTOMERS = _xy("customer", "c_custkey", "c_nationkey", "c_acctbal")
+_SUPPLIERS = _xy("supplier", "s_suppkey", "s_nationkey", "s_acctbal")
 
 
 def _dbscan_sql(eps: float, min_samples: int) -> str:
-    return f"""WITH RECURSIVE pt AS MATERIALIZED (SELECT * FROM {_XY}),
+    return f"""WITH RECURSIVE pt AS MATERIALIZED (SELECT * FROM {_CUSTOMERS}),
       near AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM pt a, pt b
         WHERE (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= {eps} * {eps}),
       core AS MATERIALIZED (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {min_samples}),
@@ -141,14 +152,14 @@ def _dbscan_sql(eps: float, min_samples: int) -> str:
 
 @query("j3_dbscan", _dbscan_sql(0.15, 5))
 def dbscan(spark: SparkSession, folder: str) -> DataFrame:
-    return density.dbscan(flat_points(spark, folder), 0.15, 5)
+    return density.dbscan(clustering.scale_points(raw_customers(spark, folder)), 0.15, 5)
 
 
 def _sweep_sql() -> str:
     """All settings of the sweep: labels by spreading the smallest core id, then the scores."""
     eps = ", ".join(f"({i}, {e}::DOUBLE)" for i, e in enumerate(density.EPS_RANGE))
     least = ", ".join(f"({j}, {m})" for j, m in enumerate(density.MIN_SAMPLES_RANGE))
-    return f"""WITH RECURSIVE pt AS MATERIALIZED (SELECT * FROM {_XY}),
+    return f"""WITH RECURSIVE pt AS MATERIALIZED (SELECT * FROM {_SUPPLIERS}),
       st AS MATERIALIZED (SELECT CAST(i * {len(density.MIN_SAMPLES_RANGE)} + j AS INTEGER) AS setting, eps, min_samples
         FROM (VALUES {eps}) a(i, eps), (VALUES {least}) b(j, min_samples)),
       pair AS MATERIALIZED (SELECT a.id AS a, b.id AS b, (a.x - b.x) ** 2 + (a.y - b.y) ** 2 AS d2 FROM pt a, pt b),
@@ -199,7 +210,7 @@ def _sweep_sql() -> str:
 
 @query("j4_j9_dbscan_sweep", _sweep_sql())
 def dbscan_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    table, _ = density.dbscan_sweep(flat_points(spark, folder))
+    table, _ = density.dbscan_sweep(clustering.scale_points(raw_suppliers(spark, folder)))
     return rounded(table, calinski_harabasz=4)
 
 
@@ -212,20 +223,12 @@ def pca(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("j12_seed_stability")
 def stability(spark: SparkSession, folder: str) -> DataFrame:
-    per_seed = clustering.seed_stability(flat_points(spark, folder), 3, n_init=2, parallelism=8)
+    per_seed = clustering.seed_stability(scaled_vectors(spark, folder), 3, n_init=10, parallelism=8)
     return rounded(clustering.stability_summary(per_seed))
 
 
 @query("j10_j13_cluster_choice")
 def choice(spark: SparkSession, folder: str) -> DataFrame:
-    """Metric rows of both methods with the chosen one, over small ranges given by the caller."""
-    result = clusters.evaluate(
-        vectors(spark, folder).withColumn("x", F.slice("x", 1, 2)),
-        "embeddings",
-        ks=range(2, 5),
-        eps_range=(0.1, 0.2, 0.3),
-        min_samples_range=(5, 10),
-        n_init=2,
-        parallelism=8,
-    )
+    """Metric rows of both methods over the full ranges, with the chosen one."""
+    result = clusters.evaluate(raw_suppliers(spark, folder), "supplier", parallelism=8)
     return rounded(result.metrics.join(result.config, "dataset"))

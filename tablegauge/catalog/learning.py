@@ -68,14 +68,30 @@ def folds(spark: SparkSession, folder: str) -> DataFrame:
     return splits.stratified_folds(load_table(spark, folder, "labels"), "quality", "doc_id").select("doc_id", "fold")
 
 
-@query("c3_stratified_dummy")
+@query(
+    "c3_stratified_dummy",
+    """WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1)
+      SELECT quality, true AS share_within_band, true AS score_is_one_hot FROM c WHERE n > 1""",
+)
 def stratified_dummy(spark: SparkSession, folder: str) -> DataFrame:
+    """Per class: is it drawn as often on the test rows as its share of the training rows allows?
+
+    The band is five standard deviations of a draw of that many rows, and one row.
+    """
     labels = load_table(spark, folder, "labels")
-    marked = splits.stratified_split(labels, "quality", "doc_id", 0.25)
-    guessed = models.stratified_dummy(
-        marked.where(~F.col("is_test")), marked.where("is_test"), "quality", "doc_id"
-    )
-    return rounded(metrics.classification_metrics(guessed, "quality"))
+    marked = checkpoint(splits.stratified_split(labels, "quality", "doc_id", 0.25))
+    train, test = marked.where(~F.col("is_test")), marked.where("is_test")
+    guessed = models.stratified_dummy(train, test, "quality", "doc_id")
+    one_hot = F.min(F.col("score") == (F.col("prediction") == 1).cast("double")).alias("score_is_one_hot")
+    totals = guessed.agg(F.count(F.lit(1)).alias("rows"), one_hot)
+    drawn = guessed.groupBy(F.col("prediction").alias("quality")).agg(F.count(F.lit(1)).alias("drawn"))
+    n_train = train.agg(F.count(F.lit(1)).alias("n_train"))
+    shares = train.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(n_train))
+    share = F.col("n") / F.col("n_train")
+    gap = F.abs(F.coalesce("drawn", F.lit(0)) - F.col("rows") * share)
+    band = 5 * F.sqrt(F.col("rows") * share * (1 - share)) + 1
+    found = shares.join(drawn, "quality", "left").join(F.broadcast(totals))
+    return found.select("quality", (gap <= band).alias("share_within_band"), "score_is_one_hot")
 
 
 @query(
@@ -182,14 +198,14 @@ def tree(spark: SparkSession, folder: str) -> DataFrame:
 @query("c9_random_forest")
 def forest(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _sides(spark, folder)
-    fitted = models.fit_classifier("RandomForest", train, FEATURES, n_estimators=50, max_depth=8, max_features="sqrt")
+    fitted = models.fit_classifier("RandomForest", train, FEATURES, n_estimators=100, max_depth=10, max_features="sqrt")
     return _scored(fitted, test)
 
 
 @query("c10_gradient_boosting")
 def boosting(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _sides(spark, folder)
-    fitted = models.fit_classifier("GradientBoosting", train, FEATURES, learning_rate=0.1, n_estimators=20, max_depth=3)
+    fitted = models.fit_classifier("GradientBoosting", train, FEATURES, learning_rate=0.1, n_estimators=100, max_depth=3)
     return _scored(fitted, test)
 
 

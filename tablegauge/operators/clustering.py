@@ -253,14 +253,11 @@ def _calinski_harabasz(spreads: DataFrame, d: int) -> DataFrame:
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distances of all rows of ``a`` to all rows of ``b``."""
-    if a.shape[1] <= 16:
-        squared = np.zeros((len(a), len(b)))
-        for i in range(a.shape[1]):
-            gap = a[:, i, None] - b[None, :, i]
-            squared += gap * gap
-    else:
-        squared = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
-        np.maximum(squared, 0.0, out=squared)
+    # Differences first: products of large coordinates would cancel.
+    squared = np.zeros((len(a), len(b)))
+    for i in range(a.shape[1]):
+        gap = a[:, i, None] - b[None, :, i]
+        squared += gap * gap
     return np.sqrt(squared)
 
 

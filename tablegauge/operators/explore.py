@@ -84,7 +84,7 @@ def flag_duplicates(
 
     Grouping finds the combinations that occur more than once and their first row, with
     copies combined before the shuffle. If these are few, each row is checked against them
-    where it is. If they are many, rows look themselves up among the first ids; that key is
+    where it is. A row without an id is never marked. If they are many, rows look themselves up among the first ids; that key is
     unique, so the copies of one row never meet in one task.
     """
     columns = columns or [c for c in df.columns if c != row_id]
@@ -105,7 +105,7 @@ def flag_duplicates(
     firsts = groups.select("_first")
     return (
         df.join(firsts, column(row_id) == F.col("_first"), "left")
-        .withColumn("duplicated", F.col("_first").isNull())
+        .withColumn("duplicated", F.col("_first").isNull() & column(row_id).isNotNull())
         .drop("_first")
     )
 

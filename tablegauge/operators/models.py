@@ -30,7 +30,7 @@ DEEPEST = 30
 
 # The search grids of the evaluated models.
 LOGISTIC_GRID = {"C": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0]}
-TREE_GRID = {"max_depth": [3, 5, 10, None], "min_samples_leaf": [1, 5, 10], "ccp_alpha": [0.0, 0.01, 0.1]}
+TREE_GRID = {"max_depth": [3, 5, 10, None], "min_samples_leaf": [1, 5, 10], "min_info_gain": [0.0, 0.01, 0.1]}
 FOREST_GRID = {"n_estimators": [100, 200], "max_depth": [10, 20, None], "max_features": ["sqrt", "log2"]}
 BOOSTING_GRID = {"learning_rate": [0.01, 0.1], "n_estimators": [100, 200], "max_depth": [3, 5]}
 
@@ -53,7 +53,7 @@ def stratified_dummy(train: DataFrame, test: DataFrame, label: str, row_id: str,
     classes = class_sizes(train, label, row_id)
     whole = sum(n for _, n, _ in classes)
     # The top 53 bits of the hash as a fraction of 1.
-    draw = F.shiftrightunsigned(seeded_hash(F.col(row_id), seed), 11).cast("double") / F.lit(float(2**53))
+    draw = F.shiftrightunsigned(seeded_hash(F.col(row_id), seed, "draw"), 11).cast("double") / F.lit(float(2**53))
     pick, upto = None, 0
     for cls, n, _ in classes[:-1]:
         upto += n
@@ -122,7 +122,7 @@ _SETTINGS = {
     "max_depth": ("maxDepth", lambda v: DEEPEST if v is None else v),
     "min_samples_leaf": ("minInstancesPerNode", int),
     # Pruning after growth does not exist in the engine; a split must gain this much instead.
-    "ccp_alpha": ("minInfoGain", float),
+    "min_info_gain": ("minInfoGain", float),
     "n_estimators": ("numTrees", int),
     "max_features": ("featureSubsetStrategy", str),
     "learning_rate": ("stepSize", float),
@@ -222,24 +222,24 @@ def permutation_importance(
 ) -> DataFrame:
     """``(feature, importance, std)``: mean drop in accuracy with one feature's values shuffled.
 
-    Rows get a place in a random order; in each repeat a row takes a feature's value from
-    the row some places further on, so one join on the place serves all features and
-    repeats, and accuracy is counted per feature and repeat where the rows are.
+    Each repeat has a random order of its own, independent of the others and of splits with
+    the same seed; a row takes a feature's value from the row at its place there. One join
+    per repeat serves all features, and accuracy is counted where the rows are.
     """
     n_rows = df.count()
     schema = "feature string, importance double, std double"
     if n_rows == 0:
         return df.sparkSession.createDataFrame([], schema)
     base = predict(model, df).agg(*label_metrics(F.col(label), F.col("prediction"))).first()["accuracy"]
-    placed = checkpoint(shuffled_positions(df.select(row_id, label, *features), row_id, seed, n_rows, "_place"))
-    # Steps spread over the table so that repeats pair different rows.
-    steps = [1 + (n_rows - 1) * (2 * r + 1) // (2 * repeats) if n_rows > 1 else 0 for r in range(repeats)]
-    shifts = [
-        F.struct(F.lit(r).alias("repeat"), F.pmod(F.col("_place") - F.lit(s), F.lit(n_rows)).alias("_taker"))
-        for r, s in enumerate(steps)
-    ]
-    donors = placed.select(F.inline(F.array(*shifts)), *[F.col(f).alias(f"_new_{f}") for f in features])
-    both = placed.join(donors, placed["_place"] == donors["_taker"])
+    rows = df.select(row_id, label, *features)
+    placed = checkpoint(shuffled_positions(rows, row_id, seed, n_rows, "_place", "takers"))
+    both = None
+    for r in range(repeats):
+        order = shuffled_positions(rows, row_id, seed, n_rows, "_taker", f"donors {r}")
+        donors = order.select("_taker", *[F.col(f).alias(f"_new_{f}") for f in features])
+        pairs = placed.join(donors, placed["_place"] == donors["_taker"]).withColumn("repeat", F.lit(r))
+        both = pairs if both is None else both.unionByName(pairs)
+    both = checkpoint(both)
     variants = F.array(
         *[
             F.struct(

@@ -220,7 +220,8 @@ def running_totals(
 ) -> DataFrame:
     """``counts`` with ``cum_<measure>``: totals up to and including each row.
 
-    ``order`` must be numeric and unique within a group. Up to ``limit`` rows go through
+    ``order`` must be numeric and unique within a group; null sorts first and NaN last
+    (reversed when ``descending``), whatever the size. Up to ``limit`` rows go through
     one window per group. Beyond that the order axis is cut at sampled quantiles, every
     slice is cumulated on its own and shifted by the totals of the slices before it; the
     cuts are fixed numbers, so a task that is run again cuts alike.
@@ -238,8 +239,11 @@ def running_totals(
     slices = min(4096, size // limit + 2)
     cuts = sorted(set(counts.approxQuantile(order, [i / slices for i in range(1, slices)], 0.1 / slices)))
     edges = [float("-inf"), *cuts, float("inf")]
-    cutter = Bucketizer(splits=edges, inputCol="_axis", outputCol="_slice")
-    sliced = cutter.transform(counts.withColumn("_axis", F.col(order).cast("double"))).drop("_axis")
+    # NaN goes behind the last slice and null before the first, where a window sorts them too.
+    cutter = Bucketizer(splits=edges, inputCol="_axis", outputCol="_slice", handleInvalid="keep")
+    axis = F.coalesce(F.col(order).cast("double"), F.lit(float("-inf")))
+    sliced = cutter.transform(counts.withColumn("_axis", axis)).drop("_axis")
+    sliced = sliced.withColumn("_slice", F.when(F.col(order).isNull(), F.lit(-1.0)).otherwise(F.col("_slice")))
     inner = Window.partitionBy(*groups, "_slice").orderBy(direction(order))
     inner = inner.rowsBetween(Window.unboundedPreceding, 0)
     sliced = sliced.withColumns({f"cum_{m}": F.sum(m).over(inner) for m in measures})
@@ -260,19 +264,24 @@ def running_totals(
     )
 
 
-def seeded_hash(row_id: Column, seed: int) -> Column:
-    """A 64-bit hash of a bigint id under a seed; distinct ids keep distinct hashes."""
-    return F.xxhash64(F.lit(seed).cast("bigint"), row_id.cast("bigint"))
+def seeded_hash(row_id: Column, seed: int, purpose: str = "split") -> Column:
+    """A 64-bit hash of a bigint id under a seed; distinct ids keep distinct hashes.
+
+    Hashes for different purposes are independent, so rows picked by one are not picked by another.
+    """
+    return F.xxhash64(F.lit(purpose), F.lit(seed).cast("bigint"), row_id.cast("bigint"))
 
 
-def shuffled_positions(df: DataFrame, row_id: str, seed: int, n_rows: int, name: str = "position") -> DataFrame:
+def shuffled_positions(
+    df: DataFrame, row_id: str, seed: int, n_rows: int, name: str = "position", purpose: str = "shuffle"
+) -> DataFrame:
     """``df`` with every row's 0-based place in a random order of its ids.
 
     Rows fall evenly into hash slices; a row's place is the size of the slices before its
     own plus its rank inside, so no task sees more than one slice of the table.
     """
     slices = max(1, min(65_536, -(-n_rows // 200_000)))
-    hashed = df.withColumn("_h", seeded_hash(F.col(row_id), seed))
+    hashed = df.withColumn("_h", seeded_hash(F.col(row_id), seed, purpose))
     # The top 30 bits of the hash, spread over the slices.
     top = F.shiftrightunsigned("_h", 34)
     hashed = hashed.withColumn("_slice", F.shiftright(top * F.lit(slices).cast("bigint"), 30).cast("int"))

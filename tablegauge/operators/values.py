@@ -4,7 +4,8 @@ Columns of one storage class (whole numbers, reals, text) are turned into rows `
 of column ordinal and value. Grouping these counts every distinct value of all of them in
 one shuffle with map-side combining, where one distinct count per column would expand each
 row by the full width; each class reads only its own columns. Text above ``LONG_TEXT``
-bytes is grouped by its SHA-256, so documents are not shuffled to be counted;
+bytes is grouped by its beginning and its SHA-256, so documents are not shuffled to be
+counted and still sort among the others; only long texts with one beginning go by digest.
 ``restore_text`` brings the few reported ones back.
 """
 
@@ -18,6 +19,8 @@ from pyspark.sql import Window
 from tablegauge.functions.scalars import INTEGRAL, column, float_text, present
 
 LONG_TEXT = 64
+# Characters of a long text that decide its order.
+ORDERED_CHARS = 256
 _DIGEST_MARK = "\u0000"
 
 INT, BOOL, FLOAT, SINGLE, TIME, TEXT = "int", "bool", "float", "single", "time", "text"
@@ -51,11 +54,11 @@ def text_slot(df: DataFrame, name: str) -> Column:
 
 
 def _digest(col: Column) -> Column:
-    return F.concat(F.lit(_DIGEST_MARK), F.sha2(col, 256))
+    return F.concat(F.substring(col, 1, ORDERED_CHARS), F.lit(_DIGEST_MARK), F.sha2(col, 256))
 
 
 def key_text(col: Column) -> Column:
-    """Short text as it is, long text as its digest."""
+    """Short text as it is, long text as its beginning and digest, which is longer than any short one."""
     return F.when(F.octet_length(col) > LONG_TEXT, _digest(col)).otherwise(col)
 
 
@@ -158,7 +161,7 @@ def restore_text(picked: DataFrame, df: DataFrame, names: list[str], order_by: C
         return picked
     full = stack(texts).where(F.octet_length("v") > LONG_TEXT)
     full = full.select("c", _digest(F.col("v")).alias("s"), F.col("v").alias("body"), "o")
-    marked = picked.where(F.startswith("s", F.lit(_DIGEST_MARK))).select("c", "s", "o")
+    marked = picked.where(F.octet_length("s") > LONG_TEXT).select("c", "s", "o")
     bodies = full.join(F.broadcast(marked), ["c", "s", "o"]).groupBy("c", "s").agg(F.first("body").alias("body"))
     return (
         picked.join(F.broadcast(bodies), ["c", "s"], "left")

@@ -41,7 +41,10 @@ def evaluate(
     max_noise: float | None = None,
     parallelism: int = 4,
 ) -> ClusterEvaluation:
-    """Scale, sweep both methods, and keep k-means if its silhouette is strictly higher."""
+    """Scale, sweep both methods, and keep k-means if its silhouette is strictly higher.
+
+    Where neither method finds two clusters the best model is "no clustering" and all labels are 0.
+    """
     spark = points.sparkSession
     scaled = checkpoint(clustering.scale_points(points))
 
@@ -50,7 +53,8 @@ def evaluate(
     runs = checkpoint(clustering.with_labels(scaled, list(models.values())))
     k_scores = checkpoint(clustering.score_ks(runs, tried))
     chosen = k_scores.where("is_best").first()
-    k_labels = runs.select("id", F.col("labels")[tried.index(chosen["k"])].alias("label"))
+    if chosen is not None:
+        k_labels = runs.select("id", F.col("labels")[tried.index(chosen["k"])].alias("label"))
 
     table, labelings = density.dbscan_sweep(scaled, eps_range, min_samples_range, max_noise)
     table = checkpoint(table)
@@ -64,11 +68,19 @@ def evaluate(
             found["silhouette"], found["davies_bouldin"], found["calinski_harabasz"], found["noise_ratio"],
         )
 
-    kmeans_wins = chosen["silhouette"] > d_scores[0] or d_labels is None
-    best = "KMeans" if kmeans_wins else "DBSCAN"
-    labels = k_labels if kmeans_wins else d_labels
+    if chosen is None:
+        # No k gives two clusters, as when all points are alike.
+        k_scored, kmeans_wins = (None, None, None), False
+        k_labels = scaled.select("id", F.lit(0).alias("label"))
+        best = "DBSCAN" if d_labels is not None else "no clustering"
+        labels = d_labels if d_labels is not None else k_labels
+    else:
+        k_scored = (chosen["silhouette"], chosen["davies_bouldin"], chosen["calinski_harabasz"])
+        kmeans_wins = d_labels is None or chosen["silhouette"] > d_scores[0]
+        best = "KMeans" if kmeans_wins else "DBSCAN"
+        labels = k_labels if kmeans_wins else d_labels
     metric_rows = [
-        (dataset, "kmeans", chosen["silhouette"], chosen["davies_bouldin"], chosen["calinski_harabasz"], None),
+        (dataset, "kmeans", *k_scored, None),
         (dataset, "dbscan", *d_scores),
     ]
     metrics = spark.createDataFrame(
@@ -79,7 +91,7 @@ def evaluate(
     config = spark.createDataFrame(
         [
             (
-                dataset, best, chosen["k"], found["eps"] if found else None,
+                dataset, best, chosen["k"] if chosen else None, found["eps"] if found else None,
                 found["min_samples"] if found else None, "silhouette_score",
             )
         ],

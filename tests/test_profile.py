@@ -269,4 +269,11 @@ def test_value_counts_do_not_shuffle_long_text(spark):
     df = spark.createDataFrame([("t" * 5000,)] * 20, "t string")
     ((_, counts),) = V.value_counts(df, ["t"])
     row = counts.first()
-    assert row["n"] == 20 and len(row["v"]) == 65
+    # The key holds the beginning of the text, which orders it, a mark and its digest.
+    assert row["n"] == 20 and len(row["v"]) == V.ORDERED_CHARS + 65
+
+
+def test_long_and_short_texts_tie_by_their_text(spark):
+    df = spark.createDataFrame([(t,) for t in ("z" * 70, "y" * 80, "a", "b", "c")], "t string")
+    row = categories.top_categories(df, top_k=2).collect()
+    assert [r["value"] for r in row] == ["a", "b"]

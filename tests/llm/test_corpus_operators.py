@@ -542,6 +542,22 @@ def test_tree_equals_recursion():
         assert got == pytest.approx(direct(text), rel=1e-5)
 
 
+def test_rare_runs_keep_their_contexts(docs):
+    """However few runs the tasks hold, every text is scored by the tree of all training counts."""
+    rows = plain(docs)
+    learned = lambda i: i is None or zlib.crc32(str(i).encode()) % 5 != 1
+    streams = [(i, context_tree.stream((t or "").encode().lower().split())) for i, t in rows]
+    direct = direct_tree([s for i, s in streams if learned(i)], 5)
+    want = sorted((str(i), round(direct(s), 4)) for i, s in streams if len(s) < 2000)
+    for cached in (1 << 20, 20):
+        got = context_tree.score(docs, cached_runs=cached).collect()
+        # Short texts are enough: their rare runs are those a small table lacks.
+        short = {str(i) for i, s in streams if len(s) < 2000}
+        found = sorted((str(r["doc_id"]), r["score"]) for r in got if str(r["doc_id"]) in short)
+        assert [i for i, _ in found] == [i for i, _ in want]
+        assert [v for _, v in found] == pytest.approx([v for _, v in want], rel=1e-6, abs=1e-3)
+
+
 def test_truncated_tree_looks_up_what_bits_give():
     train = [context_tree.stream(t.encode().lower().split()) for t in sample_texts()[:30] if t]
     keys, counts = np.unique(context_tree.grams(train, 3)[0], return_counts=True)

@@ -5,10 +5,12 @@ import hashlib
 import math
 import random
 import re
+import types
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -558,6 +560,39 @@ def test_rare_runs_keep_their_contexts(docs):
         assert [v for _, v in found] == pytest.approx([v for _, v in want], rel=1e-6, abs=1e-3)
 
 
+def test_weights_count_all_children(monkeypatch):
+    """Groups weighed apart, the smallest ones possible, give the chances of the recursion over all counts."""
+    monkeypatch.setattr(context_tree, "WEIGHED_RUNS", 1)
+    train = [context_tree.stream(t.encode().lower().split()) for t in sample_texts()[:30] if t]
+    texts = [train[0], b"shalo kami\n", b"quite new\n", b"\n"]
+    depth, first, mask = 5, 3, (1 << 24) - 1
+    keys, n_train = np.unique(context_tree.grams(train, depth)[0], return_counts=True)
+    every = np.unique(np.concatenate([keys, context_tree.grams(texts, depth)[0]]))
+    every = every[np.argsort(every >> 8 & mask, kind="stable")]
+    n = np.zeros(len(every), dtype=np.int64)
+    n[np.isin(every, keys)] = n_train[np.searchsorted(keys, every[np.isin(every, keys)])]
+
+    def batches(*columns):
+        for i in range(0, len(columns[0]), 7):
+            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 7]) for c in columns], names=[*"abc"][: len(columns)])
+
+    parts = list(context_tree._weigh_deep(depth, first, mask)(batches(every[n > 0], n[n > 0])))
+    assert len(parts) > 100
+    nodes, at = np.unique(np.concatenate([p.column(0).to_numpy() for p in parts]), return_inverse=True)
+    sums = np.bincount(at, np.concatenate([p.column(1).to_numpy() for p in parts]))
+    head = context_tree.ContextTree(context_tree.shorter_levels(keys, n_train, 0, first - 1), beyond=(nodes, sums))
+    made = list(context_tree._run_logs(types.SimpleNamespace(value=head), depth, first, mask)(batches(every, n, n)))
+    logs = {k: v for p in made for k, v in zip(p.column(0).to_pylist(), p.column(2).to_pylist(), strict=True)}
+    direct = direct_tree(train, depth)
+    for text in texts:
+        assert sum(logs[k] for k in context_tree.grams([text], depth)[0].tolist()) == pytest.approx(direct(text), rel=1e-9)
+    # A table that looks up the five most frequent runs only answers with these logs, and names the others.
+    often = np.array(sorted(logs))[np.argsort([n[every == k][0] for k in sorted(logs)], kind="stable")[-5:]]
+    found, missing = context_tree.RunTable(often, np.array([logs[k] for k in often])).find(every)
+    assert set(every[missing]) == set(every) - set(often)
+    assert all(v == logs[k] for k, v in zip(every, found, strict=True) if k in set(often))
+
+
 def test_truncated_tree_looks_up_what_bits_give():
     train = [context_tree.stream(t.encode().lower().split()) for t in sample_texts()[:30] if t]
     keys, counts = np.unique(context_tree.grams(train, 3)[0], return_counts=True)

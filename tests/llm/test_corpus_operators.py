@@ -654,6 +654,32 @@ def test_lines_equal_brute_force(spark, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_lines_are_compared_by_characters(spark):
+    """Runs of five characters: of five bytes, lines with longer characters look more alike than they are."""
+    french = "élan été forêt près du café où naît à l'île en"
+    chinese = "今天天气很好我们一起去公园散步看花然后回家吃饭休息吧你"
+    mixed = "Der schöne Fluß fließt über die grünen Wiesen bis zur alten Mühle hinter dem großen Wald 😀"
+    pairs = [
+        (french, french.replace("café", "cafè")),
+        (chinese, chinese[:13] + "山" + chinese[14:]),
+        (chinese * 2, chinese * 2 + "山"),
+        (mixed, mixed[:-1] + "😁"),
+        (mixed, mixed.replace("ü", "u")),
+        ("日本", "日"),
+    ]
+    runs = lambda x: {x[k : k + 5] for k in range(max(1, len(x) - 4))}
+    alike = [len(runs(a) & runs(b)) >= 0.8 * len(runs(a) | runs(b)) for a, b in pairs]
+    assert alike == [False, False, True, True, False, False]
+    for (a, b), want in zip(pairs, alike, strict=True):
+        forms = [x.encode() for x in (a, b)]
+        numbers, starts = line_dedup.shingles(forms)
+        assert [len(set(x.tolist())) for x in np.split(numbers, starts[1:])] == [len(runs(a)), len(runs(b))]
+        assert bool(line_dedup._few_links([1, 2], forms)[0]) == bool(line_dedup._indexed_links([1, 2], forms)[0]) == want
+    rows = [(i, "\n".join(p)) for i, p in enumerate([*pairs[:2], pairs[3]])]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_dropped"] for r in got} == {0: 0, 1: 0, 2: 1}
+
+
 def test_lines_of_repeated_rows_and_null_ids(docs):
     rows = line_dedup.dedup_lines(docs).collect()
     assert len(rows) == docs.count()

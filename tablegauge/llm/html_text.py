@@ -19,7 +19,12 @@ from tablegauge.llm.common import column, map_texts
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript title iframe object svg math audio video canvas datalist".split())
+HIDDEN = frozenset("head script style template noscript title iframe object audio video canvas datalist".split())
+# Inside formulas and drawings: what describes or defines without being shown.
+HIDDEN_IN = {
+    "math": frozenset({"annotation", "annotation-xml", "mphantom"}),
+    "svg": frozenset("metadata title desc defs symbol clippath mask marker pattern lineargradient radialgradient filter".split()),
+}
 HEAD_ONLY = frozenset("base link meta title style script template noscript".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -103,8 +108,10 @@ class TreeBuilder(HTMLParser):
         self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        # HTML ignores the slash of an element that is not void.
+        # HTML ignores the slash of an element that is not void; in formulas and drawings it closes.
         self.handle_starttag(tag, attrs)
+        if self.open[-1].tag == tag and any(n.tag in HIDDEN_IN for n in self.open):
+            self.open.pop()
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -124,16 +131,30 @@ class TreeBuilder(HTMLParser):
         self.open[-1].children.append(data)
 
 
-_HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_NOT_DISPLAYED = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*([a-z]+)", re.I)
+_ROWS = frozenset({"tr", "tbody", "thead", "tfoot"})
+
+
+def _visibility(node: Node) -> str:
+    """The visibility an inline style gives the element, empty if it has none of its own."""
+    found = _VISIBILITY.findall(node.attrs.get("style", ""))
+    value = found[-1].lower() if found else ""
+    return {"hidden": "hidden", "collapse": "collapse", "visible": "visible", "initial": "visible"}.get(value, "")
+
 
+def is_hidden(node: Node, inside: str = "") -> bool:
+    """Elements that browsers don't show with all they hold: by name, attribute or inline style.
 
-def is_hidden(node: Node) -> bool:
-    """Elements that browsers don't show: by name, attribute or inline style."""
-    if node.tag in HIDDEN or "hidden" in node.attrs:
+    ``inside`` is the formula or drawing around. Invisible elements are not among them, as a child can be visible again.
+    """
+    if node.tag in HIDDEN or node.tag in HIDDEN_IN.get(inside, ()) or "hidden" in node.attrs:
         return True
     if node.tag == "input" or (node.tag == "dialog" and "open" not in node.attrs):
         return True
-    return bool(_HIDING.search(node.attrs.get("style", "")))
+    if node.tag in _ROWS and _visibility(node) == "collapse":
+        return True
+    return bool(_NOT_DISPLAYED.search(node.attrs.get("style", "")))
 
 
 def width(text: str) -> int:
@@ -209,6 +230,62 @@ def _span(node: Node) -> int:
     return min(int(value), 1000) if value.isascii() and value.isdigit() and int(value) else 1
 
 
+def _rows_spanned(node: Node) -> int:
+    """Rows the cell takes, at most those of its row group; 0 stands for all that follow."""
+    value = node.attrs.get("rowspan", "1").strip()
+    return min(int(value) or 65534, 65534) if value.isascii() and value.isdigit() else 1
+
+
+class Row:
+    """A table row of one row group: columns and rows spanned, and the lines, of each cell."""
+
+    __slots__ = ("cells", "group")
+
+    def __init__(self, group: int):
+        self.group = group
+        self.cells: list[tuple[int, int, list[str]]] = []
+
+
+def _placed(rows: list[Row]) -> list[list[tuple[int, list[str]]]]:
+    """Rows of (columns spanned, lines), with empty cells where cells of rows above reach down."""
+    out: list[list[tuple[int, list[str]]]] = []
+    # By column: rows the cell above still takes, and its number.
+    above: dict[int, tuple[int, int]] = {}
+    group, number = None, 0
+    for row in rows:
+        if row.group != group:
+            group, above = row.group, {}
+        cells: list[tuple[int, list[str]]] = []
+        after = {c: (left - 1, n) for c, (left, n) in above.items() if left > 1}
+        at = 0
+
+        def pass_over(at: int) -> int:
+            while at in above:
+                end = at + 1
+                while end in above and above[end][1] == above[at][1]:
+                    end += 1
+                cells.append((end - at, []))
+                at = end
+            return at
+
+        for span, down, lines in row.cells:
+            at = pass_over(at)
+            cells.append((span, lines))
+            if down > 1:
+                after |= {c: (down - 1, number) for c in range(at, at + span)}
+                number += 1
+            at += span
+        last = max(above, default=-1)
+        while at <= last:
+            if at not in above:
+                cells.append((1, []))
+                at += 1
+            at = pass_over(at)
+        above = after
+        out.append(cells)
+    return out
+
+
 def _table(rows: list[list[tuple[int, list[str]]]]) -> list[str]:
     """Rows of (columns spanned, lines of the cell) as aligned lines, cells set apart by `` | ``."""
     widths: list[int] = []
@@ -248,24 +325,32 @@ def render(root: Node) -> str:
     # Frames of what is being laid out: the page, list items and table cells have a block each.
     blocks: list[Block] = [Block()]
     lists: list[list] = []
-    tables: list[list[list[tuple[int, list[str]]]]] = []
+    tables: list[list[Row]] = []
+    groups: list[int] = []
     keep = 0
+    # Whether the elements around are visible, and the formula or drawing around.
+    shown = [True]
+    foreign: list[str] = []
     todo: list[tuple[int, Node | str]] = [(_OPEN, root)]
     while todo:
         step, node = todo.pop()
         block = blocks[-1]
         if isinstance(node, str):
-            block.text(node, keep > 0)
+            if shown[-1]:
+                block.text(node, keep > 0)
             continue
         tag = node.tag
         if step == _OPEN:
-            if is_hidden(node):
+            if is_hidden(node, foreign[-1] if foreign else ""):
                 continue
+            own = _visibility(node)
+            is_shown = own == "visible" if own else shown[-1]
             if tag == "br":
-                block.line(force=True)
+                if is_shown:
+                    block.line(force=True)
                 continue
             if tag == "img":
-                if node.attrs.get("alt", "").strip(BLANKS):
+                if is_shown and node.attrs.get("alt", "").strip(BLANKS):
                     block.text(node.attrs["alt"], False)
                 continue
             if tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and lists):
@@ -283,17 +368,33 @@ def render(root: Node) -> str:
                 blocks.append(Block())
             elif tag == "table":
                 tables.append([])
+                groups.append(0)
+            elif tag in ("tbody", "thead", "tfoot") and tables:
+                groups[-1] += 1
             elif tag == "tr" and tables:
-                tables[-1].append([])
+                tables[-1].append(Row(groups[-1]))
             elif tag in ("td", "th") and tables:
                 blocks.append(Block())
             elif tag in ("blockquote", "dd"):
                 blocks.append(Block())
+            elif tag in HIDDEN_IN:
+                foreign.append(tag)
+            elif tag == "text" and foreign:
+                # Labels of a drawing stand apart.
+                block.text(" ", False)
+            shown.append(is_shown)
             todo.append((_CLOSE, node))
             todo += [(_OPEN, child) for child in reversed(node.children)]
             continue
+        is_shown = shown.pop()
         if tag == "pre":
             keep -= 1
+        elif tag in HIDDEN_IN:
+            foreign.pop()
+        elif tag == "text" and foreign:
+            block.text(" ", False)
+        elif tag in ("tbody", "thead", "tfoot") and tables:
+            groups[-1] += 1
         elif tag in ("ul", "menu", "dir", "ol"):
             lists.pop()
         elif tag in ("blockquote", "dd"):
@@ -309,16 +410,17 @@ def render(root: Node) -> str:
                 mark = f"{lists[-1][1]}. "
                 lists[-1][1] += 1
             pad = " " * len(mark)
+            mark = mark if is_shown else pad
             if lines:
                 blocks[-1].add_lines([mark + lines[0], *(pad + line if line else "" for line in lines[1:])])
         elif tag in ("td", "th") and tables:
             lines = blocks.pop().done()
             if not tables[-1]:
-                tables[-1].append([])
-            tables[-1][-1].append((_span(node), lines))
+                tables[-1].append(Row(groups[-1]))
+            tables[-1][-1].cells.append((_span(node), _rows_spanned(node), lines))
         elif tag == "table":
-            rows = [r for r in tables.pop() if r]
-            blocks[-1].add_lines(_table(rows))
+            groups.pop()
+            blocks[-1].add_lines(_table(_placed(tables.pop())))
         block = blocks[-1]
         if tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and lists):
             block.space()

@@ -732,6 +732,29 @@ def test_page_text(html):
     assert html_text.page_text(html) == PAGES[html]
 
 
+SHOWN = {
+    "<p>so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2</annotation></semantics></math>.":
+        "so x=2.",
+    "a <svg><title>no</title><defs/><metadata>no</metadata><text>left</text><text>right</text><desc>no</desc></svg>b": "a left right b",
+    "<desc>x</desc>": "x",
+    "a<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no</div>b": "a\nyes\nb",
+    "<ol><li style='visibility:hidden'>no<li>y</ol>": "2. y",
+    "<table><tr><td style='visibility:hidden'>no<td>b<tr><td>c<td>d</table>": "  | b\nc | d",
+    "<table><tr style='visibility:collapse'><td>no<tr><td>c</table>": "c",
+    "<i style='visibility:hidden; visibility:visible'>y</i>": "y",
+    "<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>": "a | b\n  | c\nd | e",
+    "<table><tr><td>a<td rowspan=3 colspan=2>bb<td>c<tr><td>d<td>e<tr><td>f</table>":
+        "a | bb  | c\nd |     | e\nf |",
+    "<table><thead><tr><td rowspan=9>a<td>b<tbody><tr><td>c<td>d</table>": "a | b\nc | d",
+    "<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>": "a | b\n  | c\n  | d",
+}
+
+
+@pytest.mark.parametrize("html", list(SHOWN))
+def test_all_that_is_shown(html):
+    assert html_text.page_text(html) == SHOWN[html]
+
+
 def test_pages_without_limits(spark):
     deep = "<div>" * 20_000 + "deep" + "</div>" * 20_000
     rows = [(1, deep, "t"), (2, None, "t"), (None, "<p>x", "t"), (3, "w " * 300_000, "t"), (1, deep, "t")]

@@ -80,9 +80,10 @@ def _places(words: Column, lengths: list[int]) -> Column:
 
 
 def _items(benchmark: DataFrame, id: str, text: str) -> DataFrame:
-    """Items with their words; items without a word or an id can't be hit."""
-    named = benchmark.select(column(id).alias("item"), clean_words(column(text)).alias("item_words"))
-    return checkpoint(named.where(F.col("item").isNotNull() & (F.size("item_words") > 0)).distinct())
+    """``(item, name, item_words)``: items by an internal key that no null id lacks; those without a word can't be hit."""
+    named = benchmark.select(column(id).alias("name"), clean_words(column(text)).alias("item_words"))
+    key = F.xxhash64(F.isnull("name"), F.col("name").cast("string"), "item_words").alias("item")
+    return checkpoint(named.where(F.size("item_words") > 0).select(key, "name", "item_words").distinct())
 
 
 def _item_prints(items: DataFrame, span: int, gram: int, short: list[int]) -> DataFrame:
@@ -124,9 +125,10 @@ def overlaps(
 ) -> tuple[DataFrame, DataFrame]:
     """All documents as ``(*keep, k1, k2, n_words)``, and the hits of each text.
 
-    The second table has ``(k1, k2, n_hit, items)``, one row for each different text with a hit: the
-    words inside any occurrence of a window of ``span`` item words (or of a whole shorter item)
-    and the sorted ids of the items that occur. ``k1`` and ``k2`` identify the text, so copies
+    The second table has ``(k1, k2, n_hit, n_items, items)``, one row for each different text with a hit: the
+    words inside any occurrence of a window of ``span`` item words (or of a whole shorter item),
+    the number of different items that occur and their sorted ids. All items without an id count
+    as one, which the list leaves out. ``k1`` and ``k2`` identify the text, so copies
     are read once more at most once.
     """
     items = _items(benchmark, item_id, item_text)
@@ -194,9 +196,12 @@ def overlaps(
         return F.flatten(F.transform(starts, lambda i: F.sequence(at + i - 1, at + i + need - 2)))
 
     positions = F.array_distinct(F.flatten(F.transform("shifts", reach)))
-    hit = checkpoint(paired.select(*KEYS, "item", positions.alias("at")).where(F.size("at") > 0))
+    hit = checkpoint(paired.select(*KEYS, "name", positions.alias("at")).where(F.size("at") > 0))
     covered = hit.select(*KEYS, F.explode("at").alias("at")).distinct().groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_hit"))
-    named = hit.groupBy(*KEYS).agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("items"))
+    items_hit = F.sort_array(F.collect_set(F.col("name").cast("string")))
+    unnamed = F.max(F.isnull("name").cast("long"))
+    named = hit.groupBy(*KEYS).agg(items_hit.alias("items"), unnamed.alias("unnamed"))
+    named = named.select(*KEYS, (F.size("items") + F.col("unnamed")).alias("n_items"), "items")
     return marked, checkpoint(covered.join(named, KEYS))
 
 
@@ -205,7 +210,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
 
     Null and empty texts have no words and no hit. Repeated rows get the same answer, a null
     id stays null. Items without words never occur; an empty benchmark hits nothing. Items
-    with one id and different texts count as one item.
+    with one id and different texts count as one item; items without an id count as one in
+    ``n_hit``, ``n_items`` and ``contaminated`` and are left out of ``items`` only.
     """
     named = docs.select(column(id).alias("id"), column(text).alias("text"))
     marked, hits = overlaps(named, benchmark, ["id"])
@@ -214,14 +220,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
         F.col("id").alias(id),
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The documents no benchmark window occurs in, with their columns as they are."""
+    """The documents no benchmark window occurs in, with their columns as they are.
+
+    A window of an item without an id counts as any other.
+    """
     _, hits = overlaps(docs, benchmark, [], text)
     bad = hits.select(F.struct(*KEYS).alias(free_name("mark", docs.columns)))
     name = bad.columns[0]

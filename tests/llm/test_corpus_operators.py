@@ -267,6 +267,15 @@ def test_contamination_equals_brute_force(spark, docs, empty):
     assert decontaminate.contamination(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_items_without_id_are_hit(spark):
+    rows = [(1, "see the quick brown fox"), (2, "lazy dog here"), (3, "a quick brown fox and a lazy dog"), (4, "nothing")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "quick brown"), (None, "BROWN fox"), (7, "lazy dog"), (None, "")], "item_id long, text string")
+    got = {r["doc_id"]: tuple(r)[2:] for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {1: (3, 1, [], True), 2: (2, 1, ["7"], True), 3: (5, 2, ["7"], True), 4: (0, 0, [], False)}
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect()] == [4]
+
+
 # Mixing
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablegauge.catalog import query, rounded
 from tablegauge.operators import clustering, density, metrics
@@ -31,6 +32,13 @@ def raw_suppliers(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.points_from_columns(rows, "s_suppkey")
 
 
+def raw_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every part with all numeric columns but the key."""
+    rows = load_table(spark, folder, "part")
+    numeric = [f.name for f in rows.schema if isinstance(f.dataType, T.NumericType) and f.name != "p_partkey"]
+    return clustering.points_from_columns(rows.select("p_partkey", *numeric), "p_partkey")
+
+
 def labelled_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """The vectors with the given labels."""
     rows = load_table(spark, folder, "embeddings")
@@ -232,3 +240,30 @@ def choice(spark: SparkSession, folder: str) -> DataFrame:
     """Metric rows of both methods over the full ranges, with the chosen one."""
     result = clusters.evaluate(raw_suppliers(spark, folder), "supplier", parallelism=8)
     return rounded(result.metrics.join(result.config, "dataset"))
+
+
+@query("j4_j9_dbscan_sweep_customers")
+def dbscan_sweep_customers(spark: SparkSession, folder: str) -> DataFrame:
+    table, _ = density.dbscan_sweep(clustering.scale_points(raw_customers(spark, folder)))
+    return rounded(table, calinski_harabasz=4)
+
+
+@query("j4_j9_dbscan_sweep_parts")
+def dbscan_sweep_parts(spark: SparkSession, folder: str) -> DataFrame:
+    table, _ = density.dbscan_sweep(clustering.scale_points(raw_parts(spark, folder)))
+    return rounded(table, calinski_harabasz=4)
+
+
+def _choice(points: DataFrame, dataset: str) -> DataFrame:
+    result = clusters.evaluate(points, dataset, parallelism=8)
+    return rounded(result.metrics.join(result.config, "dataset"))
+
+
+@query("j10_j13_cluster_choice_customers")
+def choice_customers(spark: SparkSession, folder: str) -> DataFrame:
+    return _choice(raw_customers(spark, folder), "customer")
+
+
+@query("j10_j13_cluster_choice_parts")
+def choice_parts(spark: SparkSession, folder: str) -> DataFrame:
+    return _choice(raw_parts(spark, folder), "part")

@@ -18,6 +18,7 @@ from tablegauge.llm import (
     sharding,
     simhash,
     token_store,
+    warc,
 )
 from tablegauge.sources import load_table
 
@@ -119,3 +120,19 @@ def html_pages(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_fuzzy_line_dedup")
 def fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(load_table(spark, folder, "documents"))
+
+
+@query(
+    "op11_warc_round_trip",
+    """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+      s AS (SELECT page_id, strlen(h) AS n, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+    SELECT page_id, n::BIGINT AS payload_bytes,
+      list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(x, (1 + 10 * (i // 8))::INT, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT + 1, 1)),
+        'string_agg', '') AS payload_digest,
+      CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> top THEN top END AS refers_to
+    FROM s""",
+)
+def archived_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(load_table(spark, folder, "pages"))

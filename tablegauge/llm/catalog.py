@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tablegauge.catalog import Query
 from tablegauge.llm import (
+    collocations,
     context_tree,
     decontaminate,
     html_text,
@@ -17,6 +18,7 @@ from tablegauge.llm import (
     secret_scan,
     sharding,
     simhash,
+    spelling,
     token_store,
     warc,
 )
@@ -136,3 +138,13 @@ def fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
 )
 def archived_pages(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(load_table(spark, folder, "pages"))
+
+
+@query("op12_spelling_variants")
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(load_table(spark, folder, "documents"))
+
+
+@query("op13_phrase_collocations")
+def phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(load_table(spark, folder, "documents"))

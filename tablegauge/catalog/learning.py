@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegauge.catalog import query, rounded
-from tablegauge.operators import metrics, models, splits
+from tablegauge.operators import metrics, models, pruning, splits
 from tablegauge.plans import classification
 from tablegauge.session import checkpoint
 from tablegauge.sources import load_table
@@ -195,6 +195,27 @@ def tree(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(models.fit_classifier("DecisionTree", train, FEATURES, max_depth=5, min_samples_leaf=10), test)
 
 
+@query("c8_pruning_path")
+def pruning_path(spark: SparkSession, folder: str) -> DataFrame:
+    """Alphas, leaves and risk of every subtree of an unlimited tree."""
+    train, _ = _sides(spark, folder)
+    grown = models.fit_classifier("DecisionTree", train, FEATURES, max_depth=None, min_samples_leaf=1)
+    return rounded(pruning.pruning_path(grown.stages[-1]), 9)
+
+
+@query("c8_c11_pruned_tree_search")
+def pruned_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole grid of depth, leaf size and pruning strength over five folds."""
+    train, _ = _sides(spark, folder)
+    folded = checkpoint(splits.stratified_folds(train, "label", "doc_id"))
+    found = models.grid_search("DecisionTree", folded, FEATURES, parallelism=8)
+    rows = [
+        (o["max_depth"], o["min_samples_leaf"], o["ccp_alpha"], s, o == found.best_params) for o, s in found.scores
+    ]
+    schema = "max_depth int, min_samples_leaf int, ccp_alpha double, roc_auc double, is_best boolean"
+    return rounded(spark.createDataFrame(rows, schema), 6)
+
+
 @query("c9_random_forest")
 def forest(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _sides(spark, folder)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import itertools
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.functions.scalars import present
+from tablegauge.operators import pruning
 from tablegauge.operators.metrics import label_metrics
 from tablegauge.operators.ranks import seeded_hash, shuffled_positions
 from tablegauge.operators.splits import class_sizes
@@ -30,7 +33,7 @@ DEEPEST = 30
 
 # The search grids of the evaluated models.
 LOGISTIC_GRID = {"C": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0]}
-TREE_GRID = {"max_depth": [3, 5, 10, None], "min_samples_leaf": [1, 5, 10], "min_info_gain": [0.0, 0.01, 0.1]}
+TREE_GRID = {"max_depth": [3, 5, 10, None], "min_samples_leaf": [1, 5, 10], "ccp_alpha": [0.0, 0.01, 0.1]}
 FOREST_GRID = {"n_estimators": [100, 200], "max_depth": [10, 20, None], "max_features": ["sqrt", "log2"]}
 BOOSTING_GRID = {"learning_rate": [0.01, 0.1], "n_estimators": [100, 200], "max_depth": [3, 5]}
 
@@ -121,7 +124,7 @@ def _estimator(kind: str, seed: int):
 _SETTINGS = {
     "max_depth": ("maxDepth", lambda v: DEEPEST if v is None else v),
     "min_samples_leaf": ("minInstancesPerNode", int),
-    # Pruning after growth does not exist in the engine; a split must gain this much instead.
+    # The least gain of a split while the tree grows.
     "min_info_gain": ("minInfoGain", float),
     "n_estimators": ("numTrees", int),
     "max_features": ("featureSubsetStrategy", str),
@@ -159,7 +162,10 @@ def grid_search(
     """
     n_folds = train.agg(F.max(fold)).first()[0] + 1
     n_rows = train.count()
-    evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC", numBins=0)
+    # A tree's raw prediction is its leaf's class counts, which do not rank rows.
+    evaluator = BinaryClassificationEvaluator(
+        labelCol="label", rawPredictionCol="probability", metricName="areaUnderROC", numBins=0
+    )
     train = train.withColumn("label", F.col("label").cast("double"))
     if kind == "LogisticRegression":
         options = combinations(grid or LOGISTIC_GRID)
@@ -170,6 +176,8 @@ def grid_search(
     else:
         default = {"DecisionTree": TREE_GRID, "RandomForest": FOREST_GRID, "GradientBoosting": BOOSTING_GRID}[kind]
         options = combinations(grid or default)
+        if kind == "DecisionTree" and "ccp_alpha" in options[0]:
+            return _pruned_search(train, features, options, n_folds, fold, seed, parallelism)
         last = _estimator(kind, seed)
         estimator = Pipeline(stages=[assembled(features), last])
         maps = [dict(_setting(last, k, v) for k, v in o.items()) for o in options]
@@ -186,18 +194,63 @@ def grid_search(
     return Search(kind, model, options[at], scores[at], list(zip(options, scores)))
 
 
+def _pruned_search(
+    train: DataFrame, features: list[str], options: list[dict], n_folds: int, fold: str, seed: int, parallelism: int
+) -> Search:
+    """A search over trees and pruning strengths: a tree is grown once per fold for all strengths.
+
+    The rows left out are counted by leaf of the grown tree, which gives the area at every strength.
+    """
+    rows = checkpoint(assembled(features).transform(train).select("features", "label", fold))
+    alphas = sorted({o["ccp_alpha"] for o in options})
+    grown = list(dict.fromkeys(tuple((k, v) for k, v in o.items() if k != "ccp_alpha") for o in options))
+
+    def areas(job: tuple[tuple, int]) -> list[float]:
+        settings, f = job
+        model = _tree(seed, **dict(settings)).fit(rows.where(F.col(fold) != f))
+        counts = pruning.leaf_counts(model, rows.where(F.col(fold) == f))
+        return [pruning.area_by_leaf(s, counts) for s in pruning.leaf_scores(model, alphas).T]
+
+    jobs = [(g, f) for g in grown for f in range(n_folds)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = dict(zip(jobs, pool.map(inheritable_thread_target(train.sparkSession)(areas), jobs)))
+    means = {
+        (g, a): sum(found[g, f][k] for f in range(n_folds)) / n_folds for g in grown for k, a in enumerate(alphas)
+    }
+    scores = [means[tuple((k, v) for k, v in o.items() if k != "ccp_alpha"), o["ccp_alpha"]] for o in options]
+    at = max(range(len(scores)), key=lambda i: (scores[i], -i))
+    model = fit_classifier("DecisionTree", train, features, seed, **options[at])
+    return Search("DecisionTree", model, options[at], scores[at], list(zip(options, scores)))
+
+
+def _tree(seed: int, **settings) -> DecisionTreeClassifier:
+    estimator = _estimator("DecisionTree", seed)
+    for name, value in settings.items():
+        estimator.set(*_setting(estimator, name, value))
+    return estimator
+
+
 def fit_logistic(train: DataFrame, features: list[str], c: float = 1.0, max_iter: int = 100) -> PipelineModel:
     train = train.withColumn("label", F.col("label").cast("double"))
     return logistic_pipeline(features, train.count(), c, max_iter).fit(train)
 
 
 def fit_classifier(kind: str, train: DataFrame, features: list[str], seed: int = 42, **settings) -> PipelineModel:
-    """One tree model with the given settings, without a search."""
+    """One tree model with the given settings, without a search.
+
+    ``ccp_alpha`` prunes a decision tree after growth; 0 leaves it as grown.
+    """
+    alpha = settings.pop("ccp_alpha", 0.0)
+    if alpha and kind != "DecisionTree":
+        raise ValueError("only a decision tree can be pruned")
     estimator = _estimator(kind, seed)
     for name, value in settings.items():
         estimator.set(*_setting(estimator, name, value))
     train = train.withColumn("label", F.col("label").cast("double"))
-    return Pipeline(stages=[assembled(features), estimator]).fit(train)
+    fitted = Pipeline(stages=[assembled(features), estimator]).fit(train)
+    if not alpha:
+        return fitted
+    return PipelineModel([fitted.stages[0], pruning.prune(fitted.stages[1], alpha)])
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:

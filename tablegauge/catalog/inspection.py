@@ -314,10 +314,10 @@ def top_orders(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(categories.top_categories(df, top_k=3, order_by=F.col("o_orderkey")))
 
 
-@query("a8_top_categories_gaps", top_sql(GAPS_SQL, ["l_returnflag"], "l_orderkey", 2))
+@query("a8_top_categories_gaps", top_sql(GAPS_SQL, ["l_returnflag", "l_linestatus"], "l_orderkey", 2))
 def top_gaps(spark: SparkSession, folder: str) -> DataFrame:
     df = with_gaps(load_table(spark, folder, "lineitem"))
-    return rounded(categories.top_categories(df, max_columns=1, top_k=2, order_by=F.col("l_orderkey")))
+    return rounded(categories.top_categories(df, top_k=2, order_by=F.col("l_orderkey")))
 
 
 def _flags_sql(source: str, columns: list[tuple[str, str]]) -> str:

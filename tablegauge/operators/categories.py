@@ -34,8 +34,7 @@ def top_categories(
         return df.sparkSession.createDataFrame(
             [], "ordinal int, column string, rank int, value string, count bigint, share double"
         )
-    counts = V.value_counts(df, names, order_by)
-    top = V.first_per_column(counts, top_k, F.desc("n"), F.col("o"))
+    top = V.top_values(df, names, top_k, order_by)
     # Long text was counted by digest. With none picked, the read-back is empty and skipped.
     top = V.restore_text(top, df, names, order_by)
     within = Window.partitionBy("c")

@@ -13,6 +13,9 @@ from tablegauge.functions.scalars import column, number_columns, present
 from tablegauge.operators import values as V
 from tablegauge.operators.ranks import exact_quantiles
 
+# Rows from which quartiles of a column are read off a sketch first.
+SKETCHED_ROWS = 50_000
+
 PROFILE_SCHEMA = (
     "ordinal int, name string, dtype string, kind string, midnight boolean, non_null bigint, missing bigint, "
     "missing_share double, is_numeric boolean, min double, max double, mean double, std double"
@@ -168,11 +171,8 @@ def summarize(
     if not names:
         return _finish(frame.withColumns({"unique": F.lit(0).cast("bigint"), "example_values": F.array().cast("array<string>")}))
 
-    counts = V.value_counts(df, names, order_by)
-    unique = V.distinct_counts(counts)
-    first = V.first_per_column(counts, examples, F.col("o"))
-    if any(c.longest > V.LONG_TEXT for c in stats.columns):
-        first = V.restore_text(first, df, names, order_by)
+    unique = V.distinct_counts(V.distinct_values(df, names))
+    first = V.first_values(df, names, examples, order_by)
     about = frame.select(F.col("ordinal").alias("c"), "kind", "dtype", "midnight")
     shown = first.join(F.broadcast(about), "c").select(
         "c",
@@ -320,7 +320,8 @@ def distinct_in_order(df: DataFrame, name: str, order_by: Column) -> DataFrame:
 def describe(df: DataFrame, columns: list[str] | None = None, limit: int | None = None) -> DataFrame:
     """Count, mean, std, min, quartiles and max of the numeric columns.
 
-    The quartiles are exact with linear interpolation.
+    The quartiles are exact with linear interpolation. Beyond ``SKETCHED_ROWS`` rows they take two
+    scans, and no value travels but those near a quartile.
     """
     names = columns or number_columns(df)
     stats = table_stats(project(df, names))
@@ -333,7 +334,7 @@ def describe(df: DataFrame, columns: list[str] | None = None, limit: int | None
     largest = max((c.non_null for c in stats.columns), default=0)
     extra = {} if limit is None else {"limit": limit}
     quartiles = exact_quantiles(
-        numbers, ["c"], "v", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, largest_group=largest, **extra
+        numbers, ["c"], "v", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, largest_group=largest, sketch_above=SKETCHED_ROWS, **extra
     )
     return (
         frame.join(F.broadcast(quartiles), "c", "left")

@@ -1,8 +1,11 @@
 """Exact order statistics, quantiles, running totals and row numbering without one big sort.
 
-A value at a given rank is found by narrowing: one scan counts the rows of every target's
-bracket in equal-width bins, the bin that holds the rank becomes the next bracket, and
-only when few rows remain are they grouped and sorted. Rows are never shuffled to be
+A value at a given rank is found in two scans. The first builds a mergeable rank sketch of
+every group, whose error bound gives each rank a narrow bracket of values. The second
+counts what lies below the brackets and groups what lies inside, which settles the value
+exactly. A bracket that still holds too many rows is sketched again. Should a sketch miss its bound, which the
+counts show, the rank is found by narrowing: one scan counts equal-width bins, the bin
+that holds the rank becomes the next bracket. Rows are never shuffled to be
 ranked, so a group that holds most of a table costs scans, not a task that sorts it.
 """
 
@@ -16,14 +19,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from tablegauge.functions.scalars import INTEGRAL
 from tablegauge.session import checkpoint
 
 # Rows one task may sort. Larger groups are narrowed first.
 TASK_ROWS = 2_000_000
 BINS = 1024
 
+# Items a rank sketch keeps per level, and how far from the true rank its answers may be
+# taken to be: three times the published error at 99 % confidence, as a share of the rows.
+SKETCH_ITEMS = 4096
+SKETCH_ERROR = 3 * 2.296 / SKETCH_ITEMS**0.9021
 
-@dataclass
+# Ranks read off the sketches in one job.
+ASKED_TOGETHER = 500
+
+
+@dataclass(eq=False)
 class Target:
     """The value at 0-based ``rank`` among the ``size`` rows of group ``key``."""
 
@@ -43,13 +55,23 @@ class Target:
 
 
 def order_statistics(
-    df: DataFrame, groups: list[str], value: str, targets: list[Target], limit: int = TASK_ROWS
+    df: DataFrame,
+    groups: list[str],
+    value: str,
+    targets: list[Target],
+    limit: int = TASK_ROWS,
+    sketch_above: int | None = None,
 ) -> list[Target]:
     """Fill in ``value`` of every target. Nulls in ``value`` do not count as rows.
 
-    Targets come from the driver: a few per class, column or oversized group.
+    Targets come from the driver: a few per class, column or oversized group. Those whose group has
+    more than ``sketch_above`` rows (``limit`` if not given) are found by sketch.
     """
+    above = limit if sketch_above is None else sketch_above
     rows = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"))
+    missed: list[Target] = []
+    while wide := [t for t in targets if not t.done and t.inside > above and t not in missed]:
+        missed += _sketched(rows, groups, wide, limit)
     while True:
         wide = [t for t in targets if not t.done and t.inside > limit]
         if not wide:
@@ -100,6 +122,77 @@ def _holding(counts: DataFrame, order: str, wanted: DataFrame) -> DataFrame:
     )
 
 
+def _sketched(rows: DataFrame, groups: list[str], targets: list[Target], limit: int) -> list[Target]:
+    """Settle or narrow targets by one sketching and one counting scan; the ones that neither helped are returned."""
+    kind = "bigint" if isinstance(rows.schema["_v"].dataType, INTEGRAL) else "double"
+    inside, wanted = _bracketed(rows, groups, targets)
+    inside = inside.select("_b", F.col("_v").cast(kind).alias("_v"))
+    proposals = _proposals(inside, wanted, targets, kind)
+    # A value that fills its bracket is found by the counts, however many rows have it.
+    exact = all(2 * SKETCH_ERROR * t.inside <= limit for t in targets)
+    found = _located(inside, wanted, proposals, kind, exact)
+    missed = []
+    for i, t in enumerate(targets):
+        if i not in found:
+            missed.append(t)
+        elif exact:
+            t.value, t.done = found[i]["_v"], True
+        else:
+            r, before = found[i], (t.low, t.high)
+            t.low, t.high, t._inside, t.below = r["lo"], r["hi"], r["n"], t.below + r["before"]
+            _close(t)
+            if (t.low, t.high) == before:
+                missed.append(t)
+    return missed
+
+
+def _proposals(inside: DataFrame, wanted: DataFrame, targets: list[Target], kind: str) -> DataFrame:
+    """``(_b, lows, highs)``: per bracket the disjoint smaller brackets that its ranks should lie in."""
+    spark = inside.sparkSession
+    sketches = inside.groupBy("_b").agg(F.expr(f"kll_sketch_agg_{kind}(_v, {SKETCH_ITEMS})").alias("sketch"))
+    if len(targets) > ASKED_TOGETHER:
+        sketches = checkpoint(sketches)
+    numbers = {r["_t"]: r["_b"] for r in wanted.select("_t", "_b").collect()}
+    ends: list[tuple[int, object, object]] = []
+    for start in range(0, len(targets), ASKED_TOGETHER):
+        asked = list(enumerate(targets))[start : start + ASKED_TOGETHER]
+        places = {i: (t.rank - t.below + 0.5) / t.inside for i, t in asked}
+        shares = [(max(0.0, x - SKETCH_ERROR), min(1.0, x + SKETCH_ERROR)) for x in places.values()]
+        # The engine wants the shares as constants, so each sketch answers all of them.
+        constants = ", ".join(f"{x!r}D" for pair in shares for x in pair)
+        answers = sketches.where(F.col("_b").isin(sorted({numbers[i] for i, _ in asked})))
+        answers = answers.selectExpr("_b", f"kll_sketch_get_quantile_{kind}(sketch, array({constants})) AS v").collect()
+        by_bracket = {r["_b"]: r["v"] for r in answers}
+        ends += [(b, v[2 * k], v[2 * k + 1]) for k, (i, _) in enumerate(asked) for b in [numbers[i]] for v in [by_bracket[b]]]
+    merged: dict[int, list[list]] = {}
+    for b, low, high in sorted(ends):
+        spans = merged.setdefault(b, [])
+        if spans and low <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], high)
+        else:
+            spans.append([low, high])
+    lines = [(b, [s[0] for s in spans], [s[1] for s in spans]) for b, spans in merged.items()]
+    return spark.createDataFrame(lines, f"_b int, lows array<{kind}>, highs array<{kind}>")
+
+
+def _located(inside: DataFrame, wanted: DataFrame, proposals: DataFrame, kind: str, exact: bool) -> dict[int, dict]:
+    """For every target whose rank lies in a proposed bracket: its value if ``exact``, else the bracket with its rows."""
+    cut = inside.join(F.broadcast(proposals), "_b")
+    span = F.size(F.filter("highs", lambda h: h < F.col("_v")))
+    cut = cut.select("_b", "_v", span.alias("span"), "lows", "highs")
+    held = (F.col("span") < F.size("highs")) & (F.col("_v") >= F.get("lows", F.col("span")))
+    # What lies below a bracket counts under null, which sorts before its values.
+    value = F.when(held, F.col("_v") if exact else F.get("lows", F.col("span")))
+    counts = cut.select("_b", "span", value.alias("_v"), F.get("highs", F.col("span")).alias("hi"))
+    counts = counts.groupBy("_b", "span", "_v", "hi").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("_b").orderBy("span", F.col("_v").asc_nulls_first())
+    lines = counts.withColumn("before", F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+    met = lines.join(F.broadcast(wanted), "_b").where(
+        (F.col("before") <= F.col("_pos")) & (F.col("_pos") < F.col("before") + F.col("n")) & F.col("_v").isNotNull()
+    )
+    return {r["_t"]: {"_v": r["_v"], "lo": r["_v"], "hi": r["hi"], "n": r["n"], "before": r["before"]} for r in met.collect()}
+
+
 def _bound(rows: DataFrame, groups: list[str], targets: list[Target]) -> None:
     inside, wanted = _bracketed(rows, groups, targets)
     found = inside.groupBy("_b").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
@@ -145,17 +238,20 @@ def exact_quantiles(
     points: dict[str, float],
     limit: int = TASK_ROWS,
     largest_group: int | None = None,
+    sketch_above: int | None = None,
 ) -> DataFrame:
     """Quantiles per group with linear interpolation, one column per entry of ``points``.
 
     Groups of up to ``limit`` rows are counted by value and cumulated in a window. Larger
-    groups, of which there are at most rows / limit, are narrowed. ``largest_group`` is a
-    known bound on the group size; without it one scan measures the groups.
+    groups, of which there are at most rows / limit, go by ranks. ``largest_group`` is a
+    known bound on the group size; without it one scan measures the groups. Where groups are known to be
+    few, a lower ``sketch_above`` saves counting every value of the middle-sized ones.
     """
+    above = limit if sketch_above is None else min(limit, sketch_above)
     rows = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
     big = []
-    if largest_group is None or largest_group > limit:
-        big = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).collect()
+    if largest_group is None or largest_group > above:
+        big = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > above).collect()
     small = rows
     if big:
         schema = T.StructType([rows.schema[g] for g in groups])
@@ -196,7 +292,7 @@ def exact_quantiles(
             low = int(at)
             plan.append((key, r["n"], name, at - low, len(targets)))
             targets += [Target(key, low, r["n"]), Target(key, min(low + 1, r["n"] - 1), r["n"])]
-    order_statistics(rows, groups, "_v", targets, limit)
+    order_statistics(rows, groups, "_v", targets, limit, above)
     lines: dict[tuple, dict] = {}
     for key, n, name, part_way, at in plan:
         low, high = targets[at].value, targets[at + 1].value

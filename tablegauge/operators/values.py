@@ -7,6 +7,11 @@ row by the full width; each class reads only its own columns. Text above ``LONG_
 bytes is grouped by its beginning and its SHA-256, so documents are not shuffled to be
 counted and still sort among the others; only long texts with one beginning go by digest.
 ``restore_text`` brings the few reported ones back.
+
+The most frequent values of a column need no such shuffle: mergeable counters of bounded size
+propose candidates, one scan counts these exactly and all other values by hash bucket, and
+only buckets that could hold a more frequent value are counted value by value. The first
+values of a column are found by taking the minimum a few times.
 """
 
 from __future__ import annotations
@@ -125,6 +130,122 @@ def value_counts(df: DataFrame, names: list[str], order_by: Column | None = None
     ]
 
 
+def distinct_values(df: DataFrame, names: list[str]) -> list[tuple[str, DataFrame]]:
+    """Per pass ``(slot, frame)`` with the distinct ``(c, v)`` only."""
+    return [(slot, rows.groupBy("c", "v").agg(F.lit(0).alias("o"))) for slot, rows in _passes(df, names, None)]
+
+
+def first_values(df: DataFrame, names: list[str], k: int, order_by: Column | None) -> DataFrame:
+    """``(c, l, d, s, rank)``: the first ``k`` distinct values per column under ``order_by``, else the smallest.
+
+    Every round takes the first value not yet found, of all columns in one scan; a task passes on one row.
+    Texts come whole. The result holds ``k`` values per column.
+    """
+    order = F.lit(0) if order_by is None else order_by
+    order = F.coalesce(order.cast("bigint"), F.lit(_LAST))
+    slots = [_SLOTS[kind_of(df.schema[n].dataType)] for n in names]
+    found: list[list] = [[] for _ in names]
+    open_columns = list(range(len(names)))
+    for _ in range(k):
+        firsts = []
+        for i in open_columns:
+            value = _slot_value(df, names[i], whole_text=True)
+            new = value.isNotNull() & ~value.isin(found[i]) if found[i] else value.isNotNull()
+            firsts.append(F.min(F.when(new, F.struct(order.alias("o"), value.alias("v")))).alias(f"f{i}"))
+        if not firsts:
+            break
+        row = df.agg(*firsts).first()
+        for i in open_columns:
+            if row[f"f{i}"] is not None:
+                found[i].append(row[f"f{i}"]["v"])
+        open_columns = [i for i in open_columns if row[f"f{i}"] is not None]
+    rows = [
+        (i, *(v if s == slot else None for s in _SLOT_TYPES), rank)
+        for i, (slot, values) in enumerate(zip(slots, found))
+        for rank, v in enumerate(values, 1)
+    ]
+    types = ", ".join(f"{s} {t}" for s, t in _SLOT_TYPES.items())
+    return df.sparkSession.createDataFrame(rows, f"c int, {types}, rank int")
+
+
+# Values per column that the counters hold, candidates taken from them for each reported
+# value, and the buckets in which all others are counted.
+TRACKED_VALUES = 4_000
+CANDIDATES_PER_VALUE = 8
+BUCKETS = 1024
+
+
+def _bucket(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(BUCKETS)).cast("int")
+
+
+def _proposed(df: DataFrame, names: list[str], k: int) -> tuple[list[list], list[bool]]:
+    """Per column the candidates that the counters propose, and whether buckets can prove them."""
+    n = min(max(CANDIDATES_PER_VALUE * k, 32), TRACKED_VALUES)
+    aggs = []
+    for i, name in enumerate(names):
+        value = _slot_value(df, name, whole_text=False)
+        top = F.call_function("approx_top_k", value, F.lit(n), F.lit(max(n, TRACKED_VALUES)))
+        aggs += [top.alias(f"t{i}"), F.count(value).alias(f"n{i}")]
+    row = df.agg(*aggs).first()
+    candidates, provable = [], []
+    for i in range(len(names)):
+        items = [(x["item"], x["count"]) for x in row[f"t{i}"] or [] if x["item"] is not None]
+        candidates.append([v for v, _ in items])
+        # Where even the k-th estimate is below a mean bucket, counting the buckets shows nothing.
+        least = sorted((c for _, c in items), reverse=True)[:k]
+        provable.append(len(items) < n or least[-1] * BUCKETS > row[f"n{i}"])
+    return candidates, provable
+
+
+def top_values(df: DataFrame, names: list[str], k: int, order_by: Column | None = None) -> DataFrame:
+    """``(c, l, d, s, n, o, rank)``: the ``k`` most frequent values per column, exactly.
+
+    Ties go to the value seen first, then to the smaller one. What is shuffled is bounded by candidates and
+    buckets, unless a column is so even that values outside the candidates could be among the
+    first; those in its heavy buckets are then counted too.
+    """
+    candidates, provable = _proposed(df, names, k)
+    spark = df.sparkSession
+    counted: list[tuple[str, DataFrame]] = []
+    for slot, rows in _passes(df, names, order_by):
+        kind = _SLOT_TYPES[slot]
+        own = [i for i, n in enumerate(names) if _SLOTS[kind_of(df.schema[n].dataType)] == slot]
+        known = spark.createDataFrame(
+            [(i, v, True) for i in own if provable[i] for v in candidates[i]], f"c int, v {kind}, known boolean"
+        )
+        flat = [i for i in own if not provable[i]]
+        # A bounded number of candidates per column.
+        marked = (rows.where(~F.col("c").isin(flat)) if flat else rows).join(F.broadcast(known), ["c", "v"], "left")
+        is_known = F.col("known").isNotNull()
+        sums = marked.groupBy("c", F.when(is_known, F.col("v")).alias("v"), F.when(~is_known, _bucket(F.col("v"))).alias("b"))
+        exact, others = [], []
+        for r in sums.agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("o")).collect():
+            if r["b"] is None:
+                exact.append((r["c"], r["v"], r["n"], r["o"]))
+            else:
+                others.append((r["c"], r["b"], r["n"]))
+        heavy = _heavy(exact, others, k) + [(i, b) for i in flat for b in range(BUCKETS)]
+        parts = [spark.createDataFrame(exact, f"c int, v {kind}, n bigint, o bigint")]
+        if heavy:
+            # At most columns x buckets rows.
+            there = F.broadcast(spark.createDataFrame(heavy, "c int, b int"))
+            rest = rows.withColumn("b", _bucket(F.col("v"))).join(there, ["c", "b"], "left_semi")
+            rest = rest.join(F.broadcast(known), ["c", "v"], "left_anti")
+            parts.append(rest.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("o")))
+        counted.append((slot, stack(parts)))
+    return first_per_column(counted, k, F.desc("n"), F.col("o"))
+
+
+def _heavy(exact: list[tuple], others: list[tuple], k: int) -> list[tuple[int, int]]:
+    """The buckets that could hold one of the first ``k`` values of their column."""
+    least = {}
+    for c in {c for c, *_ in exact} | {c for c, *_ in others}:
+        sizes = sorted((n for at, _, n, _ in exact if at == c), reverse=True)
+        least[c] = sizes[k - 1] if len(sizes) >= k else 1
+    return [(c, b) for c, b, n in others if n >= least[c]]
+
+
 def distinct_counts(counts: list[tuple[str, DataFrame]]) -> DataFrame:
     """``(c, unique)`` from value counts.
 

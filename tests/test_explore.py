@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablegauge.functions import arrays
-from tablegauge.operators import explore
+from tablegauge.operators import explore, ranks
 from tablegauge.operators.ranks import (
     Target,
     exact_quantiles,
@@ -163,6 +163,39 @@ def test_order_statistics_by_narrowing(spark):
     assert [t.value for t in targets] == [*np.sort(values)[ranks], 7.0]
 
 
+@pytest.mark.parametrize("error", [0.002, 0.05, 0.0])
+def test_order_statistics_by_sketch(spark, monkeypatch, error):
+    """Narrow and wide brackets; with no margin at all the sketch misses and narrowing finds the rank."""
+    monkeypatch.setattr(ranks, "SKETCH_ITEMS", 64)
+    monkeypatch.setattr(ranks, "SKETCH_ERROR", error)
+    monkeypatch.setattr(ranks, "ASKED_TOGETHER", 3)
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.lognormal(0, 4, 20_000), np.full(9_000, 2.5), [-np.inf, np.inf]])
+    df = spark.createDataFrame([(i % 2, float(v)) for i, v in enumerate(values)], "g int, v double").repartition(6)
+    parts = [np.sort(values[g::2]) for g in (0, 1)]
+    targets = [Target((g,), r, len(parts[g])) for g in (0, 1) for r in (0, 1, 77, 5000, 9000, 14_499)]
+    order_statistics(df, ["g"], "v", targets, limit=500)
+    assert [t.value for t in targets] == [parts[t.key[0]][t.rank] for t in targets]
+
+
+def test_sketch_settles_in_two_passes(spark, monkeypatch):
+    """Values that equal-width bins would take many scans to part."""
+    def no_narrowing(*_):
+        raise AssertionError("narrowed")
+
+    monkeypatch.setattr(ranks, "_narrow", no_narrowing)
+    monkeypatch.setattr(ranks, "_bound", no_narrowing)
+    calls = []
+    located = ranks._located
+    monkeypatch.setattr(ranks, "_located", lambda *a: calls.append(1) or located(*a))
+    values = np.concatenate([np.exp(np.linspace(0, 600, 30_000)), -np.exp(np.linspace(0, 600, 30_000))])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(6)
+    targets = [Target((), r, 60_000) for r in (0, 15_000, 30_000, 44_999, 59_999)]
+    order_statistics(df, [], "v", targets, limit=1000)
+    assert [t.value for t in targets] == np.sort(values)[[0, 15_000, 30_000, 44_999, 59_999]].tolist()
+    assert len(calls) == 1
+
+
 def test_order_statistics_of_wide_integers(spark):
     rng = np.random.default_rng(1)
     values = rng.integers(-(2**63), 2**63 - 1, 3000)
@@ -178,10 +211,11 @@ def test_quantiles_of_small_and_large_groups(spark):
     rng = np.random.default_rng(2)
     frame = pd.DataFrame({"g": rng.choice(["a", "b", None], 900, p=[0.8, 0.1, 0.1]), "v": rng.integers(0, 50, 900) / 4})
     df = spark.createDataFrame(frame.astype(object).where(frame.notna(), None).values.tolist(), "g string, v double")
-    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", {"p10": 0.1, "p90": 0.9}, limit=100).collect()}
-    for g, s in frame.groupby("g", dropna=False).v:
-        r = got[None if pd.isna(g) else g]
-        assert r.n == len(s) and np.allclose([r.p10, r.p90], s.quantile([0.1, 0.9]))
+    for limits in ({"limit": 100}, {"sketch_above": 30}):
+        got = {r.g: r for r in exact_quantiles(df, ["g"], "v", {"p10": 0.1, "p90": 0.9}, **limits).collect()}
+        for g, s in frame.groupby("g", dropna=False).v:
+            r = got[None if pd.isna(g) else g]
+            assert r.n == len(s) and np.allclose([r.p10, r.p90], s.quantile([0.1, 0.9]))
 
 
 @pytest.mark.parametrize("limit", [30, 10_000])

@@ -277,3 +277,62 @@ def test_long_and_short_texts_tie_by_their_text(spark):
     df = spark.createDataFrame([(t,) for t in ("z" * 70, "y" * 80, "a", "b", "c")], "t string")
     row = categories.top_categories(df, top_k=2).collect()
     assert [r["value"] for r in row] == ["a", "b"]
+
+
+def frequency_frame(spark, kind):
+    rng = np.random.default_rng(len(kind))
+    n = 6000
+    tail = rng.integers(0, 3000, n)
+    columns = {
+        "skewed": [f"top{i}" for i in rng.zipf(1.7, n).clip(max=60)],
+        "tailed": [f"v{t}" if i % 3 else "ab"[i % 2] for i, t in enumerate(tail)],
+        "flat": [f"k{i}" for i in rng.permutation(n)],
+        "even": [f"e{i % 40}" for i in range(n)],
+        "long": ["x" * 70 + str(i % 7 if i % 5 else i) for i in range(n)],
+        "gaps": [None if i % 2 else "g" * (i % 6) for i in range(n)],
+    }
+    rows = list(zip(range(n), *columns.values()))
+    return columns, spark.createDataFrame(rows, "row long, " + ", ".join(f"{c} string" for c in columns)).repartition(5)
+
+
+def brute_top(values, k):
+    counts, first = {}, {}
+    for i, v in enumerate(values):
+        if v is not None:
+            counts[v] = counts.get(v, 0) + 1
+            first.setdefault(v, i)
+    ordered = sorted(counts, key=lambda v: (-counts[v], first[v]))[:k]
+    return [(v, counts[v]) for v in ordered]
+
+
+@pytest.mark.parametrize("tracked,buckets,k", [(4000, 1024, 5), (32, 16, 3), (40, 1, 2)])
+def test_top_values_are_exact_at_any_counter_size(spark, monkeypatch, tracked, buckets, k):
+    monkeypatch.setattr(V, "TRACKED_VALUES", tracked)
+    monkeypatch.setattr(V, "BUCKETS", buckets)
+    columns, df = frequency_frame(spark, "mixed")
+    got = categories.top_categories(df, 10, k, F.col("row"), columns=list(columns)).collect()
+    for name, values in columns.items():
+        assert [(r.value, r["count"]) for r in got if r.column == name] == brute_top(values, k), name
+
+
+def test_only_proven_candidates_travel(spark, monkeypatch):
+    """Of a skewed column with many rare values no bucket is counted value by value."""
+    heavy = []
+    inner = V._heavy
+    monkeypatch.setattr(V, "_heavy", lambda *a: heavy.append(inner(*a)) or heavy[-1])
+    rows = [(i, f"v{i}" if i % 2 else f"top{i % 10}") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "row long, a string").repartition(4)
+    got = categories.top_categories(df, top_k=5, order_by=F.col("row")).collect()
+    assert [(r.value, r["count"]) for r in got] == [(f"top{i}", 2000) for i in (0, 2, 4, 6, 8)]
+    assert heavy and all(not h for h in heavy)
+
+
+def test_first_values_by_rounds(spark):
+    rows = [(3, 1.5, "b", None), (1, float("nan"), "a" * 300, None), (2, 2.5, "a" * 300 + "z", None), (4, 1.5, "b", None), (None, 0.5, "c", None)]
+    df = spark.createDataFrame(rows, "row long, x double, t string, n int")
+    got = V.first_values(df, ["x", "t", "n"], 3, F.col("row")).collect()
+    assert [(r.d, r["rank"]) for r in got if r.c == 0] == [(2.5, 1), (1.5, 2), (0.5, 3)]
+    assert [r.s for r in got if r.c == 1] == ["a" * 300, "a" * 300 + "z", "b"]
+    assert not [r for r in got if r.c == 2]
+    smallest = V.first_values(df, ["x", "t"], 2, None).collect()
+    assert [r.d or r.s for r in smallest] == [0.5, 1.5, "a" * 300, "a" * 300 + "z"]

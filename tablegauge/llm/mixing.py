@@ -103,6 +103,11 @@ def source_targets(
     return leveled.select("source", "source_size", F.least("cap", open_share).alias("target"))
 
 
+def _source_key(source: Column) -> Column:
+    """The source as text, with a first letter that tells a null from any value."""
+    return F.when(source.isNull(), "-").otherwise(F.concat(F.lit("="), source.cast("string")))
+
+
 def _plan(max_copies: int):
     """Per source: copies every document gets, and how many of each size get one more."""
 
@@ -159,12 +164,15 @@ def mix(
     same_source = lambda a, b: a["source"].eqNullSafe(b["source"])
     known = lengths.join(targets, same_source(lengths, targets)).select(lengths["source"], "size", "n", "source_size", "target")
     # One row per length: a group holds as many rows as documents have different lengths.
-    plan = checkpoint(known.groupBy("source").applyInPandas(_plan(max_copies), "source string, size long, whole long, more long"))
+    # A key of the source stands for it there, as a source may be of any type.
+    numbered = known.withColumn("source", _source_key(known["source"]))
+    plan = numbered.groupBy("source").applyInPandas(_plan(max_copies), "source string, size long, whole long, more long")
+    plan = checkpoint(plan)
 
     before = Window.partitionBy("source", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     cut = slices.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     p, c = plan.alias("p"), cut.alias("c")
-    quota = c.join(p, F.col("c.source").eqNullSafe(F.col("p.source")) & (F.col("c.size") == F.col("p.size"))).select(
+    quota = c.join(p, (_source_key(F.col("c.source")) == F.col("p.source")) & (F.col("c.size") == F.col("p.size"))).select(
         "c.source", "c.size", "c.slice", "p.whole", F.least(F.greatest(F.col("p.more") - F.col("c.before"), F.lit(0)), F.col("c.n")).alias("quota")
     )
     quota = quota.join(targets, quota["source"].eqNullSafe(targets["source"])).select(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegauge.llm.common import checkpoint, column, content_key, hashable, map_texts
+from tablegauge.llm.common import checkpoint, column, content_key, free_name, hashable, map_texts
 from tablegauge.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -224,4 +224,9 @@ def keep_one(
     row = content_key(*hashable(docs))
     wanted = chosen.select(F.struct(*marks).alias("mark"))
     kept = docs.join(wanted, F.struct(row[0].alias("k1"), row[1].alias("k2")) == wanted["mark"], "left_semi")
-    return kept if n_rows == n_chosen else kept.dropDuplicates()
+    if n_rows == n_chosen:
+        return kept
+    # Rows of any type are told apart by the hashes of their content.
+    names = [free_name("first", docs.columns), free_name("second", docs.columns)]
+    marked = kept.withColumns(dict(zip(names, row, strict=True)))
+    return marked.dropDuplicates(names).drop(*names)

@@ -40,6 +40,9 @@ PARTS = 8
 # A signature shared by more vectors is cut by twice as many parts instead of being compared.
 BUCKET_LIMIT = 1024
 
+# With so many parts any signature is compared: few vectors agree in all parts but two of them.
+MOST_PARTS = 64
+
 # Distinct words a task holds before it passes on their counts.
 HELD_WORDS = 300_000
 
@@ -264,20 +267,21 @@ def close_multisets(sets: DataFrame, parts: int = PARTS, limit: int = BUCKET_LIM
 
     ``sets`` has distinct strings of sorted ``letters``. Taking ``lost`` from ``a`` and adding ``gained`` (a letter or
     nothing) gives ``b``. A signature of more than ``limit`` multisets is not compared;
-    they are signed anew by twice as many parts, so every pair is found at some level.
+    they are signed anew by twice as many parts, up to ``MOST_PARTS``, so every pair is found at some level.
     """
     found: DataFrame | None = None
     left = sets.select("letters")
     while True:
         signed = signatures(left, parts).repartition("sig").sortWithinPartitions("sig")
-        met = checkpoint(signed.mapInArrow(_compare(parts, limit), "a string, b string, lost string, gained string"))
+        most = limit if parts < MOST_PARTS else 1 << 62
+        met = checkpoint(signed.mapInArrow(_compare(parts, most), "a string, b string, lost string, gained string"))
         pairs = met.where("b IS NOT NULL")
         found = pairs if found is None else found.union(pairs)
         left = checkpoint(met.where("b IS NULL").select(F.col("a").alias("letters")).distinct())
         if left.isEmpty():
             # A pair may be close at several levels.
             return found.distinct()
-        parts *= 2
+        parts = min(2 * parts, MOST_PARTS)
 
 
 # Words

@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tablegauge.llm.common import checkpoint, column, map_texts, small_side
 from tablegauge.session import scratch_path
@@ -31,7 +32,10 @@ SCALE_BITS = 20
 LANES = 512
 BLOCK_TOKENS = 1 << 18
 SEGMENT_STEPS = 128
-CACHE_WORDS = 1 << 19
+
+# Words a worker remembers: those met again, and those met once since they were last let go.
+KEPT_WORDS = 1 << 19
+NEW_WORDS = 1 << 18
 
 LOW = 1 << 31
 HEADER = "<4sHBBIQII"
@@ -47,11 +51,12 @@ class WordwiseEncoder:
 
     A byte-level tokenizer with the usual split pattern never joins across a single blank
     between two characters that are not blank, so the text between such blanks has the same ids
-    everywhere. New words are encoded many at a time in one call. Other tokenizers, and
+    everywhere. New words are encoded many at a time in one call and kept apart from words met in
+    more than one text, so the many words that come once do not drive out the others. Other tokenizers, and
     texts with neighbouring blanks, are encoded as they are.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, kept_words: int = KEPT_WORDS, new_words: int = NEW_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -71,27 +76,43 @@ class WordwiseEncoder:
         self.kind = np.dtype("<u2") if n <= 1 << 16 else np.dtype("<u4")
         # The byte-level alphabet writes the blank as this letter.
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(n)])
-        self.cache: dict[str, bytes] = {}
-        self.cache_words = cache_words
+        self.kept: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
+        self.kept_words, self.new_words = kept_words, new_words
         self.doubled = re.compile(r"\s\s")
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of words that follow a blank."""
-        if len(self.cache) > self.cache_words:
-            self.cache.clear()
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words that follow a blank, encoded now."""
+        learned: dict[str, bytes] = {}
         for start in range(0, len(words), 4096):
             part = words[start : start + 4096]
             ids = np.frombuffer(self._whole(" " + " ".join(part)), dtype=self.kind)
             at = np.flatnonzero(self.opens[ids])
             if len(at) != len(part):
-                self.cache.update((w, self._whole(" " + w)) for w in part)
+                learned.update((w, self._whole(" " + w)) for w in part)
                 continue
             raw, size = ids.tobytes(), self.kind.itemsize
             ends = [*(at[1:] * size).tolist(), len(raw)]
-            self.cache.update((w, raw[a:b]) for w, a, b in zip(part, (at * size).tolist(), ends, strict=True))
+            learned.update((w, raw[a:b]) for w, a, b in zip(part, (at * size).tolist(), ends, strict=True))
+        return learned
+
+    def _missing(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words that are not kept; a word met in an earlier text is kept from now on."""
+        again = {w: self.new.pop(w) for w in words if w in self.new}
+        learned = self._learn([w for w in words if w not in again])
+        if len(self.kept) + len(again) > self.kept_words:
+            self.kept = {}
+        if len(self.new) + len(learned) > self.new_words:
+            self.new = {}
+        # A text of more words than may be remembered is not remembered.
+        if len(again) <= self.kept_words:
+            self.kept.update(again)
+        if len(learned) <= self.new_words:
+            self.new.update(learned)
+        return again | learned
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian numbers of ``kind``."""
@@ -100,12 +121,10 @@ class WordwiseEncoder:
         if not self.by_word or self.doubled.search(text):
             return self._whole(text)
         first, *words = text.split(" ")
-        ids = list(map(self.cache.get, words))
+        ids = list(map(self.kept.get, words))
         if None in ids:
-            self._learn(list({w for w, i in zip(words, ids, strict=True) if i is None}))
-            ids = [self.cache.get(w) if i is None else i for w, i in zip(words, ids, strict=True)]
-            if None in ids:  # forgotten meanwhile
-                ids = [self._whole(" " + w) if i is None else i for w, i in zip(words, ids, strict=True)]
+            found = self._missing({w for w, i in zip(words, ids, strict=True) if i is None})
+            ids = [found[w] if i is None else i for w, i in zip(words, ids, strict=True)]
         return (self._whole(first) if first else b"") + b"".join(ids)
 
 
@@ -284,6 +303,8 @@ def write_token_files(
     rows = list(zip(*(s.tolist() for s in shares), strict=True))
     spark.createDataFrame(rows, "token long, freq long").coalesce(1).write.parquet(f"{path}/table")
     shared = spark.sparkContext.broadcast(shares)
+    id_type = tokens.schema["id"].dataType
+    id_kind = to_arrow_type(id_type)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -297,7 +318,7 @@ def write_token_files(
             made = [
                 pa.array([part], type=pa.int32()),
                 pa.array([n_blocks], type=pa.int64()),
-                pa.array([ids], type=pa.list_(pa.int64())),
+                pa.array([ids], type=pa.list_(id_kind)),
                 pa.array([[len(r) for r in raw]], type=pa.list_(pa.int64())),
                 pa.array([held], type=pa.int64()),
                 pa.array([encode_block(np.concatenate(raw), table)], type=pa.binary()),
@@ -317,7 +338,7 @@ def write_token_files(
 
     order = [F.col("id").asc_nulls_last(), "tie", "row"]
     ranged = tokens.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "ids", "width")
-    schema = "part int, seq long, ids array<long>, lengths array<long>, n_tokens long, block binary"
+    schema = f"part int, seq long, ids array<{id_type.simpleString()}>, lengths array<long>, n_tokens long, block binary"
     ranged.mapInArrow(encode, schema).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
@@ -330,6 +351,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.parquet(f"{path}/table").orderBy("token").toPandas()
     shared = spark.sparkContext.broadcast((rows["token"].to_numpy(), rows["freq"].to_numpy()))
     blocks = spark.read.parquet(f"{path}/blocks")
+    id_type = blocks.schema["ids"].dataType.elementType
+    id_kind = to_arrow_type(id_type)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = FrequencyTable.from_shares(*shared.value)
@@ -343,7 +366,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part] * len(ids), type=pa.int32()),
-                        pa.array(ids, type=pa.int64()),
+                        pa.array(ids, type=id_kind),
                         pa.array(starts + before, type=pa.int64()),
                         pa.array(lengths, type=pa.int64()),
                         pa.array(bodies, type=pa.binary()),
@@ -360,7 +383,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     base = parts.select("part", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("base"))
     places = checkpoint(own.join(base, "part").select("part", "seq", (F.col("inside") + F.col("base")).alias("before")))
     placed = blocks.join(small_side(places, 20)[0], ["part", "seq"]).select("part", "before", "ids", "lengths", "block")
-    schema = "part int, id long, start long, n_tokens long, ids binary"
+    schema = f"part int, id {id_type.simpleString()}, start long, n_tokens long, ids binary"
     return placed.mapInArrow(decode, schema).drop("part")
 
 

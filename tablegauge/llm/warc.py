@@ -41,6 +41,7 @@ REVISIT_BYTES = 256
 SEGMENT = T.StructType([
     T.StructField("file", T.StringType()),
     T.StructField("block", T.LongType()),
+    T.StructField("file_bytes", T.LongType()),
     T.StructField("at", T.LongType()),
     T.StructField("length", T.LongType()),
     T.StructField("next", T.LongType()),
@@ -251,7 +252,7 @@ def chain_numbers(at: list[int], after: list[int | None]) -> tuple[list[int | No
     return out, low, [lo + n - 1 for lo, n in zip(low, size, strict=True)]
 
 
-def _close_range(file: str, block: int, found: list[dict], used: int) -> pa.RecordBatch:
+def _close_range(file: str, block: int, file_bytes: int, found: list[dict], used: int) -> pa.RecordBatch:
     """The rows of one byte range. A pointer that stays inside without meeting a segment leads nowhere."""
     for row in found:
         row["next"] = row["at"] + row.pop("span") if "span" in row else None
@@ -259,7 +260,7 @@ def _close_range(file: str, block: int, found: list[dict], used: int) -> pa.Reco
     known = set(places)
     after = [n if n is not None and (n >= used or n in known) else None for n in (row["next"] for row in found)]
     for row, way, low, high in zip(found, *chain_numbers(places, after), strict=True):
-        row |= {"file": file, "block": block, "exit": way, "low": low, "high": high}
+        row |= {"file": file, "block": block, "file_bytes": file_bytes, "exit": way, "low": low, "high": high}
     columns = [pa.array([row.get(f.name) for row in found], type=_ARROW[type(f.dataType)]) for f in SEGMENT]
     return pa.RecordBatch.from_arrays(columns, names=SEGMENT.names)
 
@@ -267,26 +268,26 @@ def _close_range(file: str, block: int, found: list[dict], used: int) -> pa.Reco
 _ARROW = {T.StringType: pa.string(), T.LongType: pa.int64(), T.BooleanType: pa.bool_()}
 
 
-def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, bytes, bool]]:
-    """The segments of a task's ranges: file, range, place in it, bytes, and whether a magic line precedes."""
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int, int], int, bytes, bool]]:
+    """The segments of a task's ranges: file, range and file size, place, bytes, and whether a magic line precedes."""
     now, used = None, 0
     for batch in batches:
-        files, blocks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for file, block, value in zip(files, blocks, batch.column(2).cast(pa.binary()), strict=True):
-            if (file, block) != now:
-                now, used = (file, block), 0
+        ranges = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+        for here, value in zip(ranges, batch.column(3).cast(pa.binary()), strict=True):
+            if here != now:
+                now, used = here, 0
             segment = value.as_py()
-            yield file, block, used, segment, block > 0 or used > 0
+            yield here, used, segment, here[1] > 0 or used > 0
             used += len(segment) + len(MAGIC)
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     now, found, used = None, [], 0
-    for file, block, at, segment, marked in _walk(batches):
-        if (file, block) != now:
+    for here, at, segment, marked in _walk(batches):
+        if here != now:
             if found:
                 yield _close_range(*now, found, used)
-            now, found = (file, block), []
+            now, found = here, []
         # Before the first magic line of a file only its start is to be found.
         row = parse_segment(segment) if marked else {"span": len(MAGIC)} if not segment else {}
         found.append(row | {"at": at, "length": len(segment)})
@@ -298,7 +299,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _scan(spark: SparkSession, path: str) -> DataFrame:
     """The files below ``path`` cut at magic lines, with file and byte range, in order within a range."""
     raw = spark.read.schema("value string").option("lineSep", MAGIC).text(path)
-    return raw.select("_metadata.file_path", "_metadata.file_block_start", "value", "_metadata.file_size")
+    return raw.select("_metadata.file_path", "_metadata.file_block_start", "_metadata.file_size", "value")
 
 
 def _bases(segments: DataFrame) -> DataFrame:
@@ -339,8 +340,7 @@ def find_records(spark: SparkSession, path: str) -> DataFrame:
     holds magic lines, see ``payloads``. Raises ValueError if a chain ends before its file does. A folder without records
     gives no row, an empty file none.
     """
-    found = _scan(spark, path)
-    segments = checkpoint(found.drop("file_size").mapInArrow(_segments, SEGMENT))
+    segments = checkpoint(_scan(spark, path).mapInArrow(_segments, SEGMENT))
     bases = checkpoint(_bases(segments))
     placed = segments.join(bases, ["file", "block"])
     shifted = ("at", "next", "exit")
@@ -350,7 +350,7 @@ def find_records(spark: SparkSession, path: str) -> DataFrame:
     entries = checkpoint(entered.select("file", "at", "block", "low", F.col("exit").alias("jump")).distinct())
     reached = _reachable_entries(entries).join(entries, ["file", "at"])
     ways = checkpoint(reached.select("file", "block", F.col("low").alias("entry"), F.col("jump")))
-    _require_complete(found, ways)
+    _require_complete(segments, ways)
     on_the_way = F.col("entry").between(F.col("low"), F.col("high"))
     real = placed.join(ways.drop("jump"), ["file", "block"]).where(on_the_way).where("kind IS NOT NULL")
     # A place counts from the end of its magic line.
@@ -363,9 +363,9 @@ def find_records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _require_complete(found: DataFrame, ways: DataFrame) -> None:
+def _require_complete(segments: DataFrame, ways: DataFrame) -> None:
     """Every file with a byte has a chain that leaves at its end."""
-    sizes = found.select(F.col("file_path").alias("file"), F.col("file_size").alias("size")).distinct()
+    sizes = segments.where("block = 0 AND at = 0").select("file", F.col("file_bytes").alias("size")).distinct()
     ends = ways.select("file", (F.col("jump") - len(MAGIC)).alias("size"))
     broken = sizes.where("size > 0").join(ends, ["file", "size"], "left_anti").select("file").limit(3).collect()
     if broken:
@@ -377,7 +377,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [("file", pa.string()), ("block", pa.int64()), ("at", pa.int64()), ("segment", pa.binary())]
     held: list[tuple] = []
     size = 0
-    for file, block, at, segment, _ in _walk(batches):
+    for (file, block, _), at, segment, _ in _walk(batches):
         held.append((file, block, at, segment))
         size += len(segment) + 100
         if size > SLICE_BYTES:
@@ -416,7 +416,7 @@ def payloads(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
     ``records`` are rows of ``find_records``. The archives are read a second time. A record with magic lines in its
     payload is put together from its segments, so a task holds one record at a time.
     """
-    pieces = _scan(spark, path).drop("file_size").mapInArrow(_pieces, "file string, block long, at long, segment binary")
+    pieces = _scan(spark, path).mapInArrow(_pieces, "file string, block long, at long, segment binary")
     lengths = _scan(spark, path).select(
         F.col("file_path").alias("file"), F.col("file_block_start").alias("block"), F.octet_length("value").alias("length")
     )

@@ -367,7 +367,7 @@ def test_wordwise_ids_equal_whole_ids():
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(TOKENIZER)
-    encoder = token_store.WordwiseEncoder(TOKENIZER, cache_words=50)
+    encoder = token_store.WordwiseEncoder(TOKENIZER, kept_words=50, new_words=20)
     cases = [t or "" for t in sample_texts()] + [
         " lead", "trail ", "two  blanks", "it's we'll\n\nnew", "tab\t x", "a b c", "x \ny", "<|endoftext|> z", "emoji 🙂 🙂", "\n", "Ġ Ġx",
     ]

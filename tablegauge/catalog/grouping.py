@@ -143,10 +143,21 @@ _CUSTOMERS = _xy("customer", "c_custkey", "c_nationkey", "c_acctbal")
 _SUPPLIERS = _xy("supplier", "s_suppkey", "s_nationkey", "s_acctbal")
 
 
-def _dbscan_sql(eps: float, min_samples: int) -> str:
-    return f"""WITH RECURSIVE pt AS MATERIALIZED (SELECT * FROM {_CUSTOMERS}),
+# Distances of scaled vectors lie close together; these radii part them.
+VECTOR_RADIUS = 9.25
+VECTOR_RADII = (8.75, 9.0, 9.25, 9.5)
+
+_SCALED_VECTORS = """(SELECT id, list(v ORDER BY i) AS x FROM (
+  SELECT id, i, (v - avg(v) OVER (PARTITION BY i)) / stddev_pop(v) OVER (PARTITION BY i) AS v FROM (
+    SELECT vec_id AS id, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings)) GROUP BY id)"""
+
+
+def _dbscan_sql(
+    eps: float, min_samples: int, points: str = _CUSTOMERS, squared: str = "(a.x - b.x) ** 2 + (a.y - b.y) ** 2"
+) -> str:
+    return f"""WITH RECURSIVE pt AS MATERIALIZED (SELECT * FROM {points}),
       near AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM pt a, pt b
-        WHERE (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= {eps} * {eps}),
+        WHERE {squared} <= {eps} * {eps}),
       core AS MATERIALIZED (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {min_samples}),
       edge AS MATERIALIZED (SELECT n.a, n.b FROM near n JOIN core p ON n.a = p.id JOIN core q ON n.b = q.id),
       reach(a, b) AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
@@ -163,11 +174,17 @@ def dbscan(spark: SparkSession, folder: str) -> DataFrame:
     return density.dbscan(clustering.scale_points(raw_customers(spark, folder)), 0.15, 5)
 
 
-def _sweep_sql() -> str:
+@query("j3_dbscan_embeddings", _dbscan_sql(VECTOR_RADIUS, 5, _SCALED_VECTORS, "list_distance(a.x, b.x) ** 2"))
+def dbscan_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """All 64 coordinates of every vector."""
+    return density.dbscan(scaled_vectors(spark, folder), VECTOR_RADIUS, 5)
+
+
+def _sweep_sql(points: str = _SUPPLIERS) -> str:
     """All settings of the sweep: labels by spreading the smallest core id, then the scores."""
     eps = ", ".join(f"({i}, {e}::DOUBLE)" for i, e in enumerate(density.EPS_RANGE))
     least = ", ".join(f"({j}, {m})" for j, m in enumerate(density.MIN_SAMPLES_RANGE))
-    return f"""WITH RECURSIVE pt AS MATERIALIZED (SELECT * FROM {_SUPPLIERS}),
+    return f"""WITH RECURSIVE pt AS MATERIALIZED (SELECT * FROM {points}),
       st AS MATERIALIZED (SELECT CAST(i * {len(density.MIN_SAMPLES_RANGE)} + j AS INTEGER) AS setting, eps, min_samples
         FROM (VALUES {eps}) a(i, eps), (VALUES {least}) b(j, min_samples)),
       pair AS MATERIALIZED (SELECT a.id AS a, b.id AS b, (a.x - b.x) ** 2 + (a.y - b.y) ** 2 AS d2 FROM pt a, pt b),
@@ -242,7 +259,14 @@ def choice(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(result.metrics.join(result.config, "dataset"))
 
 
-@query("j4_j9_dbscan_sweep_customers")
+@query("j4_j9_dbscan_sweep_embeddings")
+def dbscan_sweep_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """A sweep over radii of the vectors' own range, on all coordinates."""
+    table, _ = density.dbscan_sweep(scaled_vectors(spark, folder), VECTOR_RADII)
+    return rounded(table, calinski_harabasz=4)
+
+
+@query("j4_j9_dbscan_sweep_customers", _sweep_sql(_CUSTOMERS))
 def dbscan_sweep_customers(spark: SparkSession, folder: str) -> DataFrame:
     table, _ = density.dbscan_sweep(clustering.scale_points(raw_customers(spark, folder)))
     return rounded(table, calinski_harabasz=4)

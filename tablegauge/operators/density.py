@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from tablegauge.functions.arrays import squared_distance
 from tablegauge.operators.clustering import SCORES, cluster_scores, dimensions
-from tablegauge.operators.ranks import running_totals
+from tablegauge.operators.linking import connected, numbered_parts
+from tablegauge.operators.wide_density import dbscan_by_pivots
 from tablegauge.session import checkpoint, checkpoint_counting, if_small
 
 NOISE = -1
@@ -33,6 +34,8 @@ NOISE = -1
 PART_ROWS = 4_096
 # Axes on which nearby cells are looked up; the rest are checked afterwards.
 LOOKUP_AXES = 4
+# Axes beyond which a sphere cuts nearly all cells, so that pivots tell more.
+CELL_AXES = 6
 
 # The searched radii and core sizes.
 EPS_RANGE = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
@@ -45,9 +48,14 @@ def dbscan(points: DataFrame, eps: float, min_samples: int) -> DataFrame:
 
 
 def dbscan_many(points: DataFrame, settings: Sequence[tuple[float, int]]) -> DataFrame:
-    """``(setting, id, label)`` for every setting, numbered in the given order."""
+    """``(setting, id, label)`` for every setting, numbered in the given order.
+
+    Points of more than ``CELL_AXES`` coordinates go by ``wide_density``, with equal results.
+    """
     spark = points.sparkSession
     d = dimensions(points)
+    if d > CELL_AXES:
+        return dbscan_by_pivots(points, settings)
     radii = sorted({e for e, _ in settings})
     caps = {e: max(m for f, m in settings if f == e) for e in radii}
 
@@ -69,7 +77,7 @@ def dbscan_many(points: DataFrame, settings: Sequence[tuple[float, int]]) -> Dat
     witness = each.where("core").select("setting", F.col("id").alias("node"), "x")
     core_cells = checkpoint(core_cells.join(witness, ["setting", "node"]))
     roots = _core_clusters(each, core_cells, near, radii, d)
-    numbered = _numbered(roots)
+    numbered = numbered_parts(roots)
 
     core_labels = core_cells.select("setting", "node", "cell").join(numbered, ["setting", "node"])
     return _labels(each, core_labels, near, radii, d)
@@ -223,53 +231,6 @@ def _core_clusters(
     )
 
 
-def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(setting, node, root)``: the smallest node id of each connected part.
-
-    Every round hangs each node below its smallest neighbour, follows the pointers to the
-    top, and keeps the edges between different tops, which at least halves the number of
-    parts that still have edges. ``edges`` is read repeatedly and should be a written table.
-    """
-    roots = nodes.select("setting", "node", F.col("node").alias("root"))
-    edges = edges.where("u <> v")
-    rest = 0 if edges.isEmpty() else 1
-    while rest:
-        both = edges.unionByName(edges.select("setting", F.col("v").alias("u"), F.col("u").alias("v")))
-        parent = both.groupBy("setting", "u").agg(F.min("v").alias("p"))
-        parent = checkpoint(parent.select("setting", "u", F.least("u", "p").alias("p")))
-        moved = 1
-        while moved:
-            parent, moved = checkpoint_counting(_jump(_jump(_jump(parent))), F.col("moved"))
-        lower = parent.where("u <> p")
-        up = lower.select("setting", F.col("u").alias("root"), "p")
-        roots = roots.join(up, ["setting", "root"], "left")
-        roots = roots.select("setting", "node", F.coalesce("p", "root").alias("root"))
-        pu = lower.select("setting", "u", F.col("p").alias("pu"))
-        pv = lower.select("setting", F.col("u").alias("v"), F.col("p").alias("pv"))
-        edges = (
-            edges.join(pu, ["setting", "u"], "left")
-            .join(pv, ["setting", "v"], "left")
-            .select("setting", F.coalesce("pu", "u").alias("u"), F.coalesce("pv", "v").alias("v"))
-        )
-        edges, rest = checkpoint_counting(edges.where("u <> v").distinct(), F.lit(True))
-    return checkpoint(roots)
-
-
-def _jump(parent: DataFrame) -> DataFrame:
-    """Every pointer moved on to where its target points; ``moved`` tells which did."""
-    above = parent.where("u <> p").select("setting", F.col("u").alias("p"), F.col("p").alias("q"))
-    jumped = parent.select("setting", "u", "p").join(above, ["setting", "p"], "left")
-    return jumped.select("setting", "u", F.coalesce("q", "p").alias("p"), F.col("q").isNotNull().alias("moved"))
-
-
-def _numbered(roots: DataFrame) -> DataFrame:
-    """``(setting, node, cluster)`` with clusters counted from 0 by their smallest core id."""
-    tops = roots.select("setting", "root").distinct().withColumn("one", F.lit(1))
-    order = running_totals(tops, "root", ["one"], ["setting"])
-    numbers = order.select("setting", "root", (F.col("cum_one") - 1).cast("int").alias("cluster"))
-    return checkpoint(roots.join(numbers, ["setting", "root"]).select("setting", "node", "cluster"))
-
-
 def _labels(each: DataFrame, core_labels: DataFrame, near: DataFrame, radii: list[float], d: int) -> DataFrame:
     """Core points take their cell's cluster, others the smallest cluster of a core neighbour."""
     own = core_labels.select("setting", "cell", "cluster")

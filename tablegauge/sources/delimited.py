@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import csv
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegauge.functions.scalars import column
+from tablegauge.session import checkpoint
+from tablegauge.sources import quoted
 
 # The spellings of a missing value.
 NA_TOKENS = (
@@ -49,9 +52,17 @@ def read_delimited(
     Short rows are filled up with gaps; a row with more fields than the header is an error.
     ``row_id`` names an extra bigint column that follows the order of the file; it is taken
     right after the scan, where the engine numbers rows split by split. ``multi_line``
-    allows line breaks inside quotes, at the price of one task per file.
+    allows line breaks inside quotes; such files, and those in multi-byte encodings, are cut into
+    records by range in parallel (see ``quoted``), and rows are numbered in file order.
     """
-    native = codecs.lookup(encoding).name in NATIVE_ENCODINGS
+    try:
+        native = codecs.lookup(encoding).name in NATIVE_ENCODINGS
+    except LookupError as exc:
+        raise SourceError(f"encoding '{encoding}' is not supported") from exc
+    wide = codecs.lookup(encoding).name.startswith(("utf-16", "utf-32"))
+    if (multi_line and not wide) or not (native or _is_single_byte(encoding)):
+        raw, names = _read_records(spark, path, sep, encoding, row_id)
+        return type_columns(raw, names) if typed else raw.drop(_BEYOND)
     reader = (
         spark.read.option("header", True)
         .option("sep", sep)
@@ -77,6 +88,43 @@ def read_delimited(
     return type_columns(raw, names) if typed else raw.drop(_BEYOND)
 
 
+def _read_records(spark: SparkSession, path: str, sep: str, encoding: str, row_id: str | None) -> tuple[DataFrame, list[str]]:
+    """All rows as text columns, cut into records and split into fields in parallel."""
+    try:
+        rows = checkpoint(quoted.records(spark, path, sep, encoding))
+    except AnalysisException as exc:
+        raise SourceError(f"cannot read '{path}': {exc.getCondition()}") from exc
+    except ValueError as exc:
+        raise SourceError(str(exc)) from exc
+    head = rows.where("header").orderBy("row").select("text").first()
+    if head is None or not head["text"]:
+        raise SourceError("the input has no columns")
+    names = _header_names(next(csv.reader([head["text"]], delimiter=sep)))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BEYOND]])
+    options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"}
+    fields = F.from_csv("text", _ddl(schema), options)
+    parsed = rows.where(~F.col("header")).select("row", fields.alias("_fields"))
+    kept = [F.col("_fields")[n].alias(n) for n in [*names, _BEYOND]]
+    return parsed.select(*kept, *([F.col("row").alias(row_id)] if row_id else [])), names
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join("`" + f.name.replace("`", "``") + "` string" for f in schema)
+
+
+def _header_names(found: list[str]) -> list[str]:
+    """Column names as the engine's own reader gives them: numbers for empty ones and behind repeated ones."""
+    seen = [n.lower() for n in found if n]
+    return [f"_c{i}" if not n else f"{n}{i}" if seen.count(n.lower()) > 1 else n for i, n in enumerate(found)]
+
+
+def _is_single_byte(encoding: str) -> bool:
+    try:
+        return len(bytes(range(32, 127)).decode(encoding)) == 95 and len(bytes(range(128, 256)).decode(encoding, "replace")) == 128
+    except (UnicodeDecodeError, LookupError):
+        return False
+
+
 def _from_single_byte(df: DataFrame, encoding: str) -> DataFrame:
     """Text read byte by byte as Latin-1, turned into the characters of ``encoding``."""
     pairs = []

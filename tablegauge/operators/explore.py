@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegauge.functions.scalars import FLOATING, column, number_columns, percent, present, round_half_even
-from tablegauge.operators.ranks import TASK_ROWS, Target, exact_quantiles, order_statistics
+from tablegauge.operators.ranks import TASK_ROWS, Target, exact_quantiles, order_statistics, running_totals
 from tablegauge.operators.values import key_text, runs, stack
 from tablegauge.session import BROADCAST_ROWS, checkpoint, if_small
 
@@ -233,6 +233,10 @@ def histograms(
     )
 
 
+# Bands whose borders are looked up one by one; for more, rows are numbered.
+CUT_BANDS = 256
+
+
 def missing_matrix(df: DataFrame, order_by: Column, bands: int = 50, limit: int = TASK_ROWS) -> DataFrame:
     """Share of gaps per band of rows and column: ``(band, n_rows, column, missing_share)``.
 
@@ -244,11 +248,17 @@ def missing_matrix(df: DataFrame, order_by: Column, bands: int = 50, limit: int
     if size == 0:
         return df.sparkSession.createDataFrame([], "band int, n_rows bigint, column string, missing_share double")
     bands = min(bands, size)
-    targets = [Target((), size * k // bands, size) for k in range(1, bands)]
-    cuts = [t.value for t in order_statistics(rows, [], "_at", targets, limit)]
-    band = F.lit(0)
-    for c in cuts:
-        band = band + (F.col("_at") >= c).cast("int")
+    if bands > CUT_BANDS:
+        # Rows are numbered in order; the band follows from the number.
+        numbers = running_totals(rows.select("_at", F.lit(1).alias("one")), "_at", ["one"], limit=limit)
+        place = numbers.select("_at", (F.ceil(F.col("cum_one") * bands / size) - 1).cast("int").alias("_band"))
+        rows = rows.join(place, "_at")
+        band = F.col("_band")
+    else:
+        targets = [Target((), size * k // bands, size) for k in range(1, bands)]
+        cuts = [t.value for t in order_statistics(rows, [], "_at", targets, limit)]
+        at = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
+        band = F.size(F.filter(at, lambda c: c <= F.col("_at")))
     shares = [F.avg(present(df, n).isNull().cast("int")).alias(f"m{i}") for i, n in enumerate(df.columns)]
     per_band = rows.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n_rows"), *shares)
     cells = [F.struct(F.lit(n).alias("column"), F.col(f"m{i}").alias("missing_share")) for i, n in enumerate(df.columns)]

@@ -129,12 +129,13 @@ def test_histogram_of_one_value_and_of_none(spark):
     assert (got.low.min(), got.high.max()) == (2.5, 3.5)
 
 
-@pytest.mark.parametrize("limit", [40, 10_000])
-def test_missing_matrix(people, people_df, limit):
-    got = explore.missing_matrix(people_df, F.col("id"), bands=7, limit=limit).toPandas()
+@pytest.mark.parametrize("limit,bands", [(40, 7), (10_000, 7), (40, 299), (10_000, 300)])
+def test_missing_matrix(people, people_df, limit, bands):
+    got = explore.missing_matrix(people_df, F.col("id"), bands=bands, limit=limit).toPandas()
     part = got[got.column == "age"].sort_values("band")
-    starts = [300 * k // 7 for k in range(8)]
-    for b in range(7):
+    starts = [300 * k // bands for k in range(bands + 1)]
+    assert part.band.tolist() == list(range(bands))
+    for b in range(bands):
         rows = people.iloc[starts[b] : starts[b + 1]]
         assert part.n_rows.iloc[b] == len(rows)
         assert part.missing_share.iloc[b] == pytest.approx(rows.age.isna().mean())

@@ -168,6 +168,25 @@ def roc_curve(spark: SparkSession, folder: str) -> DataFrame:
     return curve.withColumn("threshold", F.when(F.col("threshold") == float("inf"), 1e9).otherwise(F.col("threshold")))
 
 
+@query(
+    "c13_roc_curve_thinned",
+    """WITH s AS (SELECT l_extendedprice AS t, count(*) FILTER (WHERE l_returnflag = 'R') AS p,
+        count(*) FILTER (WHERE l_returnflag <> 'R') AS q FROM lineitem GROUP BY 1),
+      w AS (SELECT t, sum(q) OVER o / sum(q) OVER ()::DOUBLE AS fpr, sum(p) OVER o / sum(p) OVER ()::DOUBLE AS tpr,
+        lag(t) OVER o IS NULL OR lead(t) OVER o IS NULL OR lead(p) OVER o <> p OR lead(q) OVER o <> q AS kept
+        FROM s WINDOW o AS (ORDER BY t DESC))
+    SELECT t::DOUBLE AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM w WHERE kept
+    UNION ALL SELECT 1e9, 0.0, 0.0""",
+)
+def thinned_roc_curve(spark: SparkSession, folder: str) -> DataFrame:
+    """The curve of all lines by price, without points on a straight way."""
+    items = load_table(spark, folder, "lineitem").select(
+        (F.col("l_returnflag") == "R").cast("int").alias("label"), F.col("l_extendedprice").alias("score")
+    )
+    curve = rounded(metrics.roc_curve(items, drop_collinear=True))
+    return curve.withColumn("threshold", F.when(F.col("threshold") == float("inf"), 1e9).otherwise(F.col("threshold")))
+
+
 @query("a12_mean_and_std", "SELECT round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM events")
 def mean_and_std(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics.mean_and_std(load_table(spark, folder, "events"), "value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegauge.operators.ranks import TASK_ROWS, running_totals
+from tablegauge.operators.ranks import TASK_ROWS, running_totals, with_next
 from tablegauge.session import checkpoint, if_small
 
 
@@ -55,15 +55,31 @@ def roc_auc(
 
 
 def roc_curve(
-    df: DataFrame, label: str = "label", score: str = "score", groups: list[str] | None = None, limit: int = TASK_ROWS
+    df: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    groups: list[str] | None = None,
+    limit: int = TASK_ROWS,
+    drop_collinear: bool = False,
 ) -> DataFrame:
-    """``(threshold, fpr, tpr)`` at every distinct score, plus the (0, 0) start at infinity."""
+    """``(threshold, fpr, tpr)`` at every distinct score, plus the (0, 0) start at infinity.
+
+    ``drop_collinear`` leaves out points whose step is repeated by the next one; the first and the last stay.
+    """
     groups = groups or []
     counts = score_counts(df, label, score, groups)
     ranked = running_totals(counts, "score", ["pos", "neg"], groups, descending=True, limit=limit)
+    kept = None
+    if drop_collinear:
+        ahead = with_next(ranked, "score", ["pos", "neg"], groups, descending=True, limit=limit)
+        turns = ~((F.col("next.pos") == F.col("pos")) & (F.col("next.neg") == F.col("neg")))
+        # Before the first point nothing has been counted.
+        first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+        kept = checkpoint(ahead.where(F.col("next").isNull() | turns | first).drop("next"))
     # The last running total is the whole.
     whole = checkpoint(ranked.groupBy(*groups).agg(F.max("cum_pos").alias("_p"), F.max("cum_neg").alias("_n")))
-    points = ranked.select(*groups, F.col("score").alias("threshold"), "cum_pos", "cum_neg")
+    points = ranked if kept is None else kept
+    points = points.select(*groups, F.col("score").alias("threshold"), "cum_pos", "cum_neg")
     zero = F.lit(0).cast("bigint")
     start = whole.select(
         *groups, F.lit(float("inf")).alias("threshold"), zero.alias("cum_pos"), zero.alias("cum_neg")

@@ -332,14 +332,7 @@ def running_totals(
         window = window.rowsBetween(Window.unboundedPreceding, 0)
         return counts.withColumns({f"cum_{m}": F.sum(m).over(window) for m in measures})
 
-    slices = min(4096, size // limit + 2)
-    cuts = sorted(set(counts.approxQuantile(order, [i / slices for i in range(1, slices)], 0.1 / slices)))
-    edges = [float("-inf"), *cuts, float("inf")]
-    # NaN goes behind the last slice and null before the first, where a window sorts them too.
-    cutter = Bucketizer(splits=edges, inputCol="_axis", outputCol="_slice", handleInvalid="keep")
-    axis = F.coalesce(F.col(order).cast("double"), F.lit(float("-inf")))
-    sliced = cutter.transform(counts.withColumn("_axis", axis)).drop("_axis")
-    sliced = sliced.withColumn("_slice", F.when(F.col(order).isNull(), F.lit(-1.0)).otherwise(F.col("_slice")))
+    sliced = _sliced(counts, order, size, limit)
     inner = Window.partitionBy(*groups, "_slice").orderBy(direction(order))
     inner = inner.rowsBetween(Window.unboundedPreceding, 0)
     sliced = sliced.withColumns({f"cum_{m}": F.sum(m).over(inner) for m in measures})
@@ -360,6 +353,51 @@ def running_totals(
     )
 
 
+def _sliced(rows: DataFrame, order: str, size: int, limit: int) -> DataFrame:
+    """``rows`` with ``_slice``, runs of the order axis cut at sampled quantiles, ascending."""
+    slices = min(4096, size // limit + 2)
+    cuts = sorted(set(rows.approxQuantile(order, [i / slices for i in range(1, slices)], 0.1 / slices)))
+    edges = [float("-inf"), *cuts, float("inf")]
+    # NaN goes behind the last slice and null before the first, where a window sorts them too.
+    cutter = Bucketizer(splits=edges, inputCol="_axis", outputCol="_slice", handleInvalid="keep")
+    axis = F.coalesce(F.col(order).cast("double"), F.lit(float("-inf")))
+    sliced = cutter.transform(rows.withColumn("_axis", axis)).drop("_axis")
+    return sliced.withColumn("_slice", F.when(F.col(order).isNull(), F.lit(-1.0)).otherwise(F.col("_slice")))
+
+
+def with_next(
+    rows: DataFrame,
+    order: str,
+    columns: list[str],
+    groups: list[str] | None = None,
+    descending: bool = False,
+    limit: int = TASK_ROWS,
+) -> DataFrame:
+    """``rows`` with ``next``, a struct of ``columns`` of the row behind; null for the last of a group.
+
+    ``order`` must be numeric and unique within a group. Beyond ``limit`` rows the axis is cut into slices, and
+    the first row of each is handed to the last one of the slice before it.
+    """
+    groups = groups or []
+    direction = F.desc if descending else F.asc
+    rows = checkpoint(rows)
+    size = rows.count()
+    values = F.struct(*columns)
+    if size <= limit:
+        window = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(direction(order))
+        return rows.withColumn("next", F.lead(values).over(window))
+    inner = Window.partitionBy(*groups, "_slice").orderBy(direction(order))
+    sliced = _sliced(rows, order, size, limit)
+    sliced = checkpoint(sliced.withColumns({"next": F.lead(values).over(inner), "_place": F.row_number().over(inner)}))
+    outer = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(direction("_slice"))
+    heads = sliced.where("_place = 1").withColumn("_head", F.lead(values).over(outer))
+    heads = heads.select(*[F.col(g).alias(f"_g_{g}") for g in groups], F.col("_slice").alias("_s"), "_head")
+    same = F.col("_slice") == F.col("_s")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    return sliced.join(heads, same).select(*rows.columns, F.coalesce("next", "_head").alias("next"))
+
+
 def seeded_hash(row_id: Column, seed: int, purpose: str = "split") -> Column:
     """A 64-bit hash of a bigint id under a seed; distinct ids keep distinct hashes.
 

@@ -111,7 +111,7 @@ def evaluate(
         searches=spark.createDataFrame(searches, "model string, best_params string, best_cv_score_roc_auc double"),
         best=best,
         confusion=metrics.confusion(won),
-        roc=metrics.roc_curve(won),
+        roc=metrics.roc_curve(won, drop_collinear=True),
         importance=models.permutation_importance(fitted[winner], test, features, row_id, repeats=repeats, seed=seed),
         model=fitted[winner],
     )

@@ -78,6 +78,25 @@ def test_area_and_curve(data, df, limit):
     assert np.trapezoid(curve.tpr, curve.fpr) == pytest.approx(got)
 
 
+@pytest.mark.parametrize("limit", [7, 10_000])
+def test_thinned_curve(spark, limit):
+    """Points whose step the next one repeats are left out, per group; the ends stay."""
+    rng = np.random.default_rng(8)
+    rows = [(g, int(rng.random() < 0.5), float(rng.integers(0, 40) if g != "one" else 3)) for g in ("a", "b", "one") for _ in range(120)]
+    frame = spark.createDataFrame(rows, "g string, label int, score double").repartition(3)
+    got = metrics.roc_curve(frame, groups=["g"], limit=limit, drop_collinear=True).toPandas()
+    for g in ("a", "b", "one"):
+        y, s = (np.array([r[i] for r in rows if r[0] == g]) for i in (1, 2))
+        levels = np.sort(np.unique(s))[::-1]
+        steps = np.array([[((s == v) & (y == c)).sum() for c in (0, 1)] for v in levels])
+        whole = np.cumsum(steps, axis=0)
+        keep = [i for i in range(len(levels)) if i in (0, len(levels) - 1) or (steps[i] != steps[i + 1]).any()]
+        want = {np.inf: (0.0, 0.0)} | {levels[i]: tuple(whole[i] / whole[-1]) for i in keep}
+        mine = got[got.g == g]
+        found = {r.threshold: (r.fpr, r.tpr) for r in mine.itertuples()}
+        assert found.keys() == want.keys() and all(np.allclose(found[k], want[k]) for k in want)
+
+
 def test_metrics_per_model(spark):
     rows = [("a", 1, 1, 0.9), ("a", 0, 1, 0.8), ("a", 1, 0, 0.3), ("a", 0, 0, 0.1), ("b", 1, 0, 0.5), ("b", 0, 0, 0.5)]
     frame = spark.createDataFrame(rows, "model string, label int, prediction int, score double")

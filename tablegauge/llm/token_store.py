@@ -18,25 +18,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tablegauge.llm.common import checkpoint, column, map_texts, small_side
+from tablegauge.llm.common import checkpoint, column, map_texts, slices, small_side
 from tablegauge.session import scratch_path
 
 END_ID = 0
 SCALE_BITS = 20
-LANES = 512
+LANES = 2048
 BLOCK_TOKENS = 1 << 18
-SEGMENT_STEPS = 128
+SEGMENT_STEPS = 32
 
 # Words a worker remembers: those met again, and those met once since they were last let go.
 KEPT_WORDS = 1 << 19
 NEW_WORDS = 1 << 18
 
+# Bytes of text whose words are looked up together.
+LOOKUP_BYTES = 4 << 20
+
+# Marks that may close a word, and words of Latin letters.
+MARKS = ".,;:!?"
+LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$"
+
 LOW = 1 << 31
 HEADER = "<4sHBBIQII"
 HEADER_SIZE = struct.calcsize(HEADER)
@@ -52,13 +60,13 @@ class WordwiseEncoder:
     A byte-level tokenizer with the usual split pattern never joins across a single blank
     between two characters that are not blank, so the text between such blanks has the same ids
     everywhere. New words are encoded many at a time in one call and kept apart from words met in
-    more than one text, so the many words that come once do not drive out the others. Other tokenizers, and
+    more than one slice of texts, so the many words that come once do not drive out the others. Other tokenizers, and
     texts with neighbouring blanks, are encoded as they are.
     """
 
     def __init__(self, path: str, kept_words: int = KEPT_WORDS, new_words: int = NEW_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
@@ -80,52 +88,129 @@ class WordwiseEncoder:
         self.new: dict[str, bytes] = {}
         self.kept_words, self.new_words = kept_words, new_words
         self.doubled = re.compile(r"\s\s")
+        # The pattern never cuts inside a run of letters, nor joins one to the marks behind it, so
+        # such words need no pattern. Letters of the first blocks are letters in every version.
+        self.pieces = Tokenizer.from_file(path)
+        if self.by_word:
+            self.pieces.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.tails: dict[str, bytes] = {"": b""}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of words that follow a blank, encoded now."""
-        learned: dict[str, bytes] = {}
+    def _tail(self, marks: str) -> bytes:
+        """The ids of marks that close a word."""
+        if marks not in self.tails:
+            if len(self.tails) > 4096:
+                self.tails = {"": b""}
+            self.tails[marks] = self._whole(marks)
+        return self.tails[marks]
+
+    def _parted(self, words: list[str], ids: np.ndarray) -> list[bytes] | None:
+        """The ids of words that each begin with a blank, cut at the tokens that do; None if they don't match."""
+        at = np.flatnonzero(self.opens[ids])
+        if len(at) != len(words):
+            return None
+        raw, cuts = ids.tobytes(), (at * self.kind.itemsize).tolist()
+        return list(map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)])))
+
+    def _encoded(self, words: list[str], of_letters: bool) -> list[bytes]:
+        """The ids of words that follow a blank, many in one call."""
+        out: list[bytes] = []
         for start in range(0, len(words), 4096):
             part = words[start : start + 4096]
-            ids = np.frombuffer(self._whole(" " + " ".join(part)), dtype=self.kind)
-            at = np.flatnonzero(self.opens[ids])
-            if len(at) != len(part):
-                learned.update((w, self._whole(" " + w)) for w in part)
-                continue
-            raw, size = ids.tobytes(), self.kind.itemsize
-            ends = [*(at[1:] * size).tolist(), len(raw)]
-            learned.update((w, raw[a:b]) for w, a, b in zip(part, (at * size).tolist(), ends, strict=True))
-        return learned
-
-    def _missing(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of words that are not kept; a word met in an earlier text is kept from now on."""
-        again = {w: self.new.pop(w) for w in words if w in self.new}
-        learned = self._learn([w for w in words if w not in again])
+            if of_letters:
+                made = self.pieces.encode_batch_fast([[" " + w for w in part]], is_pretokenized=True, add_special_tokens=False)
+            else:
+                made = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
+            found = self._parted(part, np.array(made[0].ids, dtype=self.kind))
+            out += found if found is not None else [self._whole(" " + w) for w in part]
+        return out
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """The ids of different words that follow a blank, encoded now."""
+        stems = pc.utf8_rtrim(pa.array(words, pa.string()), MARKS)
+        plain = pc.match_substring_regex(stems, LETTERS).to_numpy(zero_copy_only=False)
+        coded = stems.filter(pa.array(plain)).dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        ids = list(map(self.kept.get, different))
+        new = [i for i, found in enumerate(ids) if found is None]
+        for i, made in zip(new, self._encoded([different[i] for i in new], True), strict=True):
+            ids[i] = made
+        out: list[bytes] = [b""] * len(words)
+        of_stem = list(map(ids.__getitem__, coded.indices.to_pylist()))
+        for i, found, stem in zip(np.flatnonzero(plain).tolist(), of_stem, map(different.__getitem__, coded.indices.to_pylist())):
+            word = words[i]
+            out[i] = found if len(word) == len(stem) else found + self._tail(word[len(stem) :])
+        other = np.flatnonzero(~plain).tolist()
+        for i, found in zip(other, self._encoded([words[i] for i in other], False), strict=True):
+            out[i] = found
+        return out
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of different words that follow a blank; a word met in an earlier slice is kept from now on."""
+        ids = list(map(self.kept.get, words))
+        missing = [i for i, found in enumerate(ids) if found is None]
+        if not missing:
+            return ids
+        again: dict[str, bytes] = {}
+        fresh: list[int] = []
+        for i in missing:
+            found = self.new.get(words[i])
+            if found is None:
+                fresh.append(i)
+            else:
+                ids[i] = again[words[i]] = found
+        unknown = [words[i] for i in fresh]
+        learned = self._learn(unknown)
+        for i, found in zip(fresh, learned, strict=True):
+            ids[i] = found
+        # More words than may be remembered are not remembered.
         if len(self.kept) + len(again) > self.kept_words:
             self.kept = {}
-        if len(self.new) + len(learned) > self.new_words:
-            self.new = {}
-        # A text of more words than may be remembered is not remembered.
         if len(again) <= self.kept_words:
             self.kept.update(again)
+        if len(self.new) + len(learned) > self.new_words:
+            self.new = {}
         if len(learned) <= self.new_words:
-            self.new.update(learned)
-        return again | learned
+            self.new.update(zip(unknown, learned, strict=True))
+        return ids
+
+    def encode_many(self, texts: list[str], end: bytes = b"") -> pa.Array:
+        """The ids of every text as little-endian numbers of ``kind``, closed by ``end``.
+
+        The words of all texts are looked up once each, and the ids put together by their numbers.
+        """
+        whole = [None if self.by_word and not self.doubled.search(t) else self._whole(t) if t else b"" for t in texts]
+        split = pc.split_pattern(pa.array([t if w is None else "" for t, w in zip(texts, whole, strict=True)], pa.large_string()), " ")
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        # A first word follows no blank; texts encoded whole have one piece, which is empty.
+        is_first = np.zeros(bounds[-1] - bounds[0], dtype=bool)
+        firsts = bounds[:-1] - bounds[0]
+        is_first[firsts] = True
+        values = split.flatten()
+        coded = values.filter(pa.array(~is_first)).dictionary_encode()
+        begun = self.tokenizer.encode_batch_fast(values.take(pa.array(firsts)).to_pylist(), add_special_tokens=False)
+        opening = [np.array(b.ids, dtype=self.kind).tobytes() if w is None else w for b, w in zip(begun, whole, strict=True)]
+        pieces = [*self._ids_of(coded.dictionary.to_pylist()), *opening, end]
+        known = len(coded.dictionary)
+        # Every text in numbers of pieces: its opening, its words, the end.
+        numbers = np.full(len(is_first) + len(texts), known + len(texts), dtype=np.int64)
+        at = np.arange(len(is_first)) + np.repeat(np.arange(len(texts)), np.diff(bounds))
+        numbers[at[~is_first]] = coded.indices.to_numpy()
+        numbers[at[is_first]] = known + np.arange(len(texts))
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // self.kind.itemsize
+        data = np.frombuffer(b"".join(pieces), dtype=self.kind)
+        begins = np.cumsum(sizes) - sizes
+        runs = sizes[numbers]
+        ends = np.cumsum(runs)
+        take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[numbers] - (ends - runs), runs)
+        closes = ends[np.cumsum(np.diff(bounds) + 1) - 1] if len(texts) else ends
+        offsets = np.concatenate([[0], closes]).astype(np.int64) * self.kind.itemsize
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(data[take])])
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian numbers of ``kind``."""
-        if not text:
-            return b""
-        if not self.by_word or self.doubled.search(text):
-            return self._whole(text)
-        first, *words = text.split(" ")
-        ids = list(map(self.kept.get, words))
-        if None in ids:
-            found = self._missing({w for w, i in zip(words, ids, strict=True) if i is None})
-            ids = [found[w] if i is None else i for w, i in zip(words, ids, strict=True)]
-        return (self._whole(first) if first else b"") + b"".join(ids)
+        return self.encode_many([text])[0].as_py()
 
 
 def _encoder(path: str) -> WordwiseEncoder:
@@ -144,8 +229,10 @@ def tokenize(docs: DataFrame, tokenizer: str, keep: list[str], text: str = "text
     def measure(texts: list[bytes | None]) -> dict[str, pa.Array]:
         encoder = _encoder(tokenizer)
         end = np.array([end_id], dtype=encoder.kind).tobytes()
-        made = [encoder.encode((t or b"").decode("utf-8", "replace")) + end for t in texts]
-        return {"ids": pa.array(made, type=pa.binary()), "width": pa.array([encoder.kind.itemsize] * len(made), type=pa.int32())}
+        runs = ([t.decode("utf-8", "replace") for t in run] for run in slices(texts, LOOKUP_BYTES))
+        made = [encoder.encode_many(run, end).cast(pa.binary()) for run in runs]
+        ids = pa.concat_arrays(made) if made else pa.array([], type=pa.binary())
+        return {"ids": ids, "width": pa.array([encoder.kind.itemsize] * len(ids), type=pa.int32())}
 
     return map_texts(docs, text, measure, [T.StructField("ids", T.BinaryType()), T.StructField("width", T.IntegerType())], keep)
 

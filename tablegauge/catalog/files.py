@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +73,94 @@ def report_top(spark: SparkSession, folder: str) -> DataFrame:
 _REPORT_NUMBERS = ("c_custkey", "c_nationkey", "c_acctbal")
 
 
+@query(
+    "s3_report_summary_file",
+    f"SELECT * EXCLUDE (ordinal, examples) FROM ({profile_sql('customer', CUSTOMER, 'c_custkey')})",
+)
+def report_summary_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary as it stands in the report's file."""
+    path, _ = _report(spark, folder)
+    schema = (
+        "name string, dtype string, non_null bigint, missing bigint, missing_share double, `unique` bigint, "
+        "is_numeric boolean, min double, max double, mean double, std double"
+    )
+    return rounded(_written(spark, f"{path}/summary", schema), 4)
+
+
+def _written(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
+
+
+@query(
+    "s4_report_missing_file",
+    union_all(
+        [
+            f"""SELECT '{n}' AS "column", count(*) - count({n}) AS missing_count,
+              round((count(*) - count({n})) / count(*)::DOUBLE, 6) AS missing_share FROM customer"""
+            for n, _ in CUSTOMER
+        ]
+    ),
+)
+def report_missing_file(spark: SparkSession, folder: str) -> DataFrame:
+    path, _ = _report(spark, folder)
+    return rounded(_written(spark, f"{path}/missing", "column string, missing_count bigint, missing_share double"))
+
+
+@query(
+    "s5_report_correlation_file",
+    union_all(
+        [
+            f"""SELECT '{a}' AS "column", {", ".join(f"round(corr({a}, {b}), 6) AS {b}" for b in _REPORT_NUMBERS)} FROM customer"""
+            for a in _REPORT_NUMBERS
+        ]
+    ),
+)
+def report_correlation_file(spark: SparkSession, folder: str) -> DataFrame:
+    path, _ = _report(spark, folder)
+    schema = "column string, " + ", ".join(f"{n} double" for n in _REPORT_NUMBERS)
+    return rounded(_written(spark, f"{path}/correlation", schema))
+
+
+def _digest_sql() -> str:
+    """The lines of the digest with all numbers from SQL; the wording is the report's."""
+
+    def said(flag: str) -> str:
+        return f"CASE WHEN {flag} THEN 'True' ELSE 'False' END"
+
+    def line(flag: str, text: str, names: str) -> str:
+        quoted = f"'[''' || replace({names}, ',', ''', ''') || ''']'"
+        whole = text.replace("\n", "' || chr(10) || '").replace("{}", f"' || {quoted} || '")
+        return f"CASE WHEN {flag} THEN '{whole}' ELSE '' END"
+
+    constant = line("has_constant_columns", report.CONSTANT_LINE, "constant_columns_list")
+    crowded = line("has_high_cardinality_categoricals", report.CARDINALITY_LINE, "high_cardinality_list")
+    values = {
+        "title": f"'{report.DEFAULT_TITLE}'",
+        "source": "'customer.parquet'",
+        "top_k": "'5'",
+        "n_cols": f"'{len(CUSTOMER)}'",
+        "n_rows": "(SELECT count(*) FROM customer)",
+        "quality_score": "printf('%.2f', quality_score)",
+        "max_missing_share": "printf('%.2f', 100 * max_missing_share) || '%'",
+        "lists": f"{constant} || {crowded}",
+        "gaps": f"'{report.SEE_GAPS}'",
+        "correlation": f"'{report.SEE_CORRELATION}'",
+        "categories": f"'{report.SEE_CATEGORIES}'",
+    }
+    values |= {c: said(c) for c in ("too_few_rows", "too_many_columns", "too_many_missing")}
+    text = re.sub(r"\{(\w+)[^}]*\}", lambda m: f"' || {values[m[1]]} || '", report.DIGEST)
+    return f"""WITH d AS (SELECT string_split('{text}', chr(10)) AS lines FROM ({_flags_sql("customer", CUSTOMER)}))
+      SELECT CAST(i AS INTEGER) AS line, lines[i + 1] AS text FROM (SELECT lines, unnest(range(len(lines))) AS i FROM d)"""
+
+
+@query("s7_report_digest_file", _digest_sql())
+def report_digest_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The digest's lines as they stand in its file."""
+    path, _ = _report(spark, folder)
+    whole = spark.read.text(f"{path}/report", wholetext=True)
+    return whole.select(F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n")).alias("line", "text"))
+
+
 @query(
     "s4_s5_report_tables",
     union_all(

@@ -103,15 +103,18 @@ def _slot_value(df: DataFrame, name: str, whole_text: bool) -> Column:
     return text if whole_text else key_text(text)
 
 
-def _passes(df: DataFrame, names: list[str], order_by: Column | None, whole_text: bool = False):
-    """Per storage class and run of columns: its slot and rows ``(o, c, v)`` without gaps."""
+def _passes(df: DataFrame, names: list[str], order_by: Column | None, whole_text: bool = False, hashed: bool = False):
+    """Per storage class and run of columns: its slot and rows ``(o, c, v)`` without gaps, with a hash ``h`` if wanted."""
     width = _PASS_COLUMNS if order_by is None else _ORDERED_PASS_COLUMNS
     order = F.lit(0) if order_by is None else order_by
     order = F.coalesce(order.cast("bigint"), F.lit(_LAST))
     for slot in _SLOT_TYPES:
         mine = [(i, n) for i, n in enumerate(names) if _SLOTS[kind_of(df.schema[n].dataType)] == slot]
         for run in runs(mine, width):
-            entries = [F.struct(F.lit(i).alias("c"), _slot_value(df, n, whole_text).alias("v")) for i, n in run]
+            more = [[F.xxhash64(_slot_value(df, n, True)).alias("h")] if hashed else [] for _, n in run]
+            entries = [
+                F.struct(F.lit(i).alias("c"), _slot_value(df, n, whole_text).alias("v"), *h) for (i, n), h in zip(run, more)
+            ]
             yield slot, df.select(order.alias("o"), F.inline(F.array(*entries))).where(F.col("v").isNotNull())
 
 
@@ -175,16 +178,20 @@ CANDIDATES_PER_VALUE = 8
 BUCKETS = 1024
 
 
-def _bucket(value: Column) -> Column:
-    return F.pmod(F.xxhash64(value), F.lit(BUCKETS)).cast("int")
+def _bucket(h: Column) -> Column:
+    return F.pmod(h, F.lit(BUCKETS)).cast("int")
 
 
 def _proposed(df: DataFrame, names: list[str], k: int) -> tuple[list[list], list[bool]]:
-    """Per column the candidates that the counters propose, and whether buckets can prove them."""
+    """Per column the hashes of the candidates that the counters propose, and whether buckets can prove them.
+
+    Hashes keep long texts out of the counters; values that share one are all counted as candidates.
+    """
     n = min(max(CANDIDATES_PER_VALUE * k, 32), TRACKED_VALUES)
     aggs = []
     for i, name in enumerate(names):
-        value = _slot_value(df, name, whole_text=False)
+        value = _slot_value(df, name, whole_text=True)
+        value = F.when(value.isNotNull(), F.xxhash64(value))
         top = F.call_function("approx_top_k", value, F.lit(n), F.lit(max(n, TRACKED_VALUES)))
         aggs += [top.alias(f"t{i}"), F.count(value).alias(f"n{i}")]
     row = df.agg(*aggs).first()
@@ -208,17 +215,15 @@ def top_values(df: DataFrame, names: list[str], k: int, order_by: Column | None
     candidates, provable = _proposed(df, names, k)
     spark = df.sparkSession
     counted: list[tuple[str, DataFrame]] = []
-    for slot, rows in _passes(df, names, order_by):
+    for slot, rows in _passes(df, names, order_by, hashed=True):
         kind = _SLOT_TYPES[slot]
         own = [i for i, n in enumerate(names) if _SLOTS[kind_of(df.schema[n].dataType)] == slot]
-        known = spark.createDataFrame(
-            [(i, v, True) for i in own if provable[i] for v in candidates[i]], f"c int, v {kind}, known boolean"
-        )
+        known = spark.createDataFrame([(i, h, True) for i in own if provable[i] for h in candidates[i]], "c int, h long, known boolean")
         flat = [i for i in own if not provable[i]]
         # A bounded number of candidates per column.
-        marked = (rows.where(~F.col("c").isin(flat)) if flat else rows).join(F.broadcast(known), ["c", "v"], "left")
+        marked = (rows.where(~F.col("c").isin(flat)) if flat else rows).join(F.broadcast(known), ["c", "h"], "left")
         is_known = F.col("known").isNotNull()
-        sums = marked.groupBy("c", F.when(is_known, F.col("v")).alias("v"), F.when(~is_known, _bucket(F.col("v"))).alias("b"))
+        sums = marked.groupBy("c", F.when(is_known, F.col("v")).alias("v"), F.when(~is_known, _bucket(F.col("h"))).alias("b"))
         exact, others = [], []
         for r in sums.agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("o")).collect():
             if r["b"] is None:
@@ -230,8 +235,8 @@ def top_values(df: DataFrame, names: list[str], k: int, order_by: Column | None
         if heavy:
             # At most columns x buckets rows.
             there = F.broadcast(spark.createDataFrame(heavy, "c int, b int"))
-            rest = rows.withColumn("b", _bucket(F.col("v"))).join(there, ["c", "b"], "left_semi")
-            rest = rest.join(F.broadcast(known), ["c", "v"], "left_anti")
+            rest = rows.withColumn("b", _bucket(F.col("h"))).join(there, ["c", "b"], "left_semi")
+            rest = rest.join(F.broadcast(known), ["c", "h"], "left_anti")
             parts.append(rest.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("o")))
         counted.append((slot, stack(parts)))
     return first_per_column(counted, k, F.desc("n"), F.col("o"))

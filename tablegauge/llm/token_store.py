@@ -41,8 +41,9 @@ NEW_WORDS = 1 << 18
 # Bytes of text whose words are looked up together.
 LOOKUP_BYTES = 4 << 20
 
-# Marks that may close a word, and words of Latin letters.
+# Marks that may close a word, neighbouring blanks of any kind, and words of Latin letters.
 MARKS = ".,;:!?"
+NEIGHBOURS = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}"
 LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$"
 
 LOW = 1 << 31
@@ -87,7 +88,6 @@ class WordwiseEncoder:
         self.kept: dict[str, bytes] = {}
         self.new: dict[str, bytes] = {}
         self.kept_words, self.new_words = kept_words, new_words
-        self.doubled = re.compile(r"\s\s")
         # The pattern never cuts inside a run of letters, nor joins one to the marks behind it, so
         # such words need no pattern. Letters of the first blocks are letters in every version.
         self.pieces = Tokenizer.from_file(path)
@@ -133,7 +133,7 @@ class WordwiseEncoder:
         plain = pc.match_substring_regex(stems, LETTERS).to_numpy(zero_copy_only=False)
         coded = stems.filter(pa.array(plain)).dictionary_encode()
         different = coded.dictionary.to_pylist()
-        ids = list(map(self.kept.get, different))
+        ids = [self.kept.get(w) or self.new.get(w) for w in different]
         new = [i for i, found in enumerate(ids) if found is None]
         for i, made in zip(new, self._encoded([different[i] for i in new], True), strict=True):
             ids[i] = made
@@ -176,13 +176,17 @@ class WordwiseEncoder:
             self.new.update(zip(unknown, learned, strict=True))
         return ids
 
-    def encode_many(self, texts: list[str], end: bytes = b"") -> pa.Array:
+    def encode_many(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
         """The ids of every text as little-endian numbers of ``kind``, closed by ``end``.
 
         The words of all texts are looked up once each, and the ids put together by their numbers.
         """
-        whole = [None if self.by_word and not self.doubled.search(t) else self._whole(t) if t else b"" for t in texts]
-        split = pc.split_pattern(pa.array([t if w is None else "" for t, w in zip(texts, whole, strict=True)], pa.large_string()), " ")
+        by_word = pc.invert(pc.match_substring_regex(texts, NEIGHBOURS)) if self.by_word else pa.array([False] * len(texts))
+        whole: list[bytes | None] = [None] * len(texts)
+        for i in np.flatnonzero(~by_word.to_numpy(zero_copy_only=False)).tolist():
+            text = texts[i].as_py()
+            whole[i] = self._whole(text) if text else b""
+        split = pc.split_pattern(pc.if_else(by_word, texts, ""), " ")
         bounds = split.offsets.to_numpy().astype(np.int64)
         # A first word follows no blank; texts encoded whole have one piece, which is empty.
         is_first = np.zeros(bounds[-1] - bounds[0], dtype=bool)
@@ -210,7 +214,15 @@ class WordwiseEncoder:
         return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(data[take])])
 
     def encode(self, text: str) -> bytes:
-        return self.encode_many([text])[0].as_py()
+        return self.encode_many(pa.array([text], pa.large_string()))[0].as_py()
+
+
+def _strings(texts: list[bytes]) -> pa.Array:
+    """The texts as strings; bytes that are no UTF-8 become replacement characters."""
+    try:
+        return pa.array(texts, pa.large_binary()).cast(pa.large_string())
+    except pa.ArrowInvalid:
+        return pa.array([t.decode("utf-8", "replace") for t in texts], pa.large_string())
 
 
 def _encoder(path: str) -> WordwiseEncoder:
@@ -229,8 +241,7 @@ def tokenize(docs: DataFrame, tokenizer: str, keep: list[str], text: str = "text
     def measure(texts: list[bytes | None]) -> dict[str, pa.Array]:
         encoder = _encoder(tokenizer)
         end = np.array([end_id], dtype=encoder.kind).tobytes()
-        runs = ([t.decode("utf-8", "replace") for t in run] for run in slices(texts, LOOKUP_BYTES))
-        made = [encoder.encode_many(run, end).cast(pa.binary()) for run in runs]
+        made = [encoder.encode_many(_strings(run), end).cast(pa.binary()) for run in slices(texts, LOOKUP_BYTES)]
         ids = pa.concat_arrays(made) if made else pa.array([], type=pa.binary())
         return {"ids": ids, "width": pa.array([encoder.kind.itemsize] * len(ids), type=pa.int32())}
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, Bucketizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -24,6 +24,12 @@ from tablegauge.session import BROADCAST_ROWS, checkpoint, if_small
 BLOCK_ROWS = 8_192
 _CHUNK = 512
 MOST_PAIR_TASKS = 10_000
+# Points in one packed matrix of a k-means pass.
+PACK_ROWS = 4_096
+# Tasks of a k-means pass.
+MOST_PASS_TASKS = 256
+# Relative difference of costs below which two fits count as alike.
+SAME_COST = 1e-9
 
 
 def points_from_columns(df: DataFrame, row_id: str, columns: list[str] | None = None) -> DataFrame:
@@ -69,27 +75,115 @@ def kmeans_models(
     n_init: int = 10,
     max_iter: int = 300,
     parallelism: int = 4,
-) -> dict[tuple[int, int], KMeansModel]:
-    """For every k and seed, the cheapest of ``n_init`` fits. Fits share one cached input."""
+) -> dict[tuple[int, int], np.ndarray]:
+    """For every k and seed, the centres of the cheapest of ``n_init`` fits.
+
+    The engine draws the first centres of every fit; then all fits move in step, one pass over
+    the points for all that still move, so passes do not grow with the number of fits.
+    """
     data = _vectors(points).select("features").persist()
     jobs = [(k, seed, seed * 1000 + i) for k in ks for seed in seeds for i in range(n_init)]
 
-    def fit(job: tuple[int, int, int]) -> tuple[int, int, float, KMeansModel]:
-        k, seed, start = job
-        model = KMeans(k=k, seed=start, maxIter=max_iter, tol=1e-4, initMode="k-means||").fit(data)
-        return k, seed, model.summary.trainingCost, model
+    def start(job: tuple[int, int, int]) -> np.ndarray:
+        k, _, seed = job
+        model = KMeans(k=k, seed=seed, maxIter=0, initMode="k-means||").fit(data)
+        return np.array(model.clusterCenters(), dtype=float)
 
     pool = ThreadPool(max(1, min(parallelism, len(jobs))))
     try:
-        fits = pool.map(inheritable_thread_target(data.sparkSession)(fit), jobs)
+        starts = pool.map(inheritable_thread_target(data.sparkSession)(start), jobs)
     finally:
         pool.close()
         data.unpersist()
-    best: dict[tuple[int, int], tuple[float, KMeansModel]] = {}
-    for k, seed, cost, model in fits:
-        if (k, seed) not in best or cost < best[k, seed][0]:
-            best[k, seed] = (cost, model)
-    return {key: model for key, (_, model) in best.items()}
+    best: dict[tuple[int, int], tuple[float, np.ndarray]] = {}
+    for (k, seed, _), (centers, cost) in zip(jobs, _moved_in_step(points, starts, max_iter)):
+        # Fits that end alike differ by rounding; the first of them is taken.
+        if (k, seed) not in best or cost < best[k, seed][0] * (1 - SAME_COST):
+            best[k, seed] = (cost, centers)
+    return {key: centers for key, (_, centers) in best.items()}
+
+
+def _packed(points: DataFrame) -> DataFrame:
+    """``(n, block)``: points as the bytes of matrices, so that a pass moves no single rows."""
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), PACK_ROWS):
+                x = np.stack(frame["x"].iloc[at : at + PACK_ROWS].to_numpy()).astype(float)
+                yield pd.DataFrame({"n": [len(x)], "block": [x.tobytes()]})
+
+    return points.select("x").mapInPandas(pack, "n int, block binary")
+
+
+def _nearest(x: np.ndarray, centers: np.ndarray, sizes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per group of centres, of the given sizes, the nearest one of each point and its squared distance."""
+    # Distances do not change with the origin; one amid the centres keeps products small.
+    middle = centers.mean(axis=0)
+    x, centers = x - middle, centers - middle
+    apart = (centers * centers).sum(axis=1)[None, :] - 2 * (x @ centers.T)
+    length = (x * x).sum(axis=1)
+    at = 0
+    for size in sizes:
+        group = apart[:, at : at + size]
+        found = group.argmin(axis=1)
+        yield found, np.maximum(group[np.arange(len(x)), found] + length, 0.0)
+        at += size
+
+
+def _moved_in_step(
+    points: DataFrame, starts: list[np.ndarray], max_iter: int, tol: float = 1e-4
+) -> list[tuple[np.ndarray, float]]:
+    """Centres and cost of every start after the moves of k-means."""
+    # A pass sends sums of centres from every task, so tasks follow the cores, not the rows.
+    tasks = max(2, min(MOST_PASS_TASKS, points.sparkSession.sparkContext.defaultParallelism))
+    blocks = _packed(points).repartition(tasks).persist()
+    ended = [(centers, 0.0) for centers in starts]
+    moving = list(range(len(starts)))
+    try:
+        for _ in range(max_iter):
+            if not moving:
+                break
+            centers = [ended[i][0] for i in moving]
+            totals, counts, costs = _pass_over(blocks, centers)
+            at, still = 0, []
+            for i, old, cost in zip(moving, centers, costs):
+                part = slice(at, at + len(old))
+                at += len(old)
+                filled = counts[part, None] > 0
+                new = np.where(filled, totals[part] / np.maximum(counts[part, None], 1), old)
+                ended[i] = (new, float(cost))
+                if (((new - old) ** 2).sum(axis=1) > tol * tol).any():
+                    still.append(i)
+            moving = still
+    finally:
+        blocks.unpersist()
+    return ended
+
+
+def _pass_over(blocks: DataFrame, groups: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per centre the sum and number of its points, per group of centres the cost."""
+    sizes = [len(g) for g in groups]
+    centers = np.concatenate(groups)
+    d = centers.shape[1]
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals, counts, costs = np.zeros(centers.shape), np.zeros(len(centers)), np.zeros(len(sizes))
+        for frame in frames:
+            for block in frame["block"]:
+                x = np.frombuffer(block).reshape(-1, d)
+                member = np.zeros((len(x), len(centers)))
+                at = 0
+                for g, (found, squared) in enumerate(_nearest(x, centers, sizes)):
+                    member[np.arange(len(x)), at + found] = 1.0
+                    costs[g] += squared.sum()
+                    at += sizes[g]
+                totals += member.T @ x
+                counts += member.sum(axis=0)
+        yield pd.DataFrame({"totals": [totals.tobytes()], "counts": [counts.tobytes()], "costs": [costs.tobytes()]})
+
+    parts = blocks.mapInPandas(add, "totals binary, counts binary, costs binary").collect()
+    totals, counts, costs = (sum(np.frombuffer(p[name]) for p in parts) for name in ("totals", "counts", "costs"))
+    return totals.reshape(-1, d), counts, costs
 
 
 def kmeans(points: DataFrame, k: int, seed: int = 42, n_init: int = 10, parallelism: int = 4) -> DataFrame:
@@ -98,12 +192,18 @@ def kmeans(points: DataFrame, k: int, seed: int = 42, n_init: int = 10, parallel
     return with_labels(points, [model]).select(*points.columns, F.col("labels")[0].alias("label"))
 
 
-def with_labels(points: DataFrame, models: list[KMeansModel]) -> DataFrame:
-    """``points`` with ``labels``: the cluster under every model, found in one pass."""
-    out = _vectors(points)
-    for i, model in enumerate(models):
-        out = model.copy().setFeaturesCol("features").setPredictionCol(f"_label_{i}").transform(out)
-    return out.select(*points.columns, F.array(*[f"_label_{i}" for i in range(len(models))]).alias("labels"))
+def with_labels(points: DataFrame, models: list[np.ndarray]) -> DataFrame:
+    """``points`` with ``labels``: the nearest of every model's centres, found in one pass."""
+    centers, sizes = np.concatenate(models), [len(m) for m in models]
+
+    @F.pandas_udf("array<int>")
+    def nearest(x: pd.Series) -> pd.Series:
+        if len(x) == 0:
+            return pd.Series([], dtype=object)
+        found = [f for f, _ in _nearest(np.stack(x.to_numpy()).astype(float), centers, sizes)]
+        return pd.Series(list(np.stack(found, axis=1).astype("int32")))
+
+    return points.select("*", nearest("x").alias("labels"))
 
 
 def choose_k(

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
 from tablegauge.operators import clustering, density, metrics
@@ -239,3 +240,26 @@ def test_silhouette_with_ties_and_many_small_clusters(spark, monkeypatch):
         monkeypatch.setattr(clustering, "BROADCAST_ROWS", known)
         got = {r.variant: r.silhouette for r in clustering.silhouettes(frame, 32).collect()}
         assert [got[0], got[1]] == pytest.approx(want, abs=1e-9)
+
+
+def test_fits_move_in_step_and_end_as_the_engines(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(c, 0.6, (50, 2)) for c in ([0, 0], [4, 0], [0, 4])]) + 1000
+    points = make_points(spark, x).coalesce(1)
+    passes = []
+    inner = clustering._pass_over
+    monkeypatch.setattr(clustering, "_pass_over", lambda blocks, groups: passes.append(len(groups)) or inner(blocks, groups))
+    found = clustering.kmeans_models(points, [2, 3], [7, 9], n_init=3)
+    # One pass serves all fits, not one job per fit and move.
+    assert passes[0] == 12 and len(passes) <= 60 and sum(passes) > 2 * len(passes)
+    vectors = clustering._vectors(points).select("features").persist()
+    for (k, seed), centers in found.items():
+        fits = [KMeans(k=k, seed=seed * 1000 + i, maxIter=300, tol=1e-4).fit(vectors) for i in range(3)]
+        best = min(fits, key=lambda m: m.summary.trainingCost)
+        assert centers[centers[:, 0].argsort()] == pytest.approx(
+            np.array(sorted(map(list, best.clusterCenters()))), abs=1e-6
+        )
+    labels = clustering.with_labels(points, list(found.values())).orderBy("id").collect()
+    for v, centers in enumerate(found.values()):
+        nearest = ((x[:, None] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
+        assert [r["labels"][v] for r in labels] == nearest.tolist()

@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 
 from tablegauge.functions.arrays import squared_distance
 from tablegauge.functions.scalars import number_columns, present
+from tablegauge.operators.far_field import FAR_AXES, MOST_CLUSTERS, silhouettes_by_cells
 from tablegauge.operators.metrics import adjusted_rand
 from tablegauge.session import BROADCAST_ROWS, checkpoint, if_small
 
 # Points per side of a block whose distances one task works out at a time.
 BLOCK_ROWS = 8_192
 _CHUNK = 512
+# Points of few coordinates above which cells far away are summed as a whole.
+CELLS_ABOVE = 8_192
 MOST_PAIR_TASKS = 10_000
 # Points in one packed matrix of a k-means pass.
 PACK_ROWS = 4_096
@@ -437,6 +440,7 @@ def _block_pairs(
 def silhouettes(labelled: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(variant, silhouette)`` with plain Euclidean distances over all pairs of points.
 
+    Points of few coordinates go by ``far_field``, with results equal to within rounding at 1e-9.
     All labelings share the distances: a block pair is measured once and summed per cluster
     for each labeling. A cluster that lies wholly in one block is finished there, and only
     the nearest of such clusters is reported; sums are reported for the others and for the
@@ -447,6 +451,10 @@ def silhouettes(labelled: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     if sizes.count() <= BROADCAST_ROWS:
         known = {(r["variant"], r["label"]): r["size"] for r in sizes.collect()}
 
+    d = dimensions(labelled)
+    if known and len(known) <= MOST_CLUSTERS and d <= FAR_AXES and labelled.count() > CELLS_ABOVE:
+        return silhouettes_by_cells(labelled, known, d)
+
     def sums(
         own: np.ndarray, ids: np.ndarray, other: np.ndarray, present: list, distances: np.ndarray
     ) -> list[pd.DataFrame]:

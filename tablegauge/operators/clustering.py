@@ -22,8 +22,14 @@ from tablegauge.operators.metrics import adjusted_rand
 from tablegauge.session import BROADCAST_ROWS, checkpoint, if_small
 
 # Points per side of a block whose distances one task works out at a time.
-BLOCK_ROWS = 8_192
+BLOCK_ROWS = 16_384
 _CHUNK = 512
+# Squared distances, relative to the largest, below which products would lose digits.
+CANCELLING = 1e-6
+# Coordinates above which distances come from matrix products.
+PRODUCT_AXES = 4
+# Clusters in a block up to which their sums come from matrix products.
+PRODUCT_CLUSTERS = 256
 # Points of few coordinates above which cells far away are summed as a whole.
 CELLS_ABOVE = 8_192
 MOST_PAIR_TASKS = 10_000
@@ -356,6 +362,8 @@ def _calinski_harabasz(spreads: DataFrame, d: int) -> DataFrame:
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distances of all rows of ``a`` to all rows of ``b``."""
+    if a.shape[1] > PRODUCT_AXES and len(b):
+        return _distances_by_products(a, b)
     # Differences first: products of large coordinates would cancel.
     squared = np.zeros((len(a), len(b)))
     for i in range(a.shape[1]):
@@ -364,6 +372,23 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(squared)
 
 
+def _distances_by_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances by one matrix product; differences decide where it would cancel."""
+    # Distances do not change with the origin; one amid the points keeps products small.
+    middle = b.mean(axis=0)
+    ca, cb = a - middle, b - middle
+    na, nb = (ca * ca).sum(axis=1), (cb * cb).sum(axis=1)
+    left = np.concatenate([-2 * ca, na[:, None], np.ones((len(a), 1))], axis=1)
+    right = np.concatenate([cb, np.ones((len(b), 1)), nb[:, None]], axis=1)
+    squared = left @ right.T
+    i, j = np.nonzero(squared <= CANCELLING * (na.max(initial=0.0) + nb.max()))
+    for at in range(0, len(i), 1 << 16):
+        part = slice(at, at + (1 << 16))
+        gap = a[i[part]] - b[j[part]]
+        squared[i[part], j[part]] = np.einsum("ij,ij->i", gap, gap)
+    return np.sqrt(squared, out=squared)
+
+
 def _block_count(rows: int, block_rows: int, parallelism: int) -> int:
     """Blocks to cut the rows into: small enough for a task, enough to keep tasks busy."""
     return max(1, -(-rows // block_rows), min(-(-rows // 256), int(parallelism**0.5) + 1))
@@ -455,30 +480,23 @@ def silhouettes(labelled: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     if known and len(known) <= MOST_CLUSTERS and d <= FAR_AXES and labelled.count() > CELLS_ABOVE:
         return silhouettes_by_cells(labelled, known, d)
 
-    def sums(
-        own: np.ndarray, ids: np.ndarray, other: np.ndarray, present: list, distances: np.ndarray
-    ) -> list[pd.DataFrame]:
-        """Lines of the points ``ids``; ``present`` holds per labeling the other block's clusters."""
-        out = []
-        for v, (clusters, order, starts, whole, size) in enumerate(present):
-            mine = own[:, v]
-            inside = ~np.isnan(mine)
-            if not inside.any() or len(clusters) == 0:
-                continue
-            mine, who = mine[inside], ids[inside]
-            part = np.add.reduceat(distances[inside][:, order], starts, axis=1)
-            of_own = mine[:, None] == clusters[None, :]
-            finished = whole[None, :] & ~of_own
-            rows, columns = np.nonzero(~finished)
-            out.append(_lines(v, who[rows], mine[rows], clusters[columns], part[rows, columns]))
-            if finished.any():
-                nearest = np.where(finished, part / size[None, :], np.inf).min(axis=1)
-                rows = np.flatnonzero(np.isfinite(nearest))
-                out.append(_lines(v, who[rows], mine[rows], np.full(len(rows), np.nan), nearest[rows]))
+    def lines_of(own: np.ndarray, ids: np.ndarray, there: tuple, part: np.ndarray, v: int) -> list[pd.DataFrame]:
+        """Lines of the points ``ids`` from their sums to the other block's clusters under one labeling."""
+        clusters, _, _, whole, size = there
+        if len(ids) == 0 or len(clusters) == 0:
+            return []
+        of_own = own[:, None] == clusters[None, :]
+        finished = whole[None, :] & ~of_own
+        rows, columns = np.nonzero(~finished)
+        out = [_lines(v, ids[rows], own[rows], clusters[columns], part[rows, columns])]
+        if finished.any():
+            nearest = np.where(finished, part / size[None, :], np.inf).min(axis=1)
+            rows = np.flatnonzero(np.isfinite(nearest))
+            out.append(_lines(v, ids[rows], own[rows], np.full(len(rows), np.nan), nearest[rows]))
         return out
 
     def clusters_of(labels: np.ndarray) -> list:
-        """Per labeling: cluster numbers, columns in cluster order, where each starts, whether it
+        """Per labeling: cluster numbers, rows in cluster order, where each starts, whether it
         is complete, and its size."""
         out = []
         for v in range(labels.shape[1]):
@@ -491,24 +509,56 @@ def silhouettes(labelled: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             out.append((clusters, order, starts, total == counts, total))
         return out
 
+    def membership(there: list, rows: int) -> np.ndarray | None:
+        """1 where a point is in a cluster, the labelings side by side; none if these are many."""
+        if sum(len(t[0]) for t in there) > PRODUCT_CLUSTERS:
+            return None
+        found = [np.zeros((rows, len(t[0]))) for t in there]
+        for member, (clusters, order, starts, _, _) in zip(found, there):
+            for c, at in enumerate(np.split(order, starts[1:]) if len(clusters) else []):
+                member[at, c] = 1.0
+        return np.concatenate(found, axis=1)
+
+    def sums(own: np.ndarray, ids: np.ndarray, there: list, summed: np.ndarray | None, distances: np.ndarray | None):
+        """Lines of the points ``ids`` under all labelings, from sums by cluster or from distances."""
+        out, at = [], 0
+        for v, entry in enumerate(there):
+            inside = ~np.isnan(own[:, v])
+            n = len(entry[0])
+            if inside.any() and n:
+                if summed is not None:
+                    part = summed[inside, at : at + n]
+                else:
+                    part = np.add.reduceat(distances[inside][:, entry[1]], entry[2], axis=1)
+                out += lines_of(own[inside, v], ids[inside], entry, part, v)
+            at += n
+        return out
+
     def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         xa, xb = np.stack(a["x"].to_numpy()), np.stack(b["x"].to_numpy())
         la = np.array(a["labels"].tolist(), dtype=np.float64)
         lb = np.array(b["labels"].tolist(), dtype=np.float64)
         ia, ib = a["id"].to_numpy(), b["id"].to_numpy()
         same_block = a["_i"].iloc[0] == a["_j"].iloc[0]
-        in_b = clusters_of(lb)
+        in_a, in_b = clusters_of(la), clusters_of(lb)
+        of_a, of_b = membership(in_a, len(a)), membership(in_b, len(b))
+        # Sums of the other side come from the same distances.
+        back = None if same_block or of_a is None else np.zeros((len(b), of_a.shape[1]))
         out = []
         for at in range(0, len(a), _CHUNK):
             piece = slice(at, at + _CHUNK)
             distances = _distances(xa[piece], xb)
-            distances[ia[piece][:, None] == ib[None, :]] = 0.0
-            out += sums(la[piece], ia[piece], lb, in_b, distances)
-        if not same_block:
-            in_a = clusters_of(la)
+            if same_block:
+                distances[ia[piece][:, None] == ib[None, :]] = 0.0
+            out += sums(la[piece], ia[piece], in_b, None if of_b is None else distances @ of_b, distances)
+            if back is not None:
+                back += distances.T @ of_a[piece]
+        if back is not None:
+            out += sums(lb, ib, in_a, back, None)
+        elif not same_block:
             for at in range(0, len(b), _CHUNK):
                 piece = slice(at, at + _CHUNK)
-                out += sums(lb[piece], ib[piece], la, in_a, _distances(xb[piece], xa))
+                out += sums(lb[piece], ib[piece], in_a, None, _distances(xb[piece], xa))
         return pd.concat(out, ignore_index=True) if out else _lines(0, *[np.empty(0)] * 4)
 
     placed, blocks = _placed_by_locality(labelled.select("id", "x", "labels"), block_rows)

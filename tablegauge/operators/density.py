@@ -179,12 +179,17 @@ def _neighbour_counts(
         .agg(F.count(F.lit(1)).alias("seen"))
     )
     zero = F.lit(0).cast("bigint")
-    return (
-        sized.join(sure, ["e", "id"], "left")
+    names = ["e", "cell", "id", "x", "n", "part", "hits"]
+    # Points of dense cells are settled where they are; only the others meet their counts.
+    settled = sized.where(F.col("n") >= cap).withColumn("hits", F.col("n")).select(*names)
+    looked_at = (
+        sized.where(F.col("n") < cap)
+        .join(sure, ["e", "id"], "left")
         .join(measured, ["e", "id"], "left")
         .withColumn("hits", F.col("n") + F.coalesce("sure", zero) + F.coalesce("seen", zero))
-        .select("e", "cell", "id", "x", "n", "part", "hits")
+        .select(*names)
     )
+    return settled.unionByName(looked_at)
 
 
 def _core_clusters(
@@ -234,7 +239,7 @@ def _core_clusters(
 def _labels(each: DataFrame, core_labels: DataFrame, near: DataFrame, radii: list[float], d: int) -> DataFrame:
     """Core points take their cell's cluster, others the smallest cluster of a core neighbour."""
     own = core_labels.select("setting", "cell", "cluster")
-    here = each.join(if_small(own), ["setting", "cell"], "left")
+    here = each.join(if_small(own), ["setting", "cell"], "left").select("setting", "id", "core", "cluster")
     loose = each.where("not core").select("setting", "e", "cell", "id", "x")
     sizes = each.where("core").groupBy("setting", "cell").agg(F.max("n").alias("n_other"))
     targets = own.join(sizes, ["setting", "cell"]).select(
@@ -253,10 +258,11 @@ def _labels(each: DataFrame, core_labels: DataFrame, near: DataFrame, radii: lis
         .groupBy("setting", "id")
         .agg(F.min("cluster").alias("reached"))
     )
-    label = F.when(F.col("core"), F.col("cluster")).otherwise(F.least("cluster", "reached"))
-    return here.join(touched, ["setting", "id"], "left").select(
-        "setting", "id", F.coalesce(label, F.lit(NOISE)).cast("int").alias("label")
-    )
+    # Core points have their label; only the others meet what they touch.
+    rim = here.where("not core").join(touched, ["setting", "id"], "left")
+    rim = rim.select("setting", "id", F.least("cluster", "reached").alias("label"))
+    labels = here.where("core").select("setting", "id", F.col("cluster").alias("label")).unionByName(rim)
+    return labels.select("setting", "id", F.coalesce("label", F.lit(NOISE)).cast("int").alias("label"))
 
 
 def dbscan_sweep(

@@ -263,3 +263,21 @@ def test_fits_move_in_step_and_end_as_the_engines(spark, monkeypatch):
     for v, centers in enumerate(found.values()):
         nearest = ((x[:, None] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
         assert [r["labels"][v] for r in labels] == nearest.tolist()
+
+
+def test_wide_distances_by_products(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(1e4, 1, (300, 24))
+    x[100:140], x[140:150] = x[:40], x[0] + 1e-7
+    plain = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    assert np.allclose(clustering._distances_by_products(x[:120], x), plain[:120], rtol=1e-7, atol=1e-14)
+    lab = [rng.integers(0, 4, len(x)), np.arange(len(x)) // 7]
+    frame = spark.createDataFrame(
+        [(i, [float(c) for c in x[i]], [int(lab[0][i]), int(lab[1][i])]) for i in range(len(x))],
+        "id bigint, x array<double>, labels array<int>",
+    )
+    # Both ways to sum: by products where clusters are few, in cluster order elsewhere.
+    for most in (256, 0):
+        monkeypatch.setattr(clustering, "PRODUCT_CLUSTERS", most)
+        got = {r.variant: r.silhouette for r in clustering.silhouettes(frame, 64).collect()}
+        assert [got[0], got[1]] == pytest.approx([brute_silhouette(x, lab[0]), brute_silhouette(x, lab[1])], abs=1e-8)

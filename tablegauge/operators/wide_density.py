@@ -26,6 +26,8 @@ PIVOTS = 16
 PIVOT_SAMPLE = 1_024
 # Points per side of a comparison.
 BLOCK_ROWS = 2_048
+# Blocks that travel together at most.
+SLAB_BLOCKS = 16
 # Rings of one pivot's cell before they are split by hash.
 RINGS = 256
 # Steps that a range of pivot distances is cut into for the range join.
@@ -133,18 +135,23 @@ def within(xa: np.ndarray, xb: np.ndarray, radii: Sequence[float]) -> list[np.nd
 
     Products decide where they are clear, differences of the coordinates elsewhere.
     """
-    na, nb = (xa * xa).sum(axis=1), (xb * xb).sum(axis=1)
-    squared = na[:, None] + nb[None, :] - 2 * (xa @ xb.T)
-    unsure = ROUNDING * (na[:, None] + nb[None, :])
+    # Distances do not change with the origin; one amid the points keeps products small.
+    middle = xb.mean(axis=0)
+    ca, cb = xa - middle, xb - middle
+    na, nb = (ca * ca).sum(axis=1), (cb * cb).sum(axis=1)
+    left = np.concatenate([-2 * ca, na[:, None], np.ones((len(ca), 1))], axis=1)
+    squared = left @ np.concatenate([cb, np.ones((len(cb), 1)), nb[:, None]], axis=1).T
+    unsure = ROUNDING * (na.max() + nb.max())
     out = []
     for radius in radii:
         limit = radius * radius
-        hit = squared <= limit
-        i, j = np.nonzero(np.abs(squared - limit) <= unsure)
-        for start in range(0, len(i), 1 << 16):
-            part = slice(start, start + (1 << 16))
-            gap = xa[i[part]] - xb[j[part]]
-            hit[i[part], j[part]] = np.einsum("ij,ij->i", gap, gap) <= limit
+        hit, loose = squared <= limit - unsure, squared <= limit + unsure
+        if np.count_nonzero(hit) != np.count_nonzero(loose):
+            i, j = np.nonzero(loose & ~hit)
+            for start in range(0, len(i), 1 << 16):
+                part = slice(start, start + (1 << 16))
+                gap = xa[i[part]] - xb[j[part]]
+                hit[i[part], j[part]] = np.einsum("ij,ij->i", gap, gap) <= limit
         out.append(hit)
     return out
 
@@ -175,31 +182,85 @@ def forest(hit: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[list
     return start, end
 
 
-def _over_pairs(placed: DataFrame, pairs: DataFrame, compare: Callable, schema: str) -> DataFrame:
-    """Run ``compare`` on the two blocks of every pair; it gives lines per point, not per pair of points."""
-    left = placed.join(pairs.select(F.col("a").alias("block"), "b"), "block").withColumnRenamed("block", "a")
-    right = placed.select(*[F.col(c).alias(c) for c in placed.columns])
-    right = right.join(pairs.select("a", F.col("b").alias("block")), "block").withColumnRenamed("block", "b")
-    # Few bytes may mean much work, so pairs are dealt out by their number.
-    tasks = max(1, min(10_000, pairs.count()))
-    left, right = left.repartition(tasks, "a", "b"), right.repartition(tasks, "a", "b")
+def merged(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links to the smallest id of each connected part of the given links, one per other id."""
+    ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(ids))
+    while (root[a] != root[b]).any():
+        low = np.minimum(root[a], root[b])
+        for side in (root[a], root[b]):
+            np.minimum.at(root, side, low)
+        while (root[root] != root).any():
+            root = root[root]
+    hung = root != np.arange(len(ids))
+    return ids[hung], ids[root[hung]]
+
+
+def _in_slabs(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(block, slab)`` and ``(i, j, met)``: runs of blocks that travel together, and the pairs of blocks of two runs."""
+    spark = pairs.sparkSession
+    # Blocks are few, one per ``BLOCK_ROWS`` points.
+    blocks = pairs.select("a").union(pairs.select("b")).distinct()
+    numbers = [r[0] for r in blocks.orderBy("a").collect()]
+    n = len(numbers)
+    # Large enough that points are sent seldom, enough of them to keep tasks busy.
+    slabs = max(1, -(-n // SLAB_BLOCKS), min(n, 2 * int(spark.sparkContext.defaultParallelism**0.5) + 1))
+    rows = [(block, at * slabs // n) for at, block in enumerate(numbers)]
+    of = spark.createDataFrame(rows, "block bigint, slab int")
+    first = F.broadcast(of.select(F.col("block").alias("a"), F.col("slab").alias("i")))
+    second = F.broadcast(of.select(F.col("block").alias("b"), F.col("slab").alias("j")))
+    # Slabs keep the order of blocks, so i <= j.
+    met = pairs.join(first, "a").join(second, "b").groupBy("i", "j").agg(F.collect_list(F.struct("a", "b")).alias("met"))
+    return of, checkpoint(met)
+
+
+def _over_pairs(placed: DataFrame, slabs: tuple[DataFrame, DataFrame], compare: Callable, combine: Callable, schema: str) -> DataFrame:
+    """Run ``compare`` on the two blocks of every pair; it gives lines per point, not per pair of points.
+
+    Blocks travel in slabs, so a point is sent once per slab it meets; ``combine`` makes one line
+    per point of those that the pairs of two slabs give.
+    """
+    of, met = slabs
+    here = placed.join(F.broadcast(of), "block")
+    left = here.withColumnRenamed("slab", "i").join(F.broadcast(met.select("i", "j")), "i")
+    right = here.select(*[F.col(c).alias(c) for c in here.columns])
+    right = right.withColumnRenamed("slab", "j").join(F.broadcast(met.select("i", "j")), "j")
+    # Few bytes may mean much work, so pairs of slabs are dealt out by their number.
+    tasks = max(1, min(10_000, met.count()))
+    # The pairs of blocks come as a row of their own, with a block number that no block has.
+    left = left.withColumn("met", F.lit(None).cast("array<struct<a: bigint, b: bigint>>"))
+    listed = met.select("i", "j", "met", F.lit(-1).cast("bigint").alias("block"), F.lit(-1).cast("bigint").alias("id"))
+    left = left.unionByName(listed, allowMissingColumns=True)
+    left, right = left.repartition(tasks, "i", "j"), right.repartition(tasks, "i", "j")
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         found = [pd.DataFrame({n: [] for n in names})]
-        same = a["a"].iloc[0] == a["b"].iloc[0]
-        xa, xb = np.stack(a["x"].to_numpy()), np.stack(b["x"].to_numpy())
-        found += compare(a, b, xa, xb, same)
-        return pd.concat(found, ignore_index=True)[names]
-
-    return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(run, schema)
+        known = a["block"] == -1
+        pairs = [p for listed in a["met"][known] for p in listed]
+        sides = []
+        for frame in (a[~known], b):
+            blocks = {}
+            for block, part in frame.groupby("block"):
+                blocks[block] = (part, np.stack(part["x"].to_numpy()).astype(float))
+            sides.append(blocks)
+        for pair in pairs:
+            one, other = sides[0].get(pair["a"]), sides[1].get(pair["b"])
+            if one is not None and other is not None:
+                found += compare(one[0], other[0], one[1], other[1], pair["a"] == pair["b"])
+        if len(found) == 1:
+            return found[0]
+        return combine(pd.concat(found[1:], ignore_index=True)[names])[names]
+
+    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(run, schema)
 
 
 def _chunks(n: int) -> Iterator[slice]:
     return (slice(at, at + CHUNK) for at in range(0, n, CHUNK))
 
 
-def _neighbour_counts(placed: DataFrame, pairs: DataFrame, radii: list[float]) -> DataFrame:
+def _neighbour_counts(placed: DataFrame, slabs: tuple[DataFrame, DataFrame], radii: list[float]) -> DataFrame:
     """``(id, hits)``: neighbours of each point, itself included, one number per radius."""
 
     def compare(a, b, xa, xb, same):
@@ -213,7 +274,8 @@ def _neighbour_counts(placed: DataFrame, pairs: DataFrame, radii: list[float]) -
         return [pd.DataFrame({"id": frame["id"], **{f"h{e}": n[:, e] for e in range(len(radii))}}) for frame, n in sides]
 
     columns = [f"h{e}" for e in range(len(radii))]
-    lines = _over_pairs(placed, pairs, compare, "id bigint, " + ", ".join(f"{c} bigint" for c in columns))
+    add = lambda found: found.groupby("id", as_index=False).sum()
+    lines = _over_pairs(placed, slabs, compare, add, "id bigint, " + ", ".join(f"{c} bigint" for c in columns))
     return lines.groupBy("id").agg(F.array(*[F.sum(c) for c in columns]).alias("hits"))
 
 
@@ -221,7 +283,7 @@ def _stacked(frame: pd.DataFrame, name: str) -> np.ndarray:
     return np.array(frame[name].tolist(), dtype=float)
 
 
-def _core_links(placed: DataFrame, pairs: DataFrame, settings: list[tuple[int, int]], radii: list[float]) -> DataFrame:
+def _core_links(placed: DataFrame, slabs: tuple[DataFrame, DataFrame], settings: list[tuple[int, int]], radii: list[float]) -> DataFrame:
     """``(setting, u, v)``: links that join core points as their distances do, a forest per pair of blocks."""
 
     def compare(a, b, xa, xb, same):
@@ -236,10 +298,17 @@ def _core_links(placed: DataFrame, pairs: DataFrame, settings: list[tuple[int, i
                 out.append(pd.DataFrame({"setting": np.int32(s), "u": u, "v": v}))
         return out
 
-    return _over_pairs(placed, pairs, compare, "setting int, u bigint, v bigint")
+    def join(found: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for s, links in found.groupby("setting"):
+            u, v = merged(links["u"].to_numpy(), links["v"].to_numpy())
+            out.append(pd.DataFrame({"setting": np.int32(s), "u": u, "v": v}))
+        return pd.concat(out, ignore_index=True)
+
+    return _over_pairs(placed, slabs, compare, join, "setting int, u bigint, v bigint")
 
 
-def _reached(placed: DataFrame, pairs: DataFrame, settings: list[tuple[int, int]], radii: list[float]) -> DataFrame:
+def _reached(placed: DataFrame, slabs: tuple[DataFrame, DataFrame], settings: list[tuple[int, int]], radii: list[float]) -> DataFrame:
     """``(setting, id, reached)``: for points that are no core points the smallest cluster of a core neighbour."""
 
     def compare(a, b, xa, xb, same):
@@ -264,7 +333,8 @@ def _reached(placed: DataFrame, pairs: DataFrame, settings: list[tuple[int, int]
                     out.append(pd.DataFrame(found))
         return out
 
-    lines = _over_pairs(placed, pairs, compare, "setting int, id bigint, reached int")
+    least = lambda found: found.groupby(["setting", "id"], as_index=False).min()
+    lines = _over_pairs(placed, slabs, compare, least, "setting int, id bigint, reached int")
     return lines.groupBy("setting", "id").agg(F.min("reached").alias("reached"))
 
 
@@ -280,13 +350,14 @@ def dbscan_by_pivots(
     numbered = [(radii.index(e), m) for e, m in settings]
     placed, blocks = metric_blocks(points, n_pivots, block_rows)
     pairs = near_blocks(blocks, radii[-1], n_pivots)
-    hits = _neighbour_counts(placed, pairs, radii)
+    slabs = _in_slabs(pairs)
+    hits = _neighbour_counts(placed, slabs, radii)
     core = F.array(*[F.col("hits")[e] >= m for e, m in numbered])
     placed = checkpoint(placed.join(hits, "id").select("id", "x", "block", core.alias("cores")))
     # Point ids and settings; settings are few.
     each = placed.select("id", F.posexplode("cores").alias("setting", "core"))
     nodes = each.where("core").select("setting", F.col("id").alias("node"))
-    links = checkpoint(_core_links(placed, pairs, numbered, radii).distinct())
+    links = checkpoint(_core_links(placed, slabs, numbered, radii).distinct())
     clusters = numbered_parts(connected(nodes, links))
     per_point = clusters.groupBy(F.col("node").alias("id")).agg(
         F.map_from_entries(F.collect_list(F.struct("setting", "cluster"))).alias("of")
@@ -294,6 +365,6 @@ def dbscan_by_pivots(
     chosen = F.array(*[F.try_element_at("of", F.lit(s)) for s in range(len(numbered))]).cast("array<int>")
     known = placed.select("id", "x", "block").join(per_point, "id", "left")
     known = checkpoint(known.select("id", "x", "block", chosen.alias("clusters")))
-    reached = _reached(known, pairs, numbered, radii)
+    reached = _reached(known, slabs, numbered, radii)
     labelled = known.select("id", F.posexplode("clusters").alias("setting", "cluster")).join(reached, ["setting", "id"], "left")
     return labelled.select("setting", "id", F.coalesce("cluster", "reached", F.lit(-1)).cast("int").alias("label"))

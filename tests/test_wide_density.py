@@ -67,3 +67,24 @@ def test_wide_points_take_the_index(spark, monkeypatch):
 def test_no_points(spark):
     empty = spark.createDataFrame([], "id bigint, x array<double>")
     assert wide_density.dbscan_by_pivots(empty, [(1.0, 3)]).count() == 0
+
+
+def test_blocks_travel_in_slabs(spark, monkeypatch):
+    monkeypatch.setattr(wide_density, "SLAB_BLOCKS", 8)
+    x = clumps(12)
+    placed, blocks = wide_density.metric_blocks(make_points(spark, x), 4, 8)
+    pairs = wide_density.near_blocks(blocks, 3.0, 4)
+    of, met = wide_density._in_slabs(pairs)
+    slab = {r["block"]: r["slab"] for r in of.collect()}
+    assert len(slab) == blocks.count() > 2 * len(set(slab.values()))
+    listed = {(p["a"], p["b"]) for r in met.collect() for p in r["met"]}
+    assert listed == {(r["a"], r["b"]) for r in pairs.collect()}
+    assert all((slab[p["a"]], slab[p["b"]]) == (r["i"], r["j"]) for r in met.collect() for p in r["met"])
+    got = wide_density.dbscan_by_pivots(make_points(spark, x), [(3.0, 4)], 4, 8).toPandas().sort_values("id").label
+    assert got.tolist() == brute_dbscan(x, 3.0, 4).tolist()
+
+
+def test_merged_links_keep_the_parts():
+    u, v = np.array([5, 9, 9, 20, 31]), np.array([3, 5, 7, 21, 30])
+    low, root = wide_density.merged(u, v)
+    assert dict(zip(low.tolist(), root.tolist())) == {5: 3, 9: 3, 7: 3, 21: 20, 31: 30}

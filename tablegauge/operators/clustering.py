@@ -19,7 +19,7 @@ from tablegauge.functions.arrays import squared_distance
 from tablegauge.functions.scalars import number_columns, present
 from tablegauge.operators.far_field import FAR_AXES, MOST_CLUSTERS, silhouettes_by_cells
 from tablegauge.operators.metrics import adjusted_rand
-from tablegauge.session import BROADCAST_ROWS, checkpoint, if_small
+from tablegauge.session import BROADCAST_ROWS, checkpoint, if_small, spread
 
 # Points per side of a block whose distances one task works out at a time.
 BLOCK_ROWS = 16_384
@@ -35,6 +35,8 @@ CELLS_ABOVE = 8_192
 MOST_PAIR_TASKS = 10_000
 # Points in one packed matrix of a k-means pass.
 PACK_ROWS = 4_096
+# Points whose distances to all centres are worked on at a time: these fit a processor's cache.
+PASS_ROWS = 1_024
 # Tasks of a k-means pass.
 MOST_PASS_TASKS = 256
 # Relative difference of costs below which two fits count as alike.
@@ -90,6 +92,7 @@ def kmeans_models(
     The engine draws the first centres of every fit; then all fits move in step, one pass over
     the points for all that still move, so passes do not grow with the number of fits.
     """
+    points = spread(points)
     data = _vectors(points).select("features").persist()
     jobs = [(k, seed, seed * 1000 + i) for k in ks for seed in seeds for i in range(n_init)]
 
@@ -139,6 +142,30 @@ def _nearest(x: np.ndarray, centers: np.ndarray, sizes: list[int]) -> Iterator[t
         at += size
 
 
+def _members_of(x: np.ndarray, centers: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """1 where a centre is the nearest of its group to a point (the first among equals), and each group's cost.
+
+    A row per centre, so that a group's distances lie side by side and no index of the nearest is needed.
+    """
+    middle = centers.mean(axis=0)
+    x, centers = x - middle, centers - middle
+    apart = (centers * centers).sum(axis=1)[:, None] - 2 * (centers @ x.T)
+    length = (x * x).sum(axis=1)
+    member, costs = np.empty(apart.shape), np.empty(len(sizes))
+    at = 0
+    for g, size in enumerate(sizes):
+        group, inside = apart[at : at + size], member[at : at + size]
+        least = group.min(axis=0)
+        np.equal(group, least, out=inside)
+        unclear = np.flatnonzero(inside.sum(axis=0) != 1)
+        if len(unclear):
+            inside[:, unclear] = 0.0
+            inside[group[:, unclear].argmin(axis=0), unclear] = 1.0
+        costs[g] = np.maximum(least + length, 0.0).sum()
+        at += size
+    return member, costs
+
+
 def _moved_in_step(
     points: DataFrame, starts: list[np.ndarray], max_iter: int, tol: float = 1e-4
 ) -> list[tuple[np.ndarray, float]]:
@@ -179,15 +206,13 @@ def _pass_over(blocks: DataFrame, groups: list[np.ndarray]) -> tuple[np.ndarray,
         totals, counts, costs = np.zeros(centers.shape), np.zeros(len(centers)), np.zeros(len(sizes))
         for frame in frames:
             for block in frame["block"]:
-                x = np.frombuffer(block).reshape(-1, d)
-                member = np.zeros((len(x), len(centers)))
-                at = 0
-                for g, (found, squared) in enumerate(_nearest(x, centers, sizes)):
-                    member[np.arange(len(x)), at + found] = 1.0
-                    costs[g] += squared.sum()
-                    at += sizes[g]
-                totals += member.T @ x
-                counts += member.sum(axis=0)
+                whole = np.frombuffer(block).reshape(-1, d)
+                for at in range(0, len(whole), PASS_ROWS):
+                    x = whole[at : at + PASS_ROWS]
+                    member, cost = _members_of(x, centers, sizes)
+                    totals += member @ x
+                    counts += member.sum(axis=1)
+                    costs += cost
         yield pd.DataFrame({"totals": [totals.tobytes()], "counts": [counts.tobytes()], "costs": [costs.tobytes()]})
 
     parts = blocks.mapInPandas(add, "totals binary, counts binary, costs binary").collect()
@@ -219,6 +244,7 @@ def choose_k(
     points: DataFrame, ks: Iterable[int] = range(2, 11), seed: int = 42, n_init: int = 10, parallelism: int = 4
 ) -> DataFrame:
     """``(k, silhouette, davies_bouldin, calinski_harabasz, is_best)`` for every k."""
+    points = checkpoint(spread(points))
     models = kmeans_models(points, ks, [seed], n_init, parallelism=parallelism)
     return score_ks(with_labels(points, list(models.values())), [k for k, _ in models])
 

@@ -27,7 +27,7 @@ from tablegauge.functions.arrays import squared_distance
 from tablegauge.operators.clustering import SCORES, cluster_scores, dimensions
 from tablegauge.operators.linking import connected, numbered_parts
 from tablegauge.operators.wide_density import dbscan_by_pivots
-from tablegauge.session import checkpoint, checkpoint_counting, if_small
+from tablegauge.session import checkpoint, checkpoint_counting, if_small, spread
 
 NOISE = -1
 # Points of one cell that are read together.
@@ -59,7 +59,7 @@ def dbscan_many(points: DataFrame, settings: Sequence[tuple[float, int]]) -> Dat
     radii = sorted({e for e, _ in settings})
     caps = {e: max(m for f, m in settings if f == e) for e in radii}
 
-    grid = _cells(points, radii, d)
+    grid = _cells(spread(points), radii, d)
     cells = grid.groupBy("e", "cell").agg(F.count(F.lit(1)).alias("n"))
     near = checkpoint(_near_cells(cells, radii, d))
     sized = checkpoint(_with_cell_size(grid, cells))
@@ -72,7 +72,15 @@ def dbscan_many(points: DataFrame, settings: Sequence[tuple[float, int]]) -> Dat
     each = checkpoint(each.drop("min_samples", "hits"))
 
     core_cells = (
-        each.where("core").groupBy("setting", "e", "cell").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("m"))
+        each.where("core")
+        .groupBy("setting", "e", "cell")
+        .agg(
+            F.min("id").alias("node"),
+            F.count(F.lit(1)).alias("m"),
+            # NaN is near to nothing and must not widen the box.
+            F.array(*[F.min(F.nanvl(F.col("x")[k], F.lit(None).cast("double"))) for k in range(d)]).alias("low"),
+            F.array(*[F.max(F.nanvl(F.col("x")[k], F.lit(None).cast("double"))) for k in range(d)]).alias("high"),
+        )
     )
     witness = each.where("core").select("setting", F.col("id").alias("node"), "x")
     core_cells = checkpoint(core_cells.join(witness, ["setting", "node"]))
@@ -151,6 +159,15 @@ def _to_box(radii: list[float], d: int, farthest: bool) -> Column:
     return out
 
 
+def _apart(low: Column, high: Column, d: int) -> Column:
+    """Squared distance of the box from ``low`` to ``high`` to that of the other cell's core points."""
+    out = F.lit(0.0)
+    for k in range(d):
+        step = F.greatest(F.col("low_other")[k] - high[k], low[k] - F.col("high_other")[k], F.lit(0.0))
+        out = out + step * step
+    return out
+
+
 def _within(radii: list[float], d: int) -> Column:
     eps = _pick(radii)
     return squared_distance(F.col("x"), F.col("y"), d) <= eps * eps
@@ -190,14 +207,20 @@ def _neighbour_counts(
 def _core_clusters(
     each: DataFrame, core_cells: DataFrame, near: DataFrame, radii: list[float], d: int
 ) -> DataFrame:
-    """``(setting, node, root)``: for each core cell the smallest core id of its cluster."""
-    a = core_cells.select("setting", "e", "cell", "node", "x", "m")
+    """``(setting, node, root)``: for each core cell the smallest core id of its cluster.
+
+    The box around a cell's core points is often smaller than the cell, so many cell pairs
+    need no look at their points.
+    """
+    a = core_cells.select("setting", "e", "cell", "node", "x", "m", "low", "high")
     b = core_cells.select(
         "setting", "e", F.col("cell").alias("other"), F.col("node").alias("peer"), F.col("x").alias("y"),
-        F.col("m").alias("m_other"),
+        F.col("m").alias("m_other"), F.col("low").alias("low_other"), F.col("high").alias("high_other"),
     )
-    pairs = near.join(a, ["e", "cell"]).join(b, ["setting", "e", "other"]).where("node < peer")
-    pairs = checkpoint(pairs.withColumn("touch", _within(radii, d)).drop("x", "y", "n_other"))
+    eps = _pick(radii)
+    reachable = _apart(F.col("low"), F.col("high"), d) <= eps * eps * (1 + 1e-9)
+    pairs = near.join(a, ["e", "cell"]).join(b, ["setting", "e", "other"]).where("node < peer").where(reachable)
+    pairs = checkpoint(pairs.withColumn("touch", _within(radii, d)).drop("x", "y", "n_other", "low", "high"))
     nodes = core_cells.select("setting", "node")
     sure = pairs.where("touch").select("setting", F.col("node").alias("u"), F.col("peer").alias("v"))
     roots = connected(nodes, sure)
@@ -209,10 +232,10 @@ def _core_clusters(
     apart, n_apart = checkpoint_counting(apart, F.lit(True))
     if n_apart == 0:
         return roots
-    eps = _pick(radii)
     core = each.where("core").select("setting", "e", "cell", "id", "x", "part", "n")
-    reach = _to_box(radii, d, farthest=False) <= eps * eps * (1 + 1e-9)
-    from_u = core.join(apart.select("setting", "e", "cell", "other", "ru", "rv"), ["setting", "e", "cell"]).where(reach)
+    reach = _apart(F.col("x"), F.col("x"), d) <= eps * eps * (1 + 1e-9)
+    opened = apart.select("setting", "e", "cell", "other", "ru", "rv", "low_other", "high_other")
+    from_u = core.join(opened, ["setting", "e", "cell"]).where(reach)
     size = each.select("setting", F.col("cell").alias("other"), F.col("n").alias("n_other")).distinct()
     from_u = from_u.join(size, ["setting", "other"])
     from_u = from_u.select(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.operators import clustering, density
-from tablegauge.session import checkpoint
+from tablegauge.session import checkpoint, spread
 from tablegauge.sources import sinks
 
 # Scores that stand in where DBSCAN found no clusters.
@@ -46,7 +46,7 @@ def evaluate(
     Where neither method finds two clusters the best model is "no clustering" and all labels are 0.
     """
     spark = points.sparkSession
-    scaled = checkpoint(clustering.scale_points(points))
+    scaled = checkpoint(spread(clustering.scale_points(points)))
 
     models = clustering.kmeans_models(scaled, ks, [seed], n_init, parallelism=parallelism)
     tried = [k for k, _ in models]

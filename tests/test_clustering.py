@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
+from tablegauge import session
 from tablegauge.operators import clustering, density, metrics
 
 
@@ -281,3 +282,49 @@ def test_wide_distances_by_products(spark, monkeypatch):
         monkeypatch.setattr(clustering, "PRODUCT_CLUSTERS", most)
         got = {r.variant: r.silhouette for r in clustering.silhouettes(frame, 64).collect()}
         assert [got[0], got[1]] == pytest.approx([brute_silhouette(x, lab[0]), brute_silhouette(x, lab[1])], abs=1e-8)
+
+
+def test_equal_centres_share_no_point():
+    """A point between equal centres belongs to the first; every group gives each point to one centre."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 2))
+    sizes = [3, 2, 4]
+    groups = [x[[0, 0, 1]], x[[2, 3]], x[[4, 5, 5, 5]]]
+    member, costs = clustering._members_of(x, np.concatenate(groups), sizes)
+    at = 0
+    for centers, cost in zip(groups, costs):
+        squared = ((x[:, None, :] - centers[None]) ** 2).sum(axis=2)
+        inside = member[at : at + len(centers)]
+        assert (inside.sum(axis=0) == 1).all()
+        assert (inside.argmax(axis=0) == squared.argmin(axis=1)).all()
+        assert cost == pytest.approx(squared.min(axis=1).sum())
+        at += len(centers)
+
+
+def test_rows_of_one_file_are_dealt_to_all_cores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tablegauge.session.SPREAD_ROWS", 100)
+    spark.range(5_000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    held = session.spread(one).groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) == spark.sparkContext.defaultParallelism
+    assert max(r["count"] for r in held) < 2 * 5_000 / len(held)
+    assert session.spread(one.limit(100)).count() == 100
+
+
+def test_cells_apart_are_not_opened(spark, monkeypatch):
+    """Points on lines farther apart than the radius, in cells that are not: no points of other lines are read."""
+    rng = np.random.default_rng(5)
+    x = np.stack([np.repeat([0.0, 1.4, 2.8], 200), rng.uniform(0, 0.5, 600)], axis=1)
+    points = make_points(spark, x)
+    read = []
+    counting = density.checkpoint_counting
+
+    def count(df, condition):
+        out = counting(df, condition)
+        read.append(out[1])
+        return out
+
+    monkeypatch.setattr(density, "checkpoint_counting", count)
+    got = [r["label"] for r in density.dbscan(points, 1.0, 5).orderBy("id").collect()]
+    assert got == brute_dbscan(x, 1.0, 5).tolist()
+    assert read == [0]

@@ -19,6 +19,7 @@ from tablegauge.functions.arrays import squared_distance
 from tablegauge.functions.scalars import number_columns, present
 from tablegauge.operators.far_field import FAR_AXES, MOST_CLUSTERS, silhouettes_by_cells
 from tablegauge.operators.metrics import adjusted_rand
+from tablegauge.operators.slab_sums import LINES, cluster_sums
 from tablegauge.session import BROADCAST_ROWS, checkpoint, if_small, spread
 
 # Points per side of a block whose distances one task works out at a time.
@@ -493,7 +494,8 @@ def silhouettes(labelled: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
     Points of few coordinates go by ``far_field``, with results equal to within rounding at 1e-9.
     All labelings share the distances: a block pair is measured once and summed per cluster
-    for each labeling. A cluster that lies wholly in one block is finished there, and only
+    for each labeling. Where clusters are few and points fill several blocks, sums go by ``slab_sums``.
+    Elsewhere a cluster that lies wholly in one block is finished there, and only
     the nearest of such clusters is reported; sums are reported for the others and for the
     point's own. Points alone in their cluster score 0.
     """
@@ -587,9 +589,11 @@ def silhouettes(labelled: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
                 out += sums(lb[piece], ib[piece], in_a, None, _distances(xb[piece], xa))
         return pd.concat(out, ignore_index=True) if out else _lines(0, *[np.empty(0)] * 4)
 
-    placed, blocks = _placed_by_locality(labelled.select("id", "x", "labels"), block_rows)
-    schema = "variant int, id bigint, own int, label int, distance double"
-    parts = _block_pairs(placed, blocks, [], kernel, schema, symmetric=True)
+    if 0 < len(known) <= PRODUCT_CLUSTERS and labelled.count() > block_rows:
+        parts = cluster_sums(labelled, sorted(known), d, block_rows, _distances)
+    else:
+        placed, blocks = _placed_by_locality(labelled.select("id", "x", "labels"), block_rows)
+        parts = _block_pairs(placed, blocks, [], kernel, LINES, symmetric=True)
     totals = parts.groupBy("variant", "id", "own", "label").agg(
         F.sum("distance").alias("distance"), F.min("distance").alias("nearest")
     )

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegauge.operators.linking import connected, numbered_parts
-from tablegauge.session import checkpoint, if_small
+from tablegauge.session import checkpoint, even_keys, if_small
 
 PIVOTS = 16
 # Points from which the pivots are chosen.
@@ -28,12 +28,16 @@ PIVOT_SAMPLE = 1_024
 BLOCK_ROWS = 2_048
 # Blocks that travel together at most.
 SLAB_BLOCKS = 16
+# Pairs of slabs that get a task each; more are dealt out by hash.
+MOST_TASKS = 10_000
 # Rings of one pivot's cell before they are split by hash.
 RINGS = 256
 # Steps that a range of pivot distances is cut into for the range join.
 STEPS = 64
 # Rows of a block whose distances are worked out together.
 CHUNK = 512
+# Pairs of two blocks up to which links are merged as they are; more are put into bits.
+FEW_PAIRS = 16_384
 # Relative error of a matrix product above which differences decide.
 ROUNDING = 1e-9
 
@@ -156,30 +160,71 @@ def within(xa: np.ndarray, xb: np.ndarray, radii: Sequence[float]) -> list[np.nd
     return out
 
 
-def forest(hit: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[list[int], list[int]]:
-    """Links of the ids ``rows`` and ``columns`` to the smallest id of their part of the graph ``hit``."""
-    seen_rows = ~hit.any(axis=1)
-    seen_columns = ~hit.any(axis=0)
-    start: list[int] = []
-    end: list[int] = []
-    for first in range(len(rows)):
-        if seen_rows[first]:
+def close_pairs(xa: np.ndarray, xb: np.ndarray, radii: Sequence[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(i, j, first)``: the rows of ``xa`` and ``xb`` within the last of the ascending ``radii``, and the first they are within.
+
+    Decided as by ``within``, but distances are looked at once; all else costs by the pairs found.
+    """
+    middle = xb.mean(axis=0)
+    ca, cb = xa - middle, xb - middle
+    na, nb = (ca * ca).sum(axis=1), (cb * cb).sum(axis=1)
+    left = np.concatenate([-2 * ca, na[:, None], np.ones((len(ca), 1))], axis=1)
+    squared = left @ np.concatenate([cb, np.ones((len(cb), 1)), nb[:, None]], axis=1).T
+    unsure = ROUNDING * (na.max() + nb.max())
+    limits = np.array([r * r for r in radii])
+    at = np.flatnonzero(squared <= limits[-1] + unsure)
+    i, j = np.divmod(at, len(xb))
+    near = squared.reshape(-1)[at]
+    # Differences decide where products lie close to a limit.
+    unclear = np.flatnonzero((np.abs(near[:, None] - limits[None, :]) <= unsure).any(axis=1))
+    for start in range(0, len(unclear), 1 << 16):
+        part = unclear[start : start + (1 << 16)]
+        gap = xa[i[part]] - xb[j[part]]
+        near[part] = np.einsum("ij,ij->i", gap, gap)
+    first = np.searchsorted(limits, near).astype(np.int16)
+    found = first < len(limits)
+    return i[found].astype(np.int32), j[found].astype(np.int32), first[found]
+
+
+def bits_of(i: np.ndarray, j: np.ndarray, rows: int, columns: int) -> np.ndarray:
+    """The pairs ``(i, j)`` as a row of bits per ``i``."""
+    hit = np.zeros((rows, columns), dtype=bool)
+    hit[i, j] = True
+    return np.packbits(hit, axis=1)
+
+
+def forest(
+    across: np.ndarray, back: np.ndarray, of_rows: np.ndarray, of_columns: np.ndarray, rows: np.ndarray, columns: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the ids ``rows`` and ``columns`` to the smallest id of their part of a graph, one per other id.
+
+    ``across`` holds the bits of the columns that a row meets, ``back`` those of the rows of a column; only
+    rows and columns marked in ``of_rows`` and ``of_columns`` are in the graph.
+    """
+    unseen = np.packbits(of_columns)
+    waiting = of_rows & (across & unseen).any(axis=1)
+    start, end = [], []
+    for first in np.flatnonzero(waiting):
+        if not waiting[first]:
             continue
         part = []
         front = np.array([first])
-        seen_rows[first] = True
+        waiting[first] = False
         while len(front):
-            part += rows[front].tolist()
-            across = np.flatnonzero(hit[front].any(axis=0) & ~seen_columns)
-            seen_columns[across] = True
-            part += columns[across].tolist()
-            front = np.flatnonzero(hit[:, across].any(axis=1) & ~seen_rows)
-            seen_rows[front] = True
-        root = min(part)
-        members = sorted(set(part) - {root})
-        start += members
-        end += [root] * len(members)
-    return start, end
+            part.append(rows[front])
+            met = np.bitwise_or.reduce(across[front], axis=0) & unseen
+            unseen &= ~met
+            met = np.flatnonzero(np.unpackbits(met, count=len(columns)))
+            if not len(met):
+                break
+            part.append(columns[met])
+            front = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(back[met], axis=0), count=len(rows)).view(bool) & waiting)
+            waiting[front] = False
+        ids = np.unique(np.concatenate(part))
+        start.append(ids[1:])
+        end.append(np.full(len(ids) - 1, ids[0]))
+    none = np.empty(0, dtype=np.int64)
+    return np.concatenate([none, *start]), np.concatenate([none, *end])
 
 
 def merged(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,7 +257,12 @@ def _in_slabs(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     second = F.broadcast(of.select(F.col("block").alias("b"), F.col("slab").alias("j")))
     # Slabs keep the order of blocks, so i <= j.
     met = pairs.join(first, "a").join(second, "b").groupBy("i", "j").agg(F.collect_list(F.struct("a", "b")).alias("met"))
-    return of, checkpoint(met)
+    met = checkpoint(met)
+    # Few bytes may mean much work, so every pair of slabs is a task of its own while these are not too many.
+    listed = [(r["i"], r["j"]) for r in met.select("i", "j").collect()]
+    keys = even_keys(spark, len(listed)) if len(listed) <= MOST_TASKS else range(len(listed))
+    keyed = spark.createDataFrame([(i, j, k) for (i, j), k in zip(listed, keys)], "i int, j int, pair bigint")
+    return of, checkpoint(met.join(F.broadcast(keyed), ["i", "j"]))
 
 
 def _over_pairs(placed: DataFrame, slabs: tuple[DataFrame, DataFrame], compare: Callable, combine: Callable, schema: str) -> DataFrame:
@@ -223,16 +273,18 @@ def _over_pairs(placed: DataFrame, slabs: tuple[DataFrame, DataFrame], compare:
     """
     of, met = slabs
     here = placed.join(F.broadcast(of), "block")
-    left = here.withColumnRenamed("slab", "i").join(F.broadcast(met.select("i", "j")), "i")
+    keyed = F.broadcast(met.select("i", "j", "pair"))
+    left = here.withColumnRenamed("slab", "i").join(keyed, "i")
+    # Fresh columns, so that the two sides of one frame stay apart.
     right = here.select(*[F.col(c).alias(c) for c in here.columns])
-    right = right.withColumnRenamed("slab", "j").join(F.broadcast(met.select("i", "j")), "j")
-    # Few bytes may mean much work, so pairs of slabs are dealt out by their number.
-    tasks = max(1, min(10_000, met.count()))
+    right = right.withColumnRenamed("slab", "j").join(keyed, "j")
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
+    tasks = max(1, min(MOST_TASKS, met.count()))
     # The pairs of blocks come as a row of their own, with a block number that no block has.
     left = left.withColumn("met", F.lit(None).cast("array<struct<a: bigint, b: bigint>>"))
-    listed = met.select("i", "j", "met", F.lit(-1).cast("bigint").alias("block"), F.lit(-1).cast("bigint").alias("id"))
+    listed = met.select("i", "j", "pair", "met", F.lit(-1).cast("bigint").alias("block"), F.lit(-1).cast("bigint").alias("id"))
     left = left.unionByName(listed, allowMissingColumns=True)
-    left, right = left.repartition(tasks, "i", "j"), right.repartition(tasks, "i", "j")
+    left, right = left.repartition(tasks, "pair"), right.repartition(tasks, "pair")
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -253,7 +305,7 @@ def _over_pairs(placed: DataFrame, slabs: tuple[DataFrame, DataFrame], compare:
             return found[0]
         return combine(pd.concat(found[1:], ignore_index=True)[names])[names]
 
-    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(run, schema)
+    return left.groupBy("pair").cogroup(right.groupBy("pair")).applyInPandas(run, schema)
 
 
 def _chunks(n: int) -> Iterator[slice]:
@@ -267,9 +319,10 @@ def _neighbour_counts(placed: DataFrame, slabs: tuple[DataFrame, DataFrame], rad
         of_a = np.zeros((len(a), len(radii)), dtype=np.int64)
         of_b = np.zeros((len(b), len(radii)), dtype=np.int64)
         for part in _chunks(len(a)):
-            for e, hit in enumerate(within(xa[part], xb, radii)):
-                of_a[part, e] = hit.sum(axis=1)
-                of_b[:, e] += hit.sum(axis=0)
+            i, j, first = close_pairs(xa[part], xb, radii)
+            for of, at in ((of_a[part], i), (of_b, j)):
+                found = np.bincount(at * len(radii) + first, minlength=of.size).reshape(of.shape)
+                of += found.cumsum(axis=1)
         sides = [(a, of_a)] if same else [(a, of_a), (b, of_b)]
         return [pd.DataFrame({"id": frame["id"], **{f"h{e}": n[:, e] for e in range(len(radii))}}) for frame, n in sides]
 
@@ -289,12 +342,29 @@ def _core_links(placed: DataFrame, slabs: tuple[DataFrame, DataFrame], settings:
     def compare(a, b, xa, xb, same):
         cores_a, cores_b = _stacked(a, "cores"), _stacked(b, "cores")
         ids_a, ids_b = a["id"].to_numpy(), b["id"].to_numpy()
-        hits = [np.concatenate(h) for h in zip(*(within(xa[part], xb, radii) for part in _chunks(len(a))))]
+        # Points that no setting has among the core points join nothing.
+        of_a, of_b = (np.flatnonzero(c.any(axis=1)) for c in (cores_a, cores_b))
+        if not len(of_a) or not len(of_b):
+            return []
+        xa, xb, ids_a, ids_b, cores_a, cores_b = xa[of_a], xb[of_b], ids_a[of_a], ids_b[of_b], cores_a[of_a] > 0, cores_b[of_b] > 0
+        found = []
+        for part in _chunks(len(xa)):
+            i, j, first = close_pairs(xa[part], xb, radii)
+            found.append((i + np.int32(part.start), j, first))
+        i, j, first = (np.concatenate(f) for f in zip(*found))
         out = []
+        bits: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for s, (e, _) in enumerate(settings):
-            i, j = np.flatnonzero(cores_a[:, s]), np.flatnonzero(cores_b[:, s])
-            u, v = forest(hits[e][np.ix_(i, j)], ids_a[i], ids_b[j])
-            if u:
+            hit = first <= e
+            if np.count_nonzero(hit) <= FEW_PAIRS:
+                joined = hit & cores_a[i, s] & cores_b[j, s]
+                u, v = merged(ids_a[i[joined]], ids_b[j[joined]])
+            else:
+                if e not in bits:
+                    near_i, near_j = i[hit], j[hit]
+                    bits[e] = bits_of(near_i, near_j, len(xa), len(xb)), bits_of(near_j, near_i, len(xb), len(xa))
+                u, v = forest(*bits[e], cores_a[:, s], cores_b[:, s], ids_a, ids_b)
+            if len(u):
                 out.append(pd.DataFrame({"setting": np.int32(s), "u": u, "v": v}))
         return out
 
@@ -313,17 +383,21 @@ def _reached(placed: DataFrame, slabs: tuple[DataFrame, DataFrame], settings: li
 
     def compare(a, b, xa, xb, same):
         of_a, of_b = _stacked(a, "clusters"), _stacked(b, "clusters")
+        unknown = np.isnan(np.concatenate([of_a, of_b]))
+        # Settings in which some points lack a cluster and others have one.
+        asked = np.flatnonzero(unknown.any(axis=0) & ~unknown.all(axis=0))
+        if not len(asked):
+            return []
         best_a, best_b = np.full(of_a.shape, np.inf), np.full(of_b.shape, np.inf)
         for part in _chunks(len(a)):
-            hits = within(xa[part], xb, radii)
-            for s, (e, _) in enumerate(settings):
-                hit = hits[e]
-                to_b, to_a = ~np.isnan(of_b[:, s]), ~np.isnan(of_a[part, s])
-                if to_b.any():
-                    best_a[part, s] = np.where(hit[:, to_b], of_b[to_b, s], np.inf).min(axis=1)
-                if to_a.any():
-                    met = np.where(hit[to_a], of_a[part, s][to_a, None], np.inf).min(axis=0)
-                    best_b[:, s] = np.minimum(best_b[:, s], met)
+            i, j, first = close_pairs(xa[part], xb, radii)
+            i += np.int32(part.start)
+            for s in asked:
+                hit = first <= settings[s][0]
+                for own, at, other, met, best in ((of_a, i, of_b, j, best_a), (of_b, j, of_a, i, best_b)):
+                    # Only points without a cluster look for one.
+                    asking = hit & np.isnan(own[:, s])[at] & ~np.isnan(other[:, s])[met]
+                    np.minimum.at(best[:, s], at[asking], other[met[asking], s])
         out = []
         for frame, own, best in [(a, of_a, best_a)] if same else [(a, of_a, best_a), (b, of_b, best_b)]:
             for s in range(len(settings)):

@@ -88,3 +88,48 @@ def test_merged_links_keep_the_parts():
     u, v = np.array([5, 9, 9, 20, 31]), np.array([3, 5, 7, 21, 30])
     low, root = wide_density.merged(u, v)
     assert dict(zip(low.tolist(), root.tolist())) == {5: 3, 9: 3, 7: 3, 21: 20, 31: 30}
+
+
+def test_close_pairs_are_those_within(monkeypatch):
+    rng = np.random.default_rng(1)
+    a = rng.normal(1e5, 1, (60, 20))
+    b = np.concatenate([a[:20], rng.normal(1e5, 1, (30, 20)), a[:10] + np.eye(20)[0] * 3.0])
+    radii = [0.0, 3.0, 5.5, 6.5]
+    i, j, first = wide_density.close_pairs(a, b, radii)
+    for e, hit in enumerate(wide_density.within(a, b, radii)):
+        got = np.zeros_like(hit)
+        got[i[first <= e], j[first <= e]] = True
+        assert (got == hit).all() and hit.any()
+
+
+def test_forest_of_bits_joins_what_links_join():
+    rng = np.random.default_rng(2)
+    rows, columns = rng.permutation(300)[:70] + (1 << 60), rng.permutation(300)[:53] + (1 << 60)
+    for n in (0, 20, 60, 400):
+        i, j = rng.integers(0, 70, n), rng.integers(0, 53, n)
+        of_rows, of_columns = rng.random(70) < 0.8, rng.random(53) < 0.8
+        bits = wide_density.bits_of(i, j, 70, 53), wide_density.bits_of(j, i, 53, 70)
+        u, v = wide_density.forest(*bits, of_rows, of_columns, rows, columns)
+        joined = of_rows[i] & of_columns[j]
+        low, root = wide_density.merged(rows[i[joined]], columns[j[joined]])
+        # The same id may stand on both sides; a further merge settles that.
+        again = wide_density.merged(u, v)
+        assert dict(zip(low.tolist(), root.tolist())) == dict(zip(again[0].tolist(), again[1].tolist()))
+
+
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_sweep_has_a_task_per_pair_of_slabs(spark, monkeypatch, few):
+    monkeypatch.setattr(wide_density, "SLAB_BLOCKS", 8)
+    # No matrix of hits per radius: pairs found are looked at, by bits or as links.
+    monkeypatch.setattr(wide_density, "within", None)
+    monkeypatch.setattr(wide_density, "FEW_PAIRS", few)
+    x = clumps(12)
+    settings = [(e, m) for e in (2.0, 3.0, 4.5) for m in (2, 4, 9)]
+    got = wide_density.dbscan_by_pivots(make_points(spark, x), settings, 4, 16).toPandas()
+    for s, (eps, m) in enumerate(settings):
+        labels = got[got.setting == s].sort_values("id").label.to_numpy()
+        assert labels.tolist() == brute_dbscan(x, eps, m).tolist(), (eps, m)
+    placed, blocks = wide_density.metric_blocks(make_points(spark, x), 4, 16)
+    met = wide_density._in_slabs(wide_density.near_blocks(blocks, 3.0, 4))[1]
+    dealt = met.select("pair").repartition(met.count(), "pair").groupBy(wide_density.F.spark_partition_id().alias("p")).count()
+    assert [r["count"] for r in dealt.collect()] == [1] * met.count()

@@ -53,7 +53,10 @@ def _spark() -> SparkSession:
 def nodes_of(rows: list[Row]) -> Nodes:
     stats = np.array([r["impurityStats"] for r in rows], dtype=float)
     weight = stats.sum(axis=1)
-    impurity = np.array([r["impurity"] for r in rows])
+    impurity = np.array([r["impurity"] for r in rows], dtype=float)
+    # The engine leaves it out, as -1, where it found no split to look at: that of the classes then.
+    unset = impurity < 0
+    impurity[unset] = 1 - ((stats[unset] / weight[unset, None]) ** 2).sum(axis=1)
     return Nodes(
         np.array([r["leftChild"] for r in rows]), np.array([r["rightChild"] for r in rows]), stats, impurity * weight / weight[0]
     )

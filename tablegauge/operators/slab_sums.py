@@ -8,6 +8,7 @@ point and cluster is made.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,8 +46,9 @@ def _packed(labelled: DataFrame, clusters: list[tuple[int, int]], rows: int) ->
                 ids = part["id"].to_numpy().astype(np.int64)
                 yield pd.DataFrame({"n": [len(part)], "ids": [ids.tobytes()], "x": [x.tobytes()], "at": [at.tobytes()]})
 
+    # Points are packed where they lie; fewer tasks only keep many small partitions from making small blocks.
     tasks = max(1, labelled.sparkSession.sparkContext.defaultParallelism)
-    made = labelled.select("id", "x", "labels").repartition(tasks).mapInPandas(pack, "n int, ids binary, x binary, at binary")
+    made = labelled.select("id", "x", "labels").coalesce(tasks).mapInPandas(pack, "n int, ids binary, x binary, at binary")
     return checkpoint(made.withColumn("block", F.monotonically_increasing_id()))
 
 
@@ -65,7 +67,9 @@ def cluster_sums(
     total = sum(n for _, n in numbers)
     held = max(1, SLAB_BYTES // (8 * (d + 2 * n_clusters + 1)))
     slabs = min(len(numbers), max(-(-total // held), 2 * int(spark.sparkContext.defaultParallelism**0.5) + 1))
-    of = spark.createDataFrame([(block, at * slabs // len(numbers)) for at, (block, _) in enumerate(numbers)], "block bigint, slab int")
+    # Blocks differ in size, so slabs are cut by points.
+    before = [0, *itertools.accumulate(n for _, n in numbers)]
+    of = spark.createDataFrame([(block, at * slabs // total) for at, (block, _) in zip(before, numbers)], "block bigint, slab int")
     # Every pair of slabs is a task of its own.
     tasks = slabs * (slabs + 1) // 2
     pairs = [(i, j) for i in range(slabs) for j in range(i, slabs)]

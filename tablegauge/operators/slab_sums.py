@@ -52,6 +52,17 @@ def _packed(labelled: DataFrame, clusters: list[tuple[int, int]], rows: int) ->
     return checkpoint(made.withColumn("block", F.monotonically_increasing_id()))
 
 
+def _pairs(slabs: int) -> list[tuple[int, int, bool]]:
+    """``(held, passing, within)``: every two slabs meet once, ``within`` tells that the held one also meets itself.
+
+    Every slab does that where it meets the next one in a ring, so none is sent for it alone.
+    """
+    if slabs < 3:
+        return [(i, j, i == j) for i in range(slabs) for j in range(i, slabs)]
+    ring = [(i, (i + 1) % slabs, True) for i in range(slabs)]
+    return ring + [(i, j, False) for i in range(slabs) for j in range(i + 2, slabs) if j - i < slabs - 1]
+
+
 def cluster_sums(
     labelled: DataFrame, clusters: list[tuple[int, int]], d: int, block_rows: int, distances: Callable[[np.ndarray, np.ndarray], np.ndarray]
 ) -> DataFrame:
@@ -71,18 +82,17 @@ def cluster_sums(
     before = [0, *itertools.accumulate(n for _, n in numbers)]
     of = spark.createDataFrame([(block, at * slabs // total) for at, (block, _) in zip(before, numbers)], "block bigint, slab int")
     # Every pair of slabs is a task of its own.
-    tasks = slabs * (slabs + 1) // 2
-    pairs = [(i, j) for i in range(slabs) for j in range(i, slabs)]
-    keys = [(i, j, key) for (i, j), key in zip(pairs, even_keys(spark, tasks))]
-    keyed = F.broadcast(spark.createDataFrame(keys, "i int, j int, pair bigint"))
-    placed = packed.drop("n").join(F.broadcast(of), "block")
-    last = F.lit(slabs - 1)
-    kept = placed.select("*", F.col("slab").alias("i"), F.explode(F.sequence("slab", last)).alias("j"), F.lit(0).alias("side"))
-    passing = placed.where(F.col("slab") > 0).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("slab") - 1)).alias("i"), F.col("slab").alias("j"), F.lit(1).alias("side")
-    )
-    same = (F.col("i") == F.col("j")).alias("same")
-    met = kept.unionByName(passing).join(keyed, ["i", "j"]).select("pair", same, "side", "block", "ids", "x", "at")
+    pairs = _pairs(slabs)
+    tasks = len(pairs)
+    # A task's held slab is side 0, the one that passes by is side 1.
+    sent_to = [
+        (slab, key, within, side)
+        for (held, passing, within), key in zip(pairs, even_keys(spark, tasks))
+        for slab, side in ((held, 0), (passing, 1))
+        if side == 0 or held != passing
+    ]
+    sent_to = F.broadcast(spark.createDataFrame(sent_to, "slab int, pair bigint, within boolean, side int"))
+    met = packed.join(F.broadcast(of), "block").join(sent_to, "slab").select("pair", "within", "side", "block", "ids", "x", "at")
     met = met.repartition(tasks, "pair").sortWithinPartitions("pair", "side", "block")
 
     def block_of(batch: pa.RecordBatch, k: int) -> tuple:
@@ -112,15 +122,15 @@ def cluster_sums(
         now, here = None, []
         for batch in batches:
             for k in range(batch.num_rows):
-                pair, same, side = (batch.column(c)[k].as_py() for c in ("pair", "same", "side"))
+                pair, within, side = (batch.column(c)[k].as_py() for c in ("pair", "within", "side"))
                 if pair != now:
                     yield from sent(here)
                     now, here = pair, []
                 one = block_of(batch, k)
-                if same or side:
+                if within or side:
                     for other in here:
                         meet(other, one)
-                if same:
+                if within and not side:
                     meet(one, one)
                 if side:
                     yield from sent([one])

@@ -1,6 +1,10 @@
 """What sums by slabs shuffle: read off the plans."""
 
+from collections import Counter
+
 import numpy as np
+import pytest
+from test_clustering import brute_silhouette
 
 from tablegauge.operators import clustering, slab_sums
 
@@ -23,3 +27,21 @@ def test_points_are_packed_where_they_lie(spark, monkeypatch):
     monkeypatch.setattr(slab_sums, "checkpoint", lambda df: written.append(_plan(df)) or inner(df))
     slab_sums.cluster_sums(frame, [(0, c) for c in range(3)], 6, 32, clustering._distances)
     assert len(written) == 1 and "MapInPandas" in written[0] and "Exchange" not in written[0]
+
+
+@pytest.mark.parametrize("slabs", [1, 2, 3, 4, 7])
+def test_no_slab_travels_to_meet_itself(slabs):
+    pairs = slab_sums._pairs(slabs)
+    met = Counter(frozenset((i, j)) for i, j, _ in pairs if i != j)
+    assert met == Counter(frozenset((i, j)) for i in range(slabs) for j in range(i))
+    assert sorted(i for i, _, within in pairs if within) == list(range(slabs))
+    if slabs > 2:
+        assert all(i != j for i, j, _ in pairs)
+
+
+@pytest.mark.parametrize("slab_bytes", [1 << 26, 1])
+@pytest.mark.parametrize("rows", [5, 30, 50, 75, 149])
+def test_scores_with_few_and_many_slabs(spark, monkeypatch, slab_bytes, rows):
+    monkeypatch.setattr(slab_sums, "SLAB_BYTES", slab_bytes)
+    frame, x, lab = _frame(spark, 150, parts=1)
+    assert clustering.silhouettes(frame, rows).first()["silhouette"] == pytest.approx(brute_silhouette(x, lab), abs=1e-9)

@@ -589,24 +589,33 @@ def silhouettes(labelled: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
                 out += sums(lb[piece], ib[piece], in_a, None, _distances(xb[piece], xa))
         return pd.concat(out, ignore_index=True) if out else _lines(0, *[np.empty(0)] * 4)
 
+    def means_of(parts: DataFrame) -> DataFrame:
+        """``(variant, id, mates, a, b)``: cluster size and mean distances of every point, from its lines."""
+        totals = parts.groupBy("variant", "id", "own", "label").agg(
+            F.sum("distance").alias("distance"), F.min("distance").alias("nearest")
+        )
+        same = F.col("own") == F.col("label")
+        b = F.when(F.col("label").isNull(), F.col("nearest")).when(~same, F.col("distance") / F.col("size"))
+        return (
+            totals.join(if_small(sizes), ["variant", "label"], "left")
+            .groupBy("variant", "id")
+            .agg(
+                F.max(F.when(same, F.col("size"))).alias("mates"),
+                F.max(F.when(same, F.try_divide(F.col("distance"), F.col("size") - 1))).alias("a"),
+                F.min(b).alias("b"),
+            )
+        )
+
     if 0 < len(known) <= PRODUCT_CLUSTERS and labelled.count() > block_rows:
-        parts = cluster_sums(labelled, sorted(known), d, block_rows, _distances)
+        clusters = sorted(known)
+        if labelled.groupBy("id").count().where(F.col("count") > 1).isEmpty():
+            # All sums of a point lie together, so its means need no shuffle.
+            means = cluster_sums(labelled, clusters, d, block_rows, _distances, [known[c] for c in clusters])
+        else:
+            means = means_of(cluster_sums(labelled, clusters, d, block_rows, _distances))
     else:
         placed, blocks = _placed_by_locality(labelled.select("id", "x", "labels"), block_rows)
-        parts = _block_pairs(placed, blocks, [], kernel, LINES, symmetric=True)
-    totals = parts.groupBy("variant", "id", "own", "label").agg(
-        F.sum("distance").alias("distance"), F.min("distance").alias("nearest")
-    )
-    same = F.col("own") == F.col("label")
-    means = (
-        totals.join(if_small(sizes), ["variant", "label"], "left")
-        .groupBy("variant", "id")
-        .agg(
-            F.max(F.when(same, F.col("size"))).alias("mates"),
-            F.max(F.when(same, F.try_divide(F.col("distance"), F.col("size") - 1))).alias("a"),
-            F.min(F.when(F.col("label").isNull(), F.col("nearest")).when(~same, F.col("distance") / F.col("size"))).alias("b"),
-        )
-    )
+        means = means_of(_block_pairs(placed, blocks, [], kernel, LINES, symmetric=True))
     score = F.when(F.col("mates") == 1, F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
     )

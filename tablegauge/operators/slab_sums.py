@@ -27,6 +27,7 @@ SLAB_BYTES = 128 << 20
 CHUNK = 256
 
 LINES = "variant int, id bigint, own int, label int, distance double"
+MEANS = "variant int, id bigint, mates bigint, a double, b double"
 
 
 def _packed(labelled: DataFrame, clusters: list[tuple[int, int]], rows: int) -> DataFrame:
@@ -64,11 +65,18 @@ def _pairs(slabs: int) -> list[tuple[int, int, bool]]:
 
 
 def cluster_sums(
-    labelled: DataFrame, clusters: list[tuple[int, int]], d: int, block_rows: int, distances: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    labelled: DataFrame,
+    clusters: list[tuple[int, int]],
+    d: int,
+    block_rows: int,
+    distances: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    sizes: list[int] | None = None,
 ) -> DataFrame:
     """``(variant, id, own, label, distance)``: from every point of a labeling to each of its clusters.
 
-    ``clusters`` has all (variant, label); ``labelled`` holds ``(id, x, labels)``.
+    ``clusters`` has all (variant, label); ``labelled`` holds ``(id, x, labels)``. With the ``sizes`` of the clusters,
+    ``(variant, id, mates, a, b)``: a line per point and labeling with its cluster's size, its mean distance to its
+    own cluster and that to the nearest other one, which is whole only where no id comes twice.
     """
     spark = labelled.sparkSession
     n_clusters, variants = len(clusters), 1 + max(v for v, _ in clusters)
@@ -138,6 +146,27 @@ def cluster_sums(
                     here.append(one)
         yield from sent(here)
 
+    def lines_of(v: int, ids: np.ndarray, own: np.ndarray, columns: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+        label = np.array([c for _, c in clusters], dtype=np.int32)
+        n, k = part.shape
+        arrays = [
+            np.full(n * k, v, dtype=np.int32), np.repeat(ids, k), np.repeat(label[own], k), np.tile(label[columns], n), part.reshape(-1),
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=[c.split()[0] for c in LINES.split(", ")])
+
+    def means_of(v: int, ids: np.ndarray, own: np.ndarray, columns: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+        size = np.array(sizes, dtype=np.int64)
+        mine = own[:, None] == columns[None, :]
+        mates = size[own]
+        a = part[mine] / np.maximum(mates - 1, 1)
+        # Like the engine's minimum, this takes NaN only if there is nothing else.
+        b = np.fmin.reduce(np.where(mine, np.nan, part / size[columns]), axis=1)
+        alone = np.full(len(ids), len(columns) == 1)
+        arrays = [
+            pa.array(np.full(len(ids), v, dtype=np.int32)), pa.array(ids), pa.array(mates), pa.array(a, mask=mates == 1), pa.array(b, mask=alone),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in MEANS.split(", ")])
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, sums, points = None, None, None
 
@@ -146,18 +175,12 @@ def cluster_sums(
                 return
             ids, at = points
             for v in range(variants):
-                columns = [i for i, c in enumerate(clusters) if c[0] == v]
+                columns = np.array([i for i, c in enumerate(clusters) if c[0] == v])
                 inside = at[:, v] >= 0
-                n = int(inside.sum())
-                if not n or not columns:
+                if not inside.any() or not len(columns):
                     continue
-                labels = np.array([clusters[i][1] for i in columns], dtype=np.int32)
-                owns = np.array([c for _, c in clusters], dtype=np.int32)[at[inside, v]]
-                arrays = [
-                    np.full(n * len(columns), v, dtype=np.int32), np.repeat(ids[inside], len(columns)),
-                    np.repeat(owns, len(columns)), np.tile(labels, n), sums[np.ix_(inside, columns)].reshape(-1),
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=[c.split()[0] for c in LINES.split(", ")])
+                shown = lines_of if sizes is None else means_of
+                yield shown(v, ids[inside], at[inside, v], columns, sums[np.ix_(inside, columns)])
 
         for batch in batches:
             for k in range(batch.num_rows):
@@ -175,4 +198,4 @@ def cluster_sums(
 
     parts = met.mapInArrow(compare, "block bigint, sums binary")
     rows = parts.unionByName(packed.select("block", "ids", "at"), allowMissingColumns=True)
-    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(add, LINES)
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(add, LINES if sizes is None else MEANS)

@@ -45,3 +45,68 @@ def test_scores_with_few_and_many_slabs(spark, monkeypatch, slab_bytes, rows):
     monkeypatch.setattr(slab_sums, "SLAB_BYTES", slab_bytes)
     frame, x, lab = _frame(spark, 150, parts=1)
     assert clustering.silhouettes(frame, rows).first()["silhouette"] == pytest.approx(brute_silhouette(x, lab), abs=1e-9)
+
+
+def test_means_of_unique_ids_are_not_shuffled(spark, monkeypatch):
+    frame, x, lab = _frame(spark, 150)
+    used, inner = [], clustering.cluster_sums
+    monkeypatch.setattr(clustering, "cluster_sums", lambda *a: used.append(inner(*a)) or used[-1])
+    scores = clustering.silhouettes(frame, 40)
+    assert used[0].columns == ["variant", "id", "mates", "a", "b"] and used[0].count() == 150
+    # From the sums of the blocks on, only the mean of each labeling is put together.
+    assert _plan(scores).count("Exchange") == _plan(used[0]).count("Exchange") + 1
+    assert scores.first()["silhouette"] == pytest.approx(brute_silhouette(x, lab), abs=1e-9)
+
+
+def _odd(kind):
+    rng = np.random.default_rng(8)
+    x, ids = rng.normal(0, 1, (150, 6)), np.arange(150)
+    labels = [[int(c), None if c else 0] for c in rng.integers(0, 3, 150)]
+    labels[9] = [7, 1]
+    if kind == "twice":
+        # Ids that come twice: rows alike, at other places, in other clusters.
+        ids[100:130] = ids[:30]
+        x[100:110], labels[100:110] = x[:10], labels[:10]
+        labels[110:120] = labels[10:20]
+    elif kind == "nan":
+        x[5, 2] = np.nan
+        labels[5] = [1, None]
+    elif kind == "one cluster":
+        labels = [[0, None] for _ in labels]
+    elif kind == "no clusters":
+        labels = [[None, None] for _ in labels]
+    return [(int(i), [float(c) for c in v], lab) for i, v, lab in zip(ids, x, labels)]
+
+
+def _score_of_lines(lines, sizes):
+    """Per labeling the mean score, from the sums of each point by cluster; lines of one id are added up."""
+    points = {}
+    for r in lines:
+        sums = points.setdefault((r["variant"], r["id"]), {})
+        sums[r["own"], r["label"]] = sums.get((r["own"], r["label"]), 0.0) + r["distance"]
+    scores = {}
+    for (v, _), sums in points.items():
+        own = [(sizes[v, c], t) for (o, c), t in sums.items() if o == c]
+        others = [t / sizes[v, c] for (o, c), t in sums.items() if o != c]
+        mine = scores.setdefault(v, [])
+        if others and max(n for n, _ in own) == 1:
+            mine.append(0.0)
+        elif others:
+            a = max(t / (n - 1) for n, t in own if n > 1)
+            b = min((t for t in others if t == t), default=float("nan"))
+            mine.append((b - a) / max(a, b) if a == a and b == b else float("nan"))
+    return {v: np.mean(mine) if mine else None for v, mine in scores.items()}
+
+
+@pytest.mark.parametrize("kind", ["plain", "twice", "nan", "one cluster", "no clusters"])
+def test_scores_of_odd_rows_are_those_of_lines(spark, kind):
+    rows = _odd(kind)
+    # Blocks of one partition, so that rows of one id meet alike in both runs.
+    frame = spark.createDataFrame(rows, "id bigint, x array<double>, labels array<int>").coalesce(1)
+    got = {r["variant"]: r["silhouette"] for r in clustering.silhouettes(frame, 149).collect()}
+    sizes = Counter((v, c) for _, _, lab in rows for v, c in enumerate(lab) if c is not None)
+    lines = slab_sums.cluster_sums(frame, sorted(sizes), 6, 149, clustering._distances).collect() if sizes else []
+    want = _score_of_lines(lines, sizes)
+    assert got.keys() == want.keys()
+    for v in want:
+        assert got[v] == (want[v] if want[v] is None else pytest.approx(want[v], abs=1e-9, nan_ok=True))

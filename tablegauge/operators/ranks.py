@@ -239,23 +239,30 @@ def exact_quantiles(
     limit: int = TASK_ROWS,
     largest_group: int | None = None,
     sketch_above: int | None = None,
+    group_sizes: dict[tuple, int] | None = None,
 ) -> DataFrame:
     """Quantiles per group with linear interpolation, one column per entry of ``points``.
 
     Groups of up to ``limit`` rows are counted by value and cumulated in a window. Larger
     groups, of which there are at most rows / limit, go by ranks. ``largest_group`` is a
-    known bound on the group size; without it one scan measures the groups. Where groups are known to be
+    known bound on the group size, ``group_sizes`` has the rows with a value of every group; without either one scan
+    measures the groups. Where groups are known to be
     few, a lower ``sketch_above`` saves counting every value of the middle-sized ones.
     """
     above = limit if sketch_above is None else min(limit, sketch_above)
     rows = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
-    big = []
-    if largest_group is None or largest_group > above:
-        big = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > above).collect()
+    big: dict[tuple, int] = {}
+    if group_sizes is not None:
+        big = {key: n for key, n in group_sizes.items() if n > above}
+    elif largest_group is None or largest_group > above:
+        counted = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > above).collect()
+        big = {tuple(r[g] for g in groups): r["n"] for r in counted}
+    if big and group_sizes is not None and all(n == 0 or key in big for key, n in group_sizes.items()):
+        return _by_ranks(rows, groups, points, big, limit, above)
     small = rows
     if big:
         schema = T.StructType([rows.schema[g] for g in groups])
-        keys = rows.sparkSession.createDataFrame([tuple(r[g] for g in groups) for r in big], schema)
+        keys = rows.sparkSession.createDataFrame(list(big), schema)
         same = F.lit(True)
         for g in groups:
             same = same & rows[g].eqNullSafe(keys[g])
@@ -281,17 +288,20 @@ def exact_quantiles(
         low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         outs.append((low + (high - low) * (at - F.floor(at))).alias(name))
     result = ends.select(*groups, "n", *outs)
-    if not big:
-        return result
+    return result.unionByName(_by_ranks(rows, groups, points, big, limit, above)) if big else result
 
+
+def _by_ranks(
+    rows: DataFrame, groups: list[str], points: dict[str, float], sizes: dict[tuple, int], limit: int, above: int
+) -> DataFrame:
+    """Quantiles of the groups in ``sizes``, each from the two values around its rank."""
     targets, plan = [], []
-    for r in big:
-        key = tuple(r[g] for g in groups)
+    for key, n in sizes.items():
         for name, q in points.items():
-            at = q * (r["n"] - 1)
+            at = q * (n - 1)
             low = int(at)
-            plan.append((key, r["n"], name, at - low, len(targets)))
-            targets += [Target(key, low, r["n"]), Target(key, min(low + 1, r["n"] - 1), r["n"])]
+            plan.append((key, n, name, at - low, len(targets)))
+            targets += [Target(key, low, n), Target(key, min(low + 1, n - 1), n)]
     order_statistics(rows, groups, "_v", targets, limit, above)
     lines: dict[tuple, dict] = {}
     for key, n, name, part_way, at in plan:
@@ -303,7 +313,7 @@ def exact_quantiles(
         + [T.StructField("n", T.LongType())]
         + [T.StructField(p, T.DoubleType()) for p in points]
     )
-    return result.unionByName(rows.sparkSession.createDataFrame(data, schema))
+    return rows.sparkSession.createDataFrame(data, schema)
 
 
 def running_totals(

@@ -74,7 +74,7 @@ _SLOT_TYPES = {"l": "bigint", "d": "double", "s": "string"}
 # Columns that share one pass, and the most passes over one table. With an order key, which
 # every pass reads again, passes are wider.
 _PASS_COLUMNS = 3
-_ORDERED_PASS_COLUMNS = 16
+WIDE_PASS_COLUMNS = 16
 _MOST_PASSES = 16
 
 
@@ -105,7 +105,7 @@ def _slot_value(df: DataFrame, name: str, whole_text: bool) -> Column:
 
 def _passes(df: DataFrame, names: list[str], order_by: Column | None, whole_text: bool = False, hashed: bool = False):
     """Per storage class and run of columns: its slot and rows ``(o, c, v)`` without gaps, with a hash ``h`` if wanted."""
-    width = _PASS_COLUMNS if order_by is None else _ORDERED_PASS_COLUMNS
+    width = _PASS_COLUMNS if order_by is None else WIDE_PASS_COLUMNS
     order = F.lit(0) if order_by is None else order_by
     order = F.coalesce(order.cast("bigint"), F.lit(_LAST))
     for slot in _SLOT_TYPES:

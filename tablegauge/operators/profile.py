@@ -171,8 +171,11 @@ def summarize(
     if not names:
         return _finish(frame.withColumns({"unique": F.lit(0).cast("bigint"), "example_values": F.array().cast("array<string>")}))
 
-    unique = V.distinct_counts(V.distinct_values(df, names))
-    first = V.first_values(df, names, examples, order_by)
+    # A number per column, worked out once: it also tells which columns have no further example.
+    seen = {r["c"]: r["unique"] for r in V.distinct_counts(V.distinct_values(df, names)).collect()}
+    unique = df.sparkSession.createDataFrame(list(seen.items()), "c int, unique bigint")
+    distinct = [seen.get(c.ordinal, 0) for c in stats.columns]
+    first = V.first_values(df, names, examples, order_by, distinct, [c.longest <= V.LONG_TEXT for c in stats.columns])
     about = frame.select(F.col("ordinal").alias("c"), "kind", "dtype", "midnight")
     shown = first.join(F.broadcast(about), "c").select(
         "c",

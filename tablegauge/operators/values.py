@@ -11,7 +11,7 @@ counted and still sort among the others; only long texts with one beginning go b
 The most frequent values of a column need no such shuffle: mergeable counters of bounded size
 propose candidates, one scan counts these exactly and all other values by hash bucket, and
 only buckets that could hold a more frequent value are counted value by value. The first
-values of a column are found by taking the minimum a few times.
+values of a column are looked for in the first rows, then by taking the minimum a few times.
 """
 
 from __future__ import annotations
@@ -76,6 +76,8 @@ _SLOT_TYPES = {"l": "bigint", "d": "double", "s": "string"}
 _PASS_COLUMNS = 3
 WIDE_PASS_COLUMNS = 16
 _MOST_PASSES = 16
+# Rows in which the first values are looked for before the whole table is.
+FIRST_ROWS = 64
 
 
 def runs(items: list, width: int = _PASS_COLUMNS) -> list[list]:
@@ -138,17 +140,31 @@ def distinct_values(df: DataFrame, names: list[str]) -> list[tuple[str, DataFram
     return [(slot, rows.groupBy("c", "v").agg(F.lit(0).alias("o"))) for slot, rows in _passes(df, names, None)]
 
 
-def first_values(df: DataFrame, names: list[str], k: int, order_by: Column | None) -> DataFrame:
+def first_values(
+    df: DataFrame,
+    names: list[str],
+    k: int,
+    order_by: Column | None,
+    distinct: list[int] | None = None,
+    short: list[bool] | None = None,
+) -> DataFrame:
     """``(c, l, d, s, rank)``: the first ``k`` distinct values per column under ``order_by``, else the smallest.
 
-    Every round takes the first value not yet found, of all columns in one scan; a task passes on one row.
-    Texts come whole. The result holds ``k`` values per column.
+    The first rows under ``order_by`` hold them for most columns. For the others every round takes the first value not
+    yet found, of all columns in one scan; a task passes on one row. ``distinct`` tells how many values a column has, which
+    saves the round that finds no more, ``short`` which columns have no text above ``LONG_TEXT`` bytes; longer ones
+    go by rounds only. Texts come whole. The result holds ``k`` values per column.
     """
     order = F.lit(0) if order_by is None else order_by
     order = F.coalesce(order.cast("bigint"), F.lit(_LAST))
     slots = [_SLOTS[kind_of(df.schema[n].dataType)] for n in names]
     found: list[list] = [[] for _ in names]
-    open_columns = list(range(len(names)))
+    wanted = [k if distinct is None else min(k, d) for d in distinct or [k] * len(names)]
+    if order_by is not None:
+        narrow = [i for i, s in enumerate(slots) if wanted[i] and (s != "s" or (short is not None and short[i]))]
+        for i, values in _in_first_rows(df, [(i, names[i]) for i in narrow], order).items():
+            found[i] = values[: wanted[i]]
+    open_columns = [i for i, n in enumerate(wanted) if len(found[i]) < n]
     for _ in range(k):
         firsts = []
         for i in open_columns:
@@ -161,7 +177,7 @@ def first_values(df: DataFrame, names: list[str], k: int, order_by: Column | Non
         for i in open_columns:
             if row[f"f{i}"] is not None:
                 found[i].append(row[f"f{i}"]["v"])
-        open_columns = [i for i in open_columns if row[f"f{i}"] is not None]
+        open_columns = [i for i in open_columns if row[f"f{i}"] is not None and len(found[i]) < wanted[i]]
     rows = [
         (i, *(v if s == slot else None for s in _SLOT_TYPES), rank)
         for i, (slot, values) in enumerate(zip(slots, found))
@@ -171,6 +187,25 @@ def first_values(df: DataFrame, names: list[str], k: int, order_by: Column | Non
     return df.sparkSession.createDataFrame(rows, f"c int, {types}, rank int")
 
 
+def _in_first_rows(df: DataFrame, columns: list[tuple[int, str]], order: Column) -> dict[int, list]:
+    """Per column its distinct values in the first rows under ``order``, by first position, then by value."""
+    if not columns:
+        return {}
+    values = [_slot_value(df, n, whole_text=True).alias(f"v{i}") for i, n in columns]
+    rows = df.select(order.alias("o"), *values).orderBy("o").limit(FIRST_ROWS).collect()
+    if len(rows) == FIRST_ROWS:
+        # Of the last position there may be more rows.
+        rows = [r for r in rows if r["o"] < rows[-1]["o"]]
+    found = {}
+    for i, _ in columns:
+        first: dict = {}
+        for r in rows:
+            if r[f"v{i}"] is not None:
+                first.setdefault(r[f"v{i}"], r["o"])
+        found[i] = sorted(first, key=lambda v: (first[v], v))
+    return found
+
+
 # Values per column that the counters hold, candidates taken from them for each reported
 # value, and the buckets in which all others are counted.
 TRACKED_VALUES = 4_000
@@ -255,9 +290,9 @@ def distinct_counts(counts: list[tuple[str, DataFrame]]) -> DataFrame:
     """``(c, unique)`` from value counts.
 
     Counting the positions, which are never null, keeps this plan on the same shuffle as
-    ``first_per_column``.
+    ``first_per_column``. All passes are counted together, so one row per column and task travels.
     """
-    return stack([frame.groupBy("c").agg(F.count("o").alias("unique")) for _, frame in counts])
+    return stack([frame.select("c", "o") for _, frame in counts]).groupBy("c").agg(F.count("o").alias("unique"))
 
 
 def first_per_column(counts: list[tuple[str, DataFrame]], k: int, *order: Column) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablegauge.operators import profile
+from tablegauge.operators import values as V
 from tablegauge.operators.ranks import exact_quantiles
 
 
@@ -79,3 +80,57 @@ def test_quantiles_with_known_sizes(spark, limits):
         for more in ({}, {"group_sizes": {(None,): 40, (1,): 30, (2,): 5, (3,): 0}})
     )
     assert known == counted and len(known) == 3
+
+
+def test_profile_looks_for_examples_in_one_scan(spark):
+    data = _table()
+    data["i0"] = data["i0"] % 2
+    df, read = watched(spark, data.assign(row=np.arange(len(data))), _SCHEMA + ", row bigint")
+    got = profile.summarize(df, F.col("row")).toPandas().set_index("name")
+    for name in data:
+        assert got.loc[name, "unique"] == data[name].nunique()
+        assert [float(v) for v in got.loc[name, "example_values"]] == list(dict.fromkeys(data[name]))[:3]
+    # Statistics, two passes for the whole numbers, two for the others, the first rows.
+    assert read.value == 6 * len(data)
+
+
+def _first_of(rows, k):
+    """The first ``k`` distinct values of ``(order, value)`` pairs, ties by value."""
+    first = {}
+    for o, v in rows:
+        if v is not None and v == v:
+            o = 2**63 - 1 if o is None else o
+            first[v] = min(o, first.get(v, o))
+    return sorted(first, key=lambda v: (first[v], v))[:k]
+
+
+@pytest.mark.parametrize("told", [False, True])
+@pytest.mark.parametrize("looked_at", [1, 2, 5, 64])
+def test_first_values_of_odd_rows(spark, monkeypatch, looked_at, told):
+    """Positions that tie or are missing, NaN, late values, long texts, columns of few or no values."""
+    monkeypatch.setattr(V, "FIRST_ROWS", looked_at)
+    order = [3, 1, 1, 1, None, 2, 2, 7, None, 9, 9, 1]
+    x = [1.5, float("nan"), 2.5, 0.5, 9.5, None, 2.5, 1.5, 8.5, 0.0, -0.5, 2.5]
+    t = ["b", "é", "z", "a", "c", None, "a", "\U0001f600", "d", "", "z", "￮"]
+    long = ["k" * 90 + str(i % 5) for i in range(12)]
+    n = [4] * 6 + [None] * 5 + [5]
+    rows = list(zip(order, x, t, long, n, [None] * 12)) * 2
+    df = spark.createDataFrame(rows, "o long, x double, t string, long string, n int, e int").repartition(3)
+    names = ["x", "t", "long", "n", "e"]
+    wanted = [_first_of([(r[0], r[i]) for r in rows], 3) for i in range(1, 6)]
+    known = []
+    if told:
+        seen = {r["c"]: r["unique"] for r in V.distinct_counts(V.distinct_values(df, names)).collect()}
+        assert [seen.get(c, 0) for c in range(5)] == [7, 9, 5, 2, 0]
+        known = [[seen.get(c, 0) for c in range(5)], [True, True, False, True, True]]
+    got = {}
+    for r in sorted(V.first_values(df, names, 3, F.col("o"), *known).collect(), key=lambda r: (r["c"], r["rank"])):
+        got.setdefault(r["c"], []).append(next(r[s] for s in "lds" if r[s] is not None))
+    assert [got.get(c, []) for c in range(5)] == wanted
+
+
+def test_distinct_counts_of_all_passes_travel_once(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4, 1.5, "a")] * 3, "a int, b int, c int, d int, e double, f string")
+    plan = V.distinct_counts(V.distinct_values(df, df.columns))._jdf.queryExecution().executedPlan().toString()
+    # One shuffle of the values in each of four passes, one of their counts.
+    assert plan.count("Exchange hashpartitioning") == 5

@@ -30,8 +30,18 @@ LINES = "variant int, id bigint, own int, label int, distance double"
 MEANS = "variant int, id bigint, mates bigint, a double, b double"
 
 
+def _narrowed(x: np.ndarray) -> np.ndarray:
+    """``x`` as 32-bit floats if these hold every value exactly, as they do for vectors stored so."""
+    with np.errstate(over="ignore"):
+        narrow = x.astype(np.float32)
+    return narrow if np.array_equal(narrow, x) else x
+
+
 def _packed(labelled: DataFrame, clusters: list[tuple[int, int]], rows: int) -> DataFrame:
-    """``(n, ids, x, at, block)``: the bytes of up to ``rows`` points, ``at`` with the number of each point's cluster or -1."""
+    """``(n, ids, x, at, block)``: the bytes of up to ``rows`` points, ``at`` with the number of each point's cluster or -1.
+
+    ``x`` has 4 or 8 bytes a coordinate.
+    """
     variants = 1 + max(v for v, _ in clusters)
     numbers = {c: i for i, c in enumerate(clusters)}
 
@@ -39,7 +49,7 @@ def _packed(labelled: DataFrame, clusters: list[tuple[int, int]], rows: int) ->
         for frame in frames:
             for start in range(0, len(frame), rows):
                 part = frame.iloc[start : start + rows]
-                x = np.stack(part["x"].to_numpy()).astype(float)
+                x = _narrowed(np.stack(part["x"].to_numpy()).astype(float))
                 labels = np.array(part["labels"].tolist(), dtype=float).reshape(len(part), -1)[:, :variants]
                 at = np.full(labels.shape, -1, dtype=np.int16)
                 for (v, c), i in numbers.items():
@@ -104,12 +114,14 @@ def cluster_sums(
     met = met.repartition(tasks, "pair").sortWithinPartitions("pair", "side", "block")
 
     def block_of(batch: pa.RecordBatch, k: int) -> tuple:
-        ids, x, at = (np.frombuffer(batch.column(c)[k].as_buffer(), dtype=t) for c, t in (("ids", np.int64), ("x", float), ("at", np.int16)))
+        ids, at = (np.frombuffer(batch.column(c)[k].as_buffer(), dtype=t) for c, t in (("ids", np.int64), ("at", np.int16)))
+        x = batch.column("x")[k].as_buffer()
+        x = np.frombuffer(x, dtype=np.float32 if x.size == 4 * len(ids) * d else float)
         member = np.zeros((len(ids), n_clusters))
         at = at.reshape(len(ids), variants)
         rows, columns = np.nonzero(at >= 0)
         member[rows, at[rows, columns]] = 1.0
-        return batch.column("block")[k].as_py(), ids.copy(), x.reshape(len(ids), d).copy(), member, np.zeros(member.shape)
+        return batch.column("block")[k].as_py(), ids.copy(), x.reshape(len(ids), d).astype(float), member, np.zeros(member.shape)
 
     def meet(a: tuple, b: tuple) -> None:
         """Adds the distances between two blocks, or of one to itself, to the sums of both."""

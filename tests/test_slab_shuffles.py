@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_clustering import brute_silhouette
 
 from tablegauge.operators import clustering, slab_sums
@@ -110,3 +111,30 @@ def test_scores_of_odd_rows_are_those_of_lines(spark, kind):
     assert got.keys() == want.keys()
     for v in want:
         assert got[v] == (want[v] if want[v] is None else pytest.approx(want[v], abs=1e-9, nan_ok=True))
+
+
+@pytest.mark.parametrize("kind", ["floats", "doubles", "mixed", "huge", "nan"])
+def test_vectors_of_floats_travel_as_floats(spark, kind):
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (90, 6))
+    if kind != "doubles":
+        x = x.astype(np.float32).astype(float)
+    if kind == "mixed":
+        x[70, 3] = 0.1
+    elif kind == "huge":
+        x[70, 3] = 1e300
+    elif kind == "nan":
+        x[70, 3] = np.nan
+    rows = [(i, [float(c) for c in v], [i % 3]) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "id bigint, x array<double>, labels array<int>").coalesce(1)
+    clusters = [(0, c) for c in range(3)]
+    widths = {r["w"] for r in slab_sums._packed(frame, clusters, 30).select((F.octet_length("x") / F.col("n") / 6).alias("w")).collect()}
+    assert widths == ({4.0} if kind == "floats" else {8.0} if kind == "doubles" else {4.0, 8.0})
+    if kind == "huge":
+        return
+    # The sums are those of the values as they came.
+    lines = slab_sums.cluster_sums(frame, clusters, 6, 30, clustering._distances).collect()
+    far = clustering._distances(x, x)
+    for r in lines:
+        want = sum(far[r["id"], j] for j in range(90) if j % 3 == r["label"] and j != r["id"])
+        assert r["distance"] == pytest.approx(want, rel=1e-9, nan_ok=True)

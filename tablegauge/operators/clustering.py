@@ -467,21 +467,24 @@ def _block_pairs(
 
     The kernel sees two blocks and returns lines per point, never per pair of points. With
     ``symmetric`` each unordered pair of blocks is visited once and the kernel reports for
-    both sides.
+    both sides; a block that meets itself is sent once.
     """
     last = F.lit(blocks - 1)
     start = F.col("_own") if symmetric else F.lit(0)
     left = placed.select("*", F.explode(F.sequence(start, last)).alias("_j")).withColumnRenamed("_own", "_i")
-    stop = F.col("_own") if symmetric else last
+    stop = F.col("_own") - 1 if symmetric else last
     # Fresh columns, so that the two sides of one frame stay apart.
     again = placed.select(*[F.col(c).alias(c) for c in placed.columns])
+    again = again.where(F.col("_own") > 0) if symmetric else again
     right = again.select("*", F.explode(F.sequence(F.lit(0), stop)).alias("_i")).withColumnRenamed("_own", "_j")
     keys = [*groups, "_i", "_j"]
     # The work grows with the square of the rows, so few bytes must not mean few tasks.
     tasks = min(MOST_PAIR_TASKS, blocks * (blocks + 1) // 2 if symmetric else blocks * blocks)
     left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
 
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if symmetric and key[-2] == key[-1]:
+            b = a
         if len(a) == 0 or len(b) == 0:
             return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
         return kernel(a, b)

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from test_clustering import brute_silhouette
@@ -138,3 +139,26 @@ def test_vectors_of_floats_travel_as_floats(spark, kind):
     for r in lines:
         want = sum(far[r["id"], j] for j in range(90) if j % 3 == r["label"] and j != r["id"])
         assert r["distance"] == pytest.approx(want, rel=1e-9, nan_ok=True)
+
+
+@pytest.mark.parametrize("symmetric", [True, False])
+def test_a_block_meets_itself_once_sent(spark, symmetric):
+    rows = spark.range(90).select("id", (F.col("id") % 3).cast("int").alias("_own"))
+
+    def kernel(a, b):
+        return pd.DataFrame({"i": [int(a["_i"].iloc[0])], "j": [int(a["_j"].iloc[0])], "n": [len(a) * len(b)], "sent": [len(a) + (0 if b is a else len(b))]})
+
+    met = {(r.i, r.j): (r.n, r.sent) for r in clustering._block_pairs(rows, 3, [], kernel, "i int, j int, n int, sent int", symmetric).collect()}
+    pairs = [(i, j) for i in range(3) for j in range(3) if i <= j or not symmetric]
+    assert met == {(i, j): (900, 30 if symmetric and i == j else 60) for i, j in pairs}
+
+
+# Scores of ids that come twice depend on the blocks they fall in; these are the ones before blocks were sent once.
+@pytest.mark.parametrize("again,want", [([], [-0.4924186133] * 2), (range(0, 700, 50), [-0.4919873561, -0.4919988105])])
+def test_scores_of_many_clusters(spark, again, want):
+    rng = np.random.default_rng(6)
+    x, lab = rng.normal(0, 1, (700, 6)), rng.integers(0, 300, 700)
+    rows = [(i, [float(c) for c in x[i]], [int(lab[i])]) for i in [*range(700), *again]]
+    frame = spark.createDataFrame(rows, "id bigint, x array<double>, labels array<int>").repartition(3)
+    scores = [clustering.silhouettes(frame, block).first()["silhouette"] for block in (100, 1000)]
+    assert scores == pytest.approx(want, abs=1e-9)
